@@ -21,8 +21,11 @@ ORDER_DAYS = DayRange(date(1995, 1, 1), date(2001, 12, 31))
 LOAD_TIME = datetime(2024, 2, 1, 6, 0, 0)
 RULES = ChannelRules(reward_discounts=("d4", "d16", "d28"))
 
-# Events with the number in their properties.
-EV = "SELECT event_id, ts, user_id, event_type, value, CAST({k} AS BIGINT) AS k FROM {events}"
+# Events with the number in their properties, {"k": n}.
+EV = """
+SELECT event_id, ts, user_id, event_type, value, CAST(replace(substr(props, 7), '}}', '') AS BIGINT) AS k
+FROM {events}
+"""
 
 # One web hit per event. Some have no session, no address, or one outside the site.
 WEB = """
@@ -116,15 +119,14 @@ FROM {lineitem}
 """
 
 # The same CTEs for the oracle.
-EV_SQL = "ev AS (" + EV.format(k="json_extract_string(props, '$.k')", events="events") + ")"
+EV_SQL = f"ev AS ({EV.format(events='events')})"
 WEB_SQL = f"{EV_SQL}, web AS ({WEB.format(ev='ev')})"
 FORMS_SQL = f"{WEB_SQL}, forms AS ({FORMS.format(web='web')})"
 TRANSACTIONS_SQL = f"{FORMS_SQL}, tx AS ({TRANSACTIONS.format(web='web')})"
 
 
 def web_hits(t: Tables) -> DataFrame:
-    ev = t.spark.sql(EV.replace("{k}", "get_json_object(props, '$.k')"), events=t.events)
-    return t.spark.sql(WEB, ev=ev)
+    return t.spark.sql(WEB, ev=t.spark.sql(EV, events=t.events))
 
 
 def web_events(t: Tables) -> DataFrame:

@@ -7,8 +7,23 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+}
+
+
 def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """Schema of flat columns, each given as ``name type`` or ``name type not null``."""
+    columns = [column.split(" ", 2) for column in text.split(", ")]
+    return T.StructType([T.StructField(c[0], _TYPES[c[1]], len(c) == 2) for c in columns])
+
+
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, dtype) for name, dtype in fields.items()])
 
 
 @dataclass(frozen=True)
@@ -134,18 +149,27 @@ SEARCH_ADS_HOURLY = TableSpec(
     partition_from_key=True,
 )
 
-# Input shapes that are nested or that readers need declared.
-WEB_EVENTS = _schema(
-    "event_date string, event_timestamp bigint, event_name string, user_pseudo_id string, user_id string, "
-    "event_params array<struct<key: string, value: struct<string_value: string, int_value: bigint>>>, "
-    "session_traffic_source_last_click struct<manual_campaign: struct<source: string, medium: string, "
-    "campaign_name: string, term: string, content: string>>, "
-    "ecommerce struct<transaction_id: string, purchase_revenue: double>"
+# Input shapes that are nested.
+_TEXT, _INT = T.StringType(), T.LongType()
+
+WEB_EVENTS = _struct(
+    event_date=_TEXT,
+    event_timestamp=_INT,
+    event_name=_TEXT,
+    user_pseudo_id=_TEXT,
+    user_id=_TEXT,
+    event_params=T.ArrayType(_struct(key=_TEXT, value=_struct(string_value=_TEXT, int_value=_INT))),
+    session_traffic_source_last_click=_struct(
+        manual_campaign=_struct(source=_TEXT, medium=_TEXT, campaign_name=_TEXT, term=_TEXT, content=_TEXT)
+    ),
+    ecommerce=_struct(transaction_id=_TEXT, purchase_revenue=T.DoubleType()),
 )
 
-SOCIAL_ADS_ROWS = _schema(
-    "date_start string, account_name string, account_id string, campaign_name string, campaign_id string, "
-    "adset_name string, adset_id string, ad_name string, ad_id string, spend string, impressions string, "
-    "inline_link_clicks string, hourly_stats_aggregated_by_advertiser_time_zone string, "
-    "actions array<struct<action_type: string, value: string>>"
+SOCIAL_ADS_ROWS = T.StructType(
+    _schema(
+        "date_start string, account_name string, account_id string, campaign_name string, campaign_id string, "
+        "adset_name string, adset_id string, ad_name string, ad_id string, spend string, impressions string, "
+        "inline_link_clicks string, hourly_stats_aggregated_by_advertiser_time_zone string"
+    ).fields
+    + [T.StructField("actions", T.ArrayType(_struct(action_type=_TEXT, value=_TEXT)))]
 )
