@@ -57,7 +57,8 @@ def session_columns(
 
     within = Window.partitionBy(*LAYOUT)
     so_far = within.orderBy(ts).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = chunked.withColumns(
+    # distributed before the positioned values are built, so that these are not shuffled
+    rows = chunked.repartition(*LAYOUT).withColumns(
         {name: F.max(c).over(so_far) for name, c in positioned.items()}
         | {name: F.min(c).over(within) for name, c in starts.items()}
         | {name: F.max(c).over(within) for name, c in peaks.items()}

@@ -14,30 +14,27 @@ from ..operators.dedupe import first_seen, load_audit
 from ..schemas import BILLING_EVENTS, billing_object
 from ..sources.slices import EVENT_TYPES, created_within, of_types
 
-# The fields read from an object; nested parts stay JSON text.
-HEAD = "id string, type string, created string, data struct<object: string>"
 
+def _heads(objects: DataFrame, days: DayRange | None, *fields: str) -> DataFrame:
+    """Landed objects (page, pos, raw) with id, creation time and other top-level fields.
 
-def _heads(objects: DataFrame, days: DayRange | None) -> DataFrame:
-    """Landed objects (page, pos, raw) with their head parsed once, sliced to the days."""
-    head = F.from_json("raw", HEAD)
-    parsed = objects.withColumn("_h", head).select(
-        "page",
-        "pos",
-        "raw",
-        F.nullif(F.col("_h.id"), F.lit("")).alias("id"),
-        F.col("_h.type").alias("type"),
-        F.nullif(F.col("_h.created").try_cast("bigint"), F.lit(0)).alias("created"),
-        F.nullif(F.col("_h.data.object"), F.lit("")).alias("object"),
+    ``json_tuple`` parses an object once, and filters on its columns are not pushed below it,
+    where they would parse again.
+    """
+    names = ["id", "created", *fields]
+    parsed = objects.select("page", "pos", "raw", F.json_tuple("raw", *names).alias(*names)).withColumns(
+        {
+            "id": F.nullif(F.col("id"), F.lit("")),
+            "created": F.nullif(F.col("created").try_cast("bigint"), F.lit(0)),
+        }
     )
     return parsed if days is None else created_within(parsed, "created", days)
 
 
 def billing_objects(objects: DataFrame, load_time: datetime, days: DayRange | None = None) -> DataFrame:
     """One envelope per id: the first landed copy, with its creation day and full JSON."""
-    slim = _heads(objects, days).drop("type", "object")
     return (
-        first_seen(slim, ["id"], ["page", "pos"])
+        first_seen(_heads(objects, days), ["id"], ["page", "pos"])
         .where(F.col("created").isNotNull())
         .select(
             "id",
@@ -56,10 +53,11 @@ def billing_events(
     types: Sequence[str] = EVENT_TYPES,
 ) -> DataFrame:
     """As ``billing_objects`` for events of the listed types; the payload is the inner object."""
-    wanted = of_types(_heads(objects, days).drop("raw"), "type", types)
+    wanted = of_types(_heads(objects, days, "type", "data").drop("raw"), "type", types)
+    inner = wanted.select("*", F.json_tuple("data", "object").alias("object"))
     return (
-        first_seen(wanted, ["id"], ["page", "pos"])
-        .withColumn("object_id", F.get_json_object("object", "$.id"))
+        first_seen(inner.drop("type", "data"), ["id"], ["page", "pos"])
+        .select("*", F.json_tuple("object", "id").alias("object_id"))
         .where(F.col("created").isNotNull() & present("object_id"))
         .select(
             "id",

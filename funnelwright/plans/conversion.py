@@ -11,9 +11,10 @@ from ..functions.casts import rounded_int
 from ..functions.keys import NOT_SET, first_present, joined
 from ..functions.rules import classify, present
 from ..functions.times import DayRange, day_key
-from ..operators.counts import distinct_by_channel, sum_by_channel
-from ..operators.joins import candidate_full_join, full_join_chain
+from ..operators.counts import measures_by_channel
+from ..operators.joins import candidate_full_join, full_join_chain, spread_null_keys
 from ..schemas import CAMPAIGN_CONVERSION
+from ..session import staged
 from ..sources.slices import loaded_since
 
 # Channel names.
@@ -50,7 +51,7 @@ def sessions_by_channel(funnel: DataFrame, dim: DataFrame, days: DayRange, rules
         ]
     )
     fact = funnel.where(F.col("id_date") >= days.first_key).withColumn("override", override)
-    return distinct_by_channel(
+    return measures_by_channel(
         fact, dim, ["id_date"], "utm_hash", "session_hash", [AFFILIATES, REWARDS, SELLERS], rules.paid, "sessions"
     )
 
@@ -58,7 +59,7 @@ def sessions_by_channel(funnel: DataFrame, dim: DataFrame, days: DayRange, rules
 def precheckouts_by_channel(forms: DataFrame, dim: DataFrame, days: DayRange, rules: ChannelRules) -> DataFrame:
     override = classify([(present("referral_code"), AFFILIATES), (present("promo"), REWARDS)])
     fact = forms.where(F.col("id_date") >= days.first_key).withColumn("override", override)
-    return distinct_by_channel(
+    return measures_by_channel(
         fact, dim, ["id_date"], "utm_hash", "email", [AFFILIATES, REWARDS], rules.paid, "pre_checkouts"
     )
 
@@ -72,13 +73,17 @@ def transactions_by_channel(transactions: DataFrame, dim: DataFrame, days: DayRa
         ]
     )
     fact = transactions.where(F.col("id_date") >= days.first_key).withColumn("override", override)
-    purchases = distinct_by_channel(
-        fact, dim, ["id_date"], "utm_hash", "id", [SELLERS, AFFILIATES, REWARDS], rules.paid, "purchases"
-    )
-    revenue = sum_by_channel(fact, dim, ["id_date"], "utm_hash", "amount", rules.paid, "revenue")
-    both = purchases.unionByName(revenue, allowMissingColumns=True)
-    return both.groupBy(*DAY_AND_HASH, "channel").agg(
-        F.sum("purchases").alias("purchases"), F.sum("revenue").alias("revenue")
+    return measures_by_channel(
+        fact,
+        dim,
+        ["id_date"],
+        "utm_hash",
+        "id",
+        [SELLERS, AFFILIATES, REWARDS],
+        rules.paid,
+        "purchases",
+        amount="amount",
+        sum_as="revenue",
     )
 
 
@@ -176,18 +181,18 @@ def with_social_cost(conversions: DataFrame, social: DataFrame) -> DataFrame:
 def with_search_cost(rows: DataFrame, search: DataFrame) -> DataFrame:
     """Full join of the second cost feed on the conversion side's keys.
 
-    Ads without a conversion have no such keys and match nothing; they go around the join
-    instead of meeting in one task under the NULL key.
+    Ads without a conversion have no such keys and match nothing; they are spread instead
+    of meeting in one task under the NULL key.
     """
+    keys = ["id_date", "channel", "campaign"]
+    ad_keys = ["g_id_date", "g_channel", "g_campaign_id"]
     ads = search.select(*(F.col(c).alias(f"g_{c}") for c in search.columns))
-    keyed = F.col("id_date").isNotNull() & F.col("channel").isNotNull() & F.col("campaign").isNotNull()
-    same = (
-        (F.col("g_id_date") == F.col("id_date"))
-        & (F.col("g_channel") == F.col("channel"))
-        & (F.col("g_campaign_id") == F.col("campaign"))
-    )
-    joined_rows = rows.where(keyed).join(ads, same, "full")
-    return joined_rows.unionByName(rows.where(~keyed), allowMissingColumns=True)
+    left = spread_null_keys(rows, keys)
+    right = spread_null_keys(ads, ad_keys).withColumnRenamed("_spread", "_g_spread")
+    same = F.col("_spread") == F.col("_g_spread")
+    for key, ad_key in zip(keys, ad_keys):
+        same = same & (F.col(key) == F.col(ad_key))
+    return left.join(right, same, "full").drop("_spread", "_g_spread")
 
 
 def campaign_conversion(
@@ -200,14 +205,20 @@ def campaign_conversion(
     days: DayRange,
     rules: ChannelRules = ChannelRules(),
 ) -> DataFrame:
-    """The mart rows from ``days.first`` on; the range has no upper end."""
+    """The mart rows from ``days.first`` on; the range has no upper end.
+
+    Conversions and social ads are used several times by their join, so both aggregates are
+    written to the shared folder first: the large inputs are read once.
+    """
     conversions = conversions_by_campaign(
         sessions_by_channel(funnel, dim, days, rules),
         transactions_by_channel(transactions, dim, days, rules),
         precheckouts_by_channel(precheckouts, dim, days, rules),
         dim,
     )
-    rows = with_search_cost(with_social_cost(conversions, social_cost(social_insights, days)), search_cost(search_stats, days))
+    social = social_cost(social_insights, days)
+    recognised = with_social_cost(staged(conversions, "conversions"), staged(social, "social_cost"))
+    rows = with_search_cost(recognised, search_cost(search_stats, days))
 
     def ad_sum(measure: str) -> Column:
         return F.coalesce(F.sum(f"s_{measure}"), F.sum(f"g_{measure}"), F.lit(0))

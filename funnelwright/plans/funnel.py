@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.keys import sha_key, utm_key
+from ..functions.keys import joined, sha_key, utm_key
 from ..functions.records import param
 from ..functions.rules import classify, remap
 from ..functions.times import DayRange, day_key, from_micros, micros_text, shift_zone
@@ -59,10 +59,6 @@ class Site:
     languages: tuple[str, ...] = ("pt", "en", "es")
 
 
-def page_url() -> Column:
-    return param("event_params", "page_location", "string_value")
-
-
 def outside_product(page: Column, site: Site) -> Column:
     """1 for pages that are neither product, language home, login nor legal pages."""
     home = site.domain
@@ -94,42 +90,59 @@ def checkout_host(page: Column, site: Site) -> Column:
     return F.when(is_checkout, host_part(page))
 
 
+def on_site(web_events: DataFrame, days: DayRange, site: Site) -> DataFrame:
+    """Events of the shards on the site's own pages, their address as ``url``.
+
+    Exploding the one wanted parameter looks it up once per event; as a plain expression it
+    would be evaluated again in every filter. Events without an address drop out, as they
+    would in the LIKE.
+    """
+    address = F.slice(F.filter("event_params", lambda p: p["key"] == "page_location"), 1, 1)
+    located = shards(web_events, "event_date", days).select("*", F.explode(address).alias("_page"))
+    return located.withColumn("url", F.col("_page.value.string_value")).where(F.col("url").like(f"%{site.domain}%"))
+
+
 def funnel_events(web_events: DataFrame, days: DayRange, site: Site = Site()) -> DataFrame:
     """Wanted events of the shards, keys and address parts derived, exact copies removed.
 
-    Columns that follow from others (day, session hash) are added after the distinct, so
-    they are not shuffled.
+    ``session`` is the text the session hash is made of. The hashes follow from other
+    columns and are long, so ``with_hashes`` adds them only after the last shuffle.
     """
     url = F.col("url")
     campaign = F.col("session_traffic_source_last_click.manual_campaign")
-    wanted = (
-        shards(web_events, "event_date", days)
-        .where(F.col("event_name").isin(*FUNNEL_EVENTS))
-        .withColumn("url", page_url())
-        .where(is_not_matching(url, site.excluded_pages) & url.like(f"%{site.domain}%"))
-    )
-    rows = wanted.select(
-        "event_timestamp",
-        remap("event_name", EVENT_NAMES).alias("event_name"),
-        "user_pseudo_id",
-        "user_id",
-        param("event_params", "ga_session_id", "int_value").cast("string").alias("session_id"),
-        bare_page(url).alias("page_location"),
-        query_value(url, "promo").alias("promo"),
-        query_value(url, "discount").alias("discount"),
-        query_value(url, "referral_code").alias("referral_code"),
-        utm_key(*(campaign[c] for c in ("source", "medium", "campaign_name", "term", "content"))).alias("utm_hash"),
-        F.col("ecommerce.transaction_id").alias("transaction_id"),
-        F.col("ecommerce.purchase_revenue").alias("purchase_revenue"),
-    ).distinct()
-    return (
-        rows.withColumn("event_timestamp", shift_zone(from_micros("event_timestamp"), site.zone, site.zone_mode))
-        .withColumn("id_date", day_key("event_timestamp"))
-        .withColumn("session_hash", sha_key("user_pseudo_id", "session_id"))
-        .withColumn(
-            "unique_event_id",
-            sha_key("user_pseudo_id", micros_text("event_timestamp"), "event_name", "session_id"),
+    wanted = on_site(web_events.where(F.col("event_name").isin(*FUNNEL_EVENTS)), days, site)
+    rows = (
+        wanted.where(is_not_matching(url, site.excluded_pages))
+        .select(
+            "event_timestamp",
+            remap("event_name", EVENT_NAMES).alias("event_name"),
+            "user_pseudo_id",
+            "user_id",
+            param("event_params", "ga_session_id", "int_value").cast("string").alias("session_id"),
+            bare_page(url).alias("page_location"),
+            query_value(url, "promo").alias("promo"),
+            query_value(url, "discount").alias("discount"),
+            query_value(url, "referral_code").alias("referral_code"),
+            utm_key(*(campaign[c] for c in ("source", "medium", "campaign_name", "term", "content"))).alias("utm_hash"),
+            F.col("ecommerce.transaction_id").alias("transaction_id"),
+            F.col("ecommerce.purchase_revenue").alias("purchase_revenue"),
         )
+        .distinct()
+    )
+    at = shift_zone(from_micros("event_timestamp"), site.zone, site.zone_mode)
+    return rows.withColumns({"event_timestamp": at, "session": joined("user_pseudo_id", "session_id")})
+
+
+def with_hashes(rows: DataFrame) -> DataFrame:
+    """Add the day, the session hash and the event id of funnel events."""
+    return rows.withColumns(
+        {
+            "id_date": day_key("event_timestamp"),
+            "session_hash": F.sha2("session", 256),
+            "unique_event_id": sha_key(
+                "user_pseudo_id", micros_text("event_timestamp"), "event_name", "session_id"
+            ),
+        }
     )
 
 
@@ -148,7 +161,7 @@ def session_funnel(
     page = F.col("page_location")
     rows = session_columns(
         funnel_events(web_events, days, site),
-        session="session_hash",
+        session="session",
         ts="event_timestamp",
         ties=["event_name", "page_location"],
         latest={
@@ -165,4 +178,5 @@ def session_funnel(
     )
     landing = F.when(F.col("seen_outside") == 0, F.lit(PRODUCT_ONLY)).otherwise(F.col("landing_page"))
     columns = HISTORICAL_FUNNEL.schema.names
-    return rows.withColumn("landing_page", landing).select(*columns, *LAYOUT).distinct().select(*columns)
+    hashed = with_hashes(rows.withColumn("landing_page", landing))
+    return hashed.select(*columns, *LAYOUT).distinct().select(*columns)

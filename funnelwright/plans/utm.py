@@ -11,8 +11,7 @@ from ..functions.keys import NOT_SET, joined, not_set
 from ..functions.rules import classify
 from ..functions.times import DayRange
 from ..operators.merge import insert_new, update_changed
-from ..sources.slices import shards
-from .funnel import Site, page_url
+from .funnel import Site, on_site
 
 FIELDS = ["source", "medium", "campaign", "term", "content"]
 
@@ -45,8 +44,7 @@ def _fields(df: DataFrame, *cols: str) -> DataFrame:
 
 def event_fields(web_events: DataFrame, days: DayRange, site: Site) -> DataFrame:
     click = "session_traffic_source_last_click.manual_campaign."
-    on_site = shards(web_events, "event_date", days).where(page_url().like(f"%{site.domain}%"))
-    return _fields(on_site, *(click + c for c in ("source", "medium", "campaign_name", "term", "content")))
+    return _fields(on_site(web_events, days, site), *(click + c for c in ("source", "medium", "campaign_name", "term", "content")))
 
 
 def utm_fields(rows: DataFrame) -> DataFrame:

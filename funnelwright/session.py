@@ -29,11 +29,13 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = 8, memory: str = "8g") -> SparkSession:
-    """Single-machine session for tests and the benchmark."""
+def local_session(cores: int | str = 8, memory: str = "8g", shared: str | None = None) -> SparkSession:
+    """Single-machine session for tests and the benchmark, ``shared`` as its checkpoint folder."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("funnelwright")
     for key, value in {**REQUIRED, **TUNING}.items():
         builder = builder.config(key, value)
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     return (
         builder.config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.driver.memory", memory)
@@ -47,14 +49,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for an intermediate table.
 
     The folder is the one named by ``spark.checkpoint.dir``, which every executor can
-    reach. Only a local-mode session without that setting falls back to a temp folder.
+    reach. Only a local-mode session without that setting gets a temporary one.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="funnelwright-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="funnelwright-"))
+        shared = context.getCheckpointDir()
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
