@@ -2,8 +2,9 @@
 
 A plain window over the session key puts each session into one task. Events without a
 session id all share the NULL session, and one automated visitor can send a large share
-of the traffic, so sessions above ``hot_rows`` are cut into time chunks. The window runs
-inside a chunk, and what earlier chunks carry forward comes from one summary row per chunk.
+of the traffic, so sessions of more than ``hot_rows`` rows are cut into time chunks of about
+that many rows. The window runs inside a chunk, and what earlier chunks carry forward comes
+from one summary row per chunk.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ from pyspark.sql.window import Window
 from ..functions.keys import as_column
 
 HOT_ROWS = 1_000_000
-CHUNK_SECONDS = 60
 
 # Columns the rows are distributed by after session_columns(keep_layout=True).
 LAYOUT = ["_sid", "_no_sid", "_chunk"]
@@ -32,7 +32,6 @@ def session_columns(
     first: Mapping[str, str | Column] | None = None,
     peak: Mapping[str, str | Column] | None = None,
     hot_rows: int = HOT_ROWS,
-    chunk_seconds: int = CHUNK_SECONDS,
     keep_layout: bool = False,
 ) -> DataFrame:
     """Add per-session columns to ``events``.
@@ -47,7 +46,7 @@ def session_columns(
     latest, first, peak = (
         {out: as_column(c) for out, c in (given or {}).items()} for given in (latest, first, peak)
     )
-    chunked = _with_chunks(events, session, ts, hot_rows, chunk_seconds)
+    chunked = _with_chunks(events, session, ts, hot_rows)
     at = F.struct(ts, *ties)
 
     # each running value travels with its position, so max() finds the newest one
@@ -102,18 +101,25 @@ def session_columns(
     )
 
 
-def _with_chunks(events: DataFrame, session: str, ts: str, hot_rows: int, chunk_seconds: int) -> DataFrame:
-    """Replace the session column by the layout columns: NULL-safe key and time chunk."""
+def _with_chunks(events: DataFrame, session: str, ts: str, hot_rows: int) -> DataFrame:
+    """Replace the session column by the layout columns: NULL-safe key and time chunk.
+
+    A hot session is cut into equal stretches of time, as many as it has ``hot_rows`` in it.
+    Rows of equal time stay together.
+    """
     safe = events.withColumns(
         {"_sid": F.coalesce(F.col(session), F.lit("")), "_no_sid": F.col(session).isNull()}
     ).drop(session)
+    micros = F.unix_micros(ts)
+    start, end, n = F.col("_start"), F.col("_end"), F.col("_n")
     # at most rows / hot_rows sessions can qualify, which bounds the broadcast
     hot = (
         safe.groupBy("_sid", "_no_sid")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > hot_rows)
-        .select("_sid", "_no_sid", F.lit(True).alias("_hot"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(micros).alias("_start"), F.max(micros).alias("_end"))
+        .where(n > hot_rows)
+        .select("_sid", "_no_sid", "_start", F.greatest((end - start) / n * hot_rows, F.lit(1.0)).alias("_step"))
+    )
+    chunk = F.floor((micros - start) / F.col("_step"))
+    return safe.join(F.broadcast(hot), ["_sid", "_no_sid"], "left").select(
+        *safe.columns, F.col("_step").isNotNull().alias("_hot"), F.coalesce(chunk, F.lit(0).cast("long")).alias("_chunk")
     )
-    chunk = F.floor(F.unix_micros(ts) / F.lit(chunk_seconds * 1_000_000)).cast("long")
-    marked = safe.join(F.broadcast(hot), ["_sid", "_no_sid"], "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
-    return marked.withColumn("_chunk", F.when(F.col("_hot"), chunk).otherwise(F.lit(0).cast("long")))

@@ -12,7 +12,7 @@ from ..functions.records import param
 from ..functions.rules import classify, remap
 from ..functions.times import DayRange, day_key, from_micros, micros_text, shift_zone
 from ..functions.urls import bare_page, host_part, is_not_matching, query_value
-from ..operators.sessions import CHUNK_SECONDS, HOT_ROWS, LAYOUT, session_columns
+from ..operators.sessions import HOT_ROWS, LAYOUT, session_columns
 from ..schemas import HISTORICAL_FUNNEL
 from ..sources.slices import shards
 
@@ -151,7 +151,6 @@ def session_funnel(
     days: DayRange,
     site: Site = Site(),
     hot_rows: int = HOT_ROWS,
-    chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
     """The funnel rows of the days, ready to be appended to the stored funnel.
 
@@ -173,7 +172,6 @@ def session_funnel(
         first={"landing_page": landing_label(page, site)},
         peak={"seen_outside": outside_product(page, site)},
         hot_rows=hot_rows,
-        chunk_seconds=chunk_seconds,
         keep_layout=True,
     )
     landing = F.when(F.col("seen_outside") == 0, F.lit(PRODUCT_ONLY)).otherwise(F.col("landing_page"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.token_cost import model_tier, plan_of, token_cost, token_rows, unmapped_models
+from ..session import staged
 from .registry import Tables, query
 
 MODEL = """CASE p % 10
@@ -56,18 +57,20 @@ def _cost(tokens: str, unit: str) -> str:
       THEN {tokens} * (SELECT {unit} FROM prices WHERE model_name = 'chatgpt-4o-latest') ELSE {tokens} * cm.{unit} END"""
 
 
+# The calendar and the prices are stored tables for the report.
 def logs(t: Tables) -> DataFrame:
     rows = t.spark.sql(LOGS, lineitem=t.lineitem)
     return rows.withColumn("created_at", F.col("created_at").cast("timestamp"))
 
 
 def dates(t: Tables) -> DataFrame:
-    return t.spark.sql(DATES, logs=logs(t))
+    return staged(t.spark.sql(DATES, logs=logs(t)), "dim_date")
 
 
 def prices(t: Tables) -> DataFrame:
     rows = t.spark.sql(PRICES, logs=logs(t))
-    return rows.withColumns({c: F.col(c).cast("double") for c in ("input_cost_unit", "output_cost_unit")})
+    typed = rows.withColumns({c: F.col(c).cast("double") for c in ("input_cost_unit", "output_cost_unit")})
+    return staged(typed, "dim_model_cost")
 
 
 def rows(t: Tables) -> DataFrame:

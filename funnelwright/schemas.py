@@ -31,6 +31,7 @@ class TableSpec:
     """A stored table: its columns, keys, partition column and sort order inside files.
 
     ``partition_from_key``: rows of equal key are always in the same partition.
+    ``partition_expr``: SQL for a partition column that is not one of the table's columns.
     """
 
     name: str
@@ -39,6 +40,13 @@ class TableSpec:
     partition: str | None = None
     cluster: tuple[str, ...] = ()
     partition_from_key: bool = False
+    partition_expr: str | None = None
+
+    @property
+    def stored_schema(self) -> T.StructType:
+        if self.partition_expr is None:
+            return self.schema
+        return T.StructType([*self.schema.fields, T.StructField(self.partition, T.DateType())])
 
 
 HISTORICAL_FUNNEL = TableSpec(
@@ -110,7 +118,9 @@ PAYMENT_REPORT = TableSpec(
     "payment_report",
     _schema("charge_id string, created_at timestamp, data string, etl_load_date timestamp"),
     keys=("charge_id",),
+    partition="created_day",
     cluster=("charge_id",),
+    partition_expr="to_date(created_at)",
 )
 
 PAYMENT_REPORT_HISTORY = TableSpec(
@@ -119,7 +129,9 @@ PAYMENT_REPORT_HISTORY = TableSpec(
         "transaction_request_id string, charge_id string, created_at timestamp, data string, etl_load_date timestamp"
     ),
     keys=("transaction_request_id",),
+    partition="created_day",
     cluster=("transaction_request_id",),
+    partition_expr="to_date(created_at)",
 )
 
 SOCIAL_ADS_HOURLY = TableSpec(

@@ -45,10 +45,22 @@ def remove(spark: SparkSession, path: str) -> None:
 
 def read_table(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
     """The stored rows under the declared schema; no rows when there is no table yet."""
+    return _stored(spark, root, spec).select(*spec.schema.names)
+
+
+def _stored(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
+    """As ``read_table``, with the partition column also where it is derived."""
     path = table_path(root, spec)
+    schema = _nullable(spec.stored_schema)
     if not exists(spark, path):
-        return spark.createDataFrame([], _nullable(spec.schema))
-    return spark.read.schema(_nullable(spec.schema)).parquet(path).select(*spec.schema.names)
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def _incoming(rows: DataFrame, spec: TableSpec, load_time: datetime | None = None) -> DataFrame:
+    """Rows in the declared schema, with a derived partition column added."""
+    conformed = merge.conform(rows, spec.schema, load_time)
+    return conformed.withColumn(spec.partition, F.expr(spec.partition_expr)) if spec.partition_expr else conformed
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
@@ -59,7 +71,7 @@ def create_table(spark: SparkSession, root: str, spec: TableSpec) -> None:
     """Create the table if it is absent."""
     path = table_path(root, spec)
     if not exists(spark, path):
-        spark.createDataFrame([], _nullable(spec.schema)).write.parquet(path)
+        spark.createDataFrame([], _nullable(spec.stored_schema)).write.parquet(path)
 
 
 @contextmanager
@@ -123,7 +135,7 @@ def _replace_all(spark: SparkSession, root: str, spec: TableSpec, content: DataF
 
 def rebuild(spark: SparkSession, root: str, spec: TableSpec, rows: DataFrame) -> None:
     """Drop the content and write the rows."""
-    content = merge.conform(rows, spec.schema)
+    content = _incoming(rows, spec)
     path = table_path(root, spec)
     if spec.partition is None:
         _replace_all(spark, root, spec, content)
@@ -140,8 +152,8 @@ def append_new(
 
     Where the key decides the partition, only the partitions of the rows are looked at.
     """
-    with staging(merge.conform(rows, spec.schema), spec.name) as source:
-        stored = read_table(spark, root, spec)
+    with staging(_incoming(rows, spec), spec.name) as source:
+        stored = _stored(spark, root, spec)
         if spec.partition_from_key:
             stored = stored.where(_in_values(spec.partition, _values(source, spec.partition)))
         new = merge.insert_new(stored, source, spec.keys, dedup_batch)
@@ -150,14 +162,14 @@ def append_new(
 
 def update_changed(spark: SparkSession, root: str, spec: TableSpec, rows: DataFrame, attribute: str) -> None:
     """Overwrite one attribute where the rows bring another value."""
-    target = read_table(spark, root, spec)
+    target = _stored(spark, root, spec)
     _replace_all(spark, root, spec, merge.update_changed(target, rows, spec.keys[0], attribute))
 
 
 def replace_range(spark: SparkSession, root: str, spec: TableSpec, rows: DataFrame, lower) -> None:
     """Replace everything from ``lower`` on in the partition column by the rows."""
-    target = read_table(spark, root, spec)
-    with staging(merge.conform(rows, spec.schema), spec.name) as source:
+    target = _stored(spark, root, spec)
+    with staging(_incoming(rows, spec), spec.name) as source:
         touched = _values(target.where(F.col(spec.partition) >= F.lit(lower)), spec.partition)
         touched |= _values(source, spec.partition)
         current = target.where(_in_values(spec.partition, touched))
@@ -180,10 +192,10 @@ def upsert(
     Finding the latter reads the key columns alone, and nothing when the key decides the
     partition. With ``update_cols`` matched rows keep their other columns.
     """
-    with staging(merge.conform(rows, spec.schema, load_time), spec.name) as source:
+    with staging(_incoming(rows, spec, load_time), spec.name) as source:
         if source.isEmpty():
             return
-        target = read_table(spark, root, spec)
+        target = _stored(spark, root, spec)
 
         def merged(current: DataFrame) -> DataFrame:
             if update_cols is None:

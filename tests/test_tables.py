@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from funnelwright.schemas import DIM_UTM, TableSpec
+from funnelwright.schemas import DIM_UTM, PAYMENT_REPORT, TableSpec
 from funnelwright.sinks import tables
 
 SPEC = TableSpec(
@@ -123,6 +123,19 @@ def test_dimension_refresh(spark, root):
     assert [r[:2] for r in stored(spark, root, DIM_UTM)] == [("h1", "new"), ("h2", "same"), ("h3", "added")]
 
 
+def test_derived_partition_column(spark, root):
+    def report(*data):
+        return spark.createDataFrame(data, PAYMENT_REPORT.schema)
+
+    at = datetime(2024, 1, 1, 5)
+    tables.create_table(spark, root, PAYMENT_REPORT)
+    tables.upsert(spark, root, PAYMENT_REPORT, report(("a", at, "{}", at), ("b", None, "{}", at)))
+    tables.upsert(spark, root, PAYMENT_REPORT, report(("b", datetime(2024, 1, 2, 5), "{}", at)))
+    assert folders(root, PAYMENT_REPORT) == ["created_day=2024-01-01", "created_day=2024-01-02"]
+    assert [r[0] for r in stored(spark, root, PAYMENT_REPORT)] == ["a", "b"]
+    assert tables.read_table(spark, root, PAYMENT_REPORT).columns == PAYMENT_REPORT.schema.names
+
+
 def test_load_time_is_added(spark, root):
     schema = T.StructType([*SPEC.schema.fields, T.StructField("etl_load_date", T.TimestampType())])
     spec = TableSpec("stamped", schema, keys=("id",))
