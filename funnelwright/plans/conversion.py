@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -204,6 +205,7 @@ def campaign_conversion(
     social_insights: DataFrame,
     days: DayRange,
     rules: ChannelRules = ChannelRules(),
+    stage: Callable[[DataFrame, str], DataFrame] = staged,
 ) -> DataFrame:
     """The mart rows from ``days.first`` on; the range has no upper end.
 
@@ -217,7 +219,7 @@ def campaign_conversion(
         dim,
     )
     social = social_cost(social_insights, days)
-    recognised = with_social_cost(staged(conversions, "conversions"), staged(social, "social_cost"))
+    recognised = with_social_cost(stage(conversions, "conversions"), stage(social, "social_cost"))
     rows = with_search_cost(recognised, search_cost(search_stats, days))
 
     def ad_sum(measure: str) -> Column:

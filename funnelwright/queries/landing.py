@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.records import action_map
-from ..functions.times import DayRange
 from ..operators.dedupe import first_seen
 from ..operators.reshape import union_all
-from ..plans.ads import ACTIONS, HOUR_FIELD, search_ads_hourly, social_ads_hourly
+from ..plans.ads import ACTIONS, HOUR_FIELD, report_order, search_ads_hourly, social_ads_hourly
 from ..plans.billing import billing_audit, billing_events, billing_objects
 from ..plans.contacts import contacts
 from ..plans.reports import payment_report
@@ -183,7 +182,7 @@ def actions_pivot(t: Tables) -> DataFrame:
     k = F.expr("CAST(replace(substr(props, 7), '}', '') AS BIGINT)")
     base = t.events.withColumn("k", k)
 
-    def action(kind: str, value) -> F.Column:
+    def action(kind: str, value):
         return F.struct(F.lit(kind).alias("action_type"), value.cast("string").alias("value"))
 
     nothing = F.lit(None).cast("string")
@@ -235,10 +234,7 @@ def hourly_ads(t: Tables) -> DataFrame:
         F.sum("l_discount").alias("all_conversions"),
     )
     rows = search_ads_hourly(feed, LOAD_TIME, ORDER_DAYS).drop("conversions", "all_conversions", "etl_load_date")
-    return rows.withColumns({"cost": F.round("cost", 6), "date": F.col("date").cast("string")})
-
-
-CONTACT_DAYS = DayRange(EVENT_DAYS.first, EVENT_DAYS.last)
+    return report_order(rows).withColumns({"cost": F.round("cost", 6), "date": F.col("date").cast("string")})
 
 
 @query(
@@ -266,7 +262,7 @@ def contact_flatten(t: Tables) -> DataFrame:
         ).alias("custom attributes"),
         F.when(F.col("c_nationkey") >= 5, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array().cast("array<string>")).alias("turns"),
     )
-    flat = contacts(records, CONTACT_DAYS)
+    flat = contacts(records, EVENT_DAYS)
     parsed = F.from_json(
         "custom_attributes", "market_segment string, geo struct<home_nation: string>, data string"
     )

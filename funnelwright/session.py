@@ -18,7 +18,8 @@ TUNING = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # no stack inspection per Column call on the driver
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -7,7 +7,7 @@ The written copy survives a failure in between and is only removed after success
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from datetime import datetime
 
@@ -74,14 +74,27 @@ def create_table(spark: SparkSession, root: str, spec: TableSpec) -> None:
         spark.createDataFrame([], _nullable(spec.stored_schema)).write.parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A function writing frames to the shared folder and reading them back; what it wrote
+    is removed afterwards unless the block fails."""
+    paths = []
+
+    def stage(df: DataFrame, label: str) -> DataFrame:
+        paths.append(scratch_path(spark, label))
+        df.write.parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    yield stage
+    for path in paths:
+        remove(spark, path)
+
+
 @contextmanager
 def staging(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """``df`` written to the shared folder; removed afterwards unless the block fails."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    yield spark.read.schema(df.schema).parquet(path)
-    remove(spark, path)
+    with scratch(df.sparkSession) as stage:
+        yield stage(df, label)
 
 
 def _write(df: DataFrame, path: str, spec: TableSpec, mode: str) -> None:
