@@ -33,8 +33,9 @@ SEARCH_UPDATES = ["impressions", "clicks", "cost", "conversions", "all_conversio
 
 def social_ads_hourly(rows: DataFrame, load_time: datetime) -> DataFrame:
     """Text rows of the insights feed as typed rows with one column per wanted action."""
-    flat = flatten_structs(rows)
-    typed = flat.withColumns(
+    # cut to the wanted entries once, then looked up once per column
+    slim = flatten_structs(rows).withColumn("actions", F.filter("actions", lambda a: a["action_type"].isin(*ACTIONS)))
+    typed = slim.withColumns(
         {
             "id_date": day_key(day_or_null("date_start")),
             "hour": F.col(HOUR_FIELD),

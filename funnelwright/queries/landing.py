@@ -175,10 +175,28 @@ SELECT user_id, event_id, ts, event_type, value, CAST(replace(substr(props, 7),
       CASE WHEN k % 4 = 0 THEN 0 ELSE CAST(trunc(value) AS BIGINT) END AS inline_link_clicks,
       CASE WHEN k % 5 = 0 THEN 0 WHEN k % 5 = 1 THEN 7 ELSE -1 END AS act_link_click,
       CASE WHEN k % 5 = 0 THEN 0 ELSE CAST(trunc(value) AS BIGINT) END AS act_purchase,
-      0 AS act_lead, CASE WHEN k % 5 = 1 THEN 7 WHEN k % 5 > 1 THEN -1 END AS mapped_clicks FROM r"""
+      0 AS act_lead FROM r"""
 )
 def actions_pivot(t: Tables) -> DataFrame:
     """Insights rows as text, their repeated actions pivoted to columns."""
+    hourly = social_ads_hourly(insights_rows(t), LOAD_TIME)
+    wanted = ["id_date", "hour", "ad_id", "cost", "impressions", "inline_link_clicks"]
+    return hourly.select(*wanted, *(f"act_{a}" for a in ACTIONS if a in ("link_click", "purchase", "lead")))
+
+
+@query(
+    f"""WITH r AS ({AD_ROWS}), a AS (
+      SELECT 'ad' || event_id AS ad_id, unnest(['link_click', 'purchase', 'lead', 'video_view']) AS action_type,
+        unnest([CASE WHEN k % 5 = 1 THEN 7 ELSE -1 END, CAST(trunc(value) AS BIGINT), 0, 3]) AS n FROM r WHERE k % 5 <> 0)
+    SELECT ad_id, action_type, n FROM a"""
+)
+def actions_map(t: Tables) -> DataFrame:
+    """All actions of a record as a map, one row per entry."""
+    return insights_rows(t).select("ad_id", F.explode(action_map("actions")).alias("action_type", "n"))
+
+
+def insights_rows(t: Tables) -> DataFrame:
+    """Events as insights rows, all text; a fifth of them without actions."""
     k = F.expr("CAST(replace(substr(props, 7), '}', '') AS BIGINT)")
     base = t.events.withColumn("k", k)
 
@@ -194,7 +212,7 @@ def actions_pivot(t: Tables) -> DataFrame:
         action("video_view", F.lit("3")),
         action("link_click", F.when(F.col("k") % 5 == 1, "7").otherwise("-1.9")),
     )
-    rows = base.select(
+    return base.select(
         F.date_format("ts", "yyyy-MM-dd").alias("date_start"),
         *(F.lit(c).alias(c) for c in ("account_name", "account_id", "campaign_name", "campaign_id", "adset_name")),
         F.lit("adset").alias("adset_id"),
@@ -206,11 +224,6 @@ def actions_pivot(t: Tables) -> DataFrame:
         F.date_format("ts", "HH").alias(HOUR_FIELD),
         F.when(F.col("k") % 5 != 0, listed).alias("actions"),
     )
-    hourly = social_ads_hourly(rows, LOAD_TIME)
-    mapped = rows.select("ad_id", F.try_element_at(action_map("actions"), F.lit("link_click")).alias("mapped_clicks"))
-    wanted = ["id_date", "hour", "ad_id", "cost", "impressions", "inline_link_clicks"]
-    shown = [f"act_{a}" for a in ACTIONS if a in ("link_click", "purchase", "lead")]
-    return hourly.select(*wanted, *shown).join(mapped, "ad_id")
 
 
 @query(

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.token_cost import model_tier, plan_of, token_cost, token_rows, unmapped_models
-from ..session import staged
 from .registry import Tables, query
 
 MODEL = """CASE p % 10
@@ -26,20 +25,23 @@ SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS id,
 FROM (SELECT *, l_partkey AS p, date '2025-03-01' + CAST(l_orderkey % 300 AS INT) AS day,
     replace(CAST(date '2025-03-01' + CAST(l_orderkey % 300 AS INT) AS STRING), '-', '') AS id_date FROM {{lineitem}}) AS days
 """
-# The calendar is made of the days in use; February days without usage are absent.
-DATES = """SELECT DISTINCT id_date, CAST(created_at AS DATE) AS date, substr(id_date, 1, 6) AS year_month FROM {logs}"""
-# A price per model in use, some twice, some missing.
-PRICES = """SELECT DISTINCT ai_model AS model_name, length(ai_model) / 1000.0 AS input_cost_unit,
-    length(ai_model) / 250.0 AS output_cost_unit FROM {logs} WHERE ai_model IS NOT NULL AND ai_model <> 'o3'
-  UNION ALL SELECT DISTINCT ai_model, 0.5, 1.5 FROM {logs} WHERE ai_model = 'claude-4'"""
+# The calendar: the days orders fall on. Prices: one per model, one model twice, one not at all.
+DATES = """SELECT DISTINCT replace(CAST(day AS STRING), '-', '') AS id_date, day AS date,
+    substr(replace(CAST(day AS STRING), '-', ''), 1, 6) AS year_month
+  FROM (SELECT date '2025-03-01' + CAST(o_orderkey % 300 AS INT) AS day FROM {orders}) AS days"""
+PRICES = f"""SELECT DISTINCT model AS model_name, length(model) / 1000.0 AS input_cost_unit,
+    length(model) / 250.0 AS output_cost_unit
+  FROM (SELECT {MODEL} AS model FROM (SELECT p_partkey AS p FROM {{part}}) AS keys) AS models
+  WHERE model IS NOT NULL AND model <> 'o3'
+  UNION ALL SELECT 'claude-4', 0.5, 1.5 FROM {{part}} WHERE p_partkey = 2"""
 
 PLAN = """CASE WHEN lower(user_plan) LIKE '%guest mode%' THEN 'guest'
     WHEN user_plan IN ('fair use unlimited', 'trialing', 'free') THEN 'free'
     WHEN user_plan = 'pro subscription' THEN 'pro' WHEN user_plan = 'plus subscription' THEN 'plus'
     WHEN user_plan = 'lite subscription' THEN 'lite' WHEN user_plan = 'ultra subscription' THEN 'ultra' ELSE 'b2b' END"""
 
-ROWS_SQL = f"""logs AS ({LOGS.format(lineitem='lineitem')}), dates AS ({DATES.format(logs='logs')}),
-  prices AS ({PRICES.format(logs='logs')}),
+ROWS_SQL = f"""logs AS ({LOGS.format(lineitem='lineitem')}), dates AS ({DATES.format(orders='orders')}),
+  prices AS ({PRICES.format(part='part')}),
   tokens AS (
     SELECT DISTINCT d.date, m.user_email, {PLAN} AS plan,
       CASE WHEN m.created_at < '2025-10-29' AND m.source != 'new_chat_api_v2'
@@ -57,20 +59,18 @@ def _cost(tokens: str, unit: str) -> str:
       THEN {tokens} * (SELECT {unit} FROM prices WHERE model_name = 'chatgpt-4o-latest') ELSE {tokens} * cm.{unit} END"""
 
 
-# The calendar and the prices are stored tables for the report.
 def logs(t: Tables) -> DataFrame:
     rows = t.spark.sql(LOGS, lineitem=t.lineitem)
     return rows.withColumn("created_at", F.col("created_at").cast("timestamp"))
 
 
 def dates(t: Tables) -> DataFrame:
-    return staged(t.spark.sql(DATES, logs=logs(t)), "dim_date")
+    return t.spark.sql(DATES, orders=t.orders)
 
 
 def prices(t: Tables) -> DataFrame:
-    rows = t.spark.sql(PRICES, logs=logs(t))
-    typed = rows.withColumns({c: F.col(c).cast("double") for c in ("input_cost_unit", "output_cost_unit")})
-    return staged(typed, "dim_model_cost")
+    rows = t.spark.sql(PRICES, part=t.part)
+    return rows.withColumns({c: F.col(c).cast("double") for c in ("input_cost_unit", "output_cost_unit")})
 
 
 def rows(t: Tables) -> DataFrame:
