@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import utm_key
 from ..functions.times import DayRange, day_key
-from ..operators.merge import insert_new
 from ..schemas import PRECHECKOUT
 
 # Fixed value: campaign text that marks a trial run.
@@ -27,14 +26,3 @@ def precheckout_rows(raw: DataFrame, days: DayRange, internal_email: str = "%@sh
         "phone": F.col("phone").cast("string"),
     }
     return kept.select(*(derived.get(c, F.col(c)).alias(c) for c in PRECHECKOUT.schema.names))
-
-
-def new_precheckouts(
-    raw: DataFrame,
-    stored: DataFrame,
-    days: DayRange,
-    internal_email: str = "%@shop.example%",
-    dedup_batch: bool = False,
-) -> DataFrame:
-    """The cleaned rows whose id is not stored yet."""
-    return insert_new(stored, precheckout_rows(raw, days, internal_email), ["id"], dedup_batch)

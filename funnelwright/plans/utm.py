@@ -44,7 +44,8 @@ def _fields(df: DataFrame, *cols: str) -> DataFrame:
 
 def event_fields(web_events: DataFrame, days: DayRange, site: Site) -> DataFrame:
     click = "session_traffic_source_last_click.manual_campaign."
-    return _fields(on_site(web_events, days, site), *(click + c for c in ("source", "medium", "campaign_name", "term", "content")))
+    fields = ("source", "medium", "campaign_name", "term", "content")
+    return _fields(on_site(web_events, days, site), *(click + c for c in fields))
 
 
 def utm_fields(rows: DataFrame) -> DataFrame:

@@ -121,8 +121,6 @@ FROM {lineitem}
 # The same CTEs for the oracle.
 EV_SQL = f"ev AS ({EV.format(events='events')})"
 WEB_SQL = f"{EV_SQL}, web AS ({WEB.format(ev='ev')})"
-FORMS_SQL = f"{WEB_SQL}, forms AS ({FORMS.format(web='web')})"
-TRANSACTIONS_SQL = f"{FORMS_SQL}, tx AS ({TRANSACTIONS.format(web='web')})"
 
 
 def web_hits(t: Tables) -> DataFrame:
