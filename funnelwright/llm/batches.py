@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,7 +47,7 @@ def in_remainder(doc_id: Column, divisor: int, remainder: int) -> Column:
 
 def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in slices of at most ``limit`` bytes of text, or of one row."""
-    lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start = held = 0
     for i, n in enumerate(lengths):
         if held and held + n > limit:
@@ -63,7 +64,7 @@ def merged(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterat
     total = 0
     for batch in batches:
         for part in chunks(batch, column, limit):
-            n = pa.compute.sum(pa.compute.binary_length(part.column(column))).as_py() or 0
+            n = pc.sum(pc.binary_length(part.column(column))).as_py() or 0
             if held and total + n > limit:
                 yield _one(held)
                 held, total = [], 0
