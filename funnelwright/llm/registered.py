@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import pii, secrets
+from . import leaks, pii, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,8 +24,12 @@ def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.pii_report(_table(spark, folder, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks.leak_report(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op7_secret_scan, op8_pii)}
+    return {f.__name__: f for f in (op7_secret_scan, op8_pii, op9_decontamination)}
 
 
 def oracles() -> dict[str, str]:
