@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import leaks, pii, secrets
+from . import leaks, packing, pii, secrets
+
+# The vocabulary file of the packing query, by name or by path.
+TOKENIZER = "word_bpe_49k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +20,15 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """A vocabulary file by its path, or by its name among the installed public ones."""
+    if os.path.isabs(name):
+        return name
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_report(_table(spark, folder, "documents"))
 
@@ -28,8 +41,12 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return leaks.leak_report(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, folder, "documents"), tokenizer_path())
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op7_secret_scan, op8_pii, op9_decontamination)}
+    return {f.__name__: f for f in (op7_secret_scan, op8_pii, op9_decontamination, op10_packing)}
 
 
 def oracles() -> dict[str, str]:
