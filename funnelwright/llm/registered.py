@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import leaks, packing, pii, secrets, simhash
+from . import language, leaks, packing, pii, secrets, simhash
 
 # The vocabulary file of the packing query, by name or by path.
 TOKENIZER = "word_bpe_49k.json"
@@ -33,6 +33,10 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_report(_table(spark, folder, "documents"))
 
 
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.language_report(_table(spark, folder, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_report(_table(spark, folder, "documents"))
 
@@ -50,7 +54,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash, op7_secret_scan, op8_pii, op9_decontamination, op10_packing)}
+    return {f.__name__: f for f in (op1_simhash, op3_language, op7_secret_scan, op8_pii, op9_decontamination, op10_packing)}
 
 
 def oracles() -> dict[str, str]:
