@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import language, leaks, packing, pii, secrets, simhash
+from . import chat, language, leaks, packing, pii, secrets, simhash, warc
 
 # The vocabulary file of the packing query, by name or by path.
 TOKENIZER = "word_bpe_49k.json"
@@ -37,6 +37,14 @@ def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.language_report(_table(spark, folder, "documents"))
 
 
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.warc_report(spark, _table(spark, folder, "pages"))
+
+
+def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.chat_texts(_table(spark, folder, "conversations"))
+
+
 def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_report(_table(spark, folder, "documents"))
 
@@ -54,8 +62,8 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash, op3_language, op7_secret_scan, op8_pii, op9_decontamination, op10_packing)}
+    return {f.__name__: f for f in (op1_simhash, op3_language, op4_warc, op6_chat, op7_secret_scan, op8_pii, op9_decontamination, op10_packing)}
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op4_warc": warc.WARC_SQL, "op6_chat": chat.CHAT_SQL}
