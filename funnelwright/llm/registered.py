@@ -6,9 +6,10 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import chat, language, leaks, packing, pii, secrets, simhash, warc
+from . import chat, language, leaks, nearest, packing, pii, secrets, simhash, warc
 
 # The vocabulary file of the packing query, by name or by path.
 TOKENIZER = "word_bpe_49k.json"
@@ -33,6 +34,10 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_report(_table(spark, folder, "documents"))
 
 
+def op2_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.language_report(_table(spark, folder, "documents"))
 
@@ -62,8 +67,8 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash, op3_language, op4_warc, op6_chat, op7_secret_scan, op8_pii, op9_decontamination, op10_packing)}
+    return {f.__name__: f for f in (op1_simhash, op2_nearest, op3_language, op4_warc, op6_chat, op7_secret_scan, op8_pii, op9_decontamination, op10_packing)}
 
 
 def oracles() -> dict[str, str]:
-    return {"op4_warc": warc.WARC_SQL, "op6_chat": chat.CHAT_SQL}
+    return {"op2_nearest": nearest.NEAREST_SQL, "op4_warc": warc.WARC_SQL, "op6_chat": chat.CHAT_SQL}
