@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import chat, language, leaks, nearest, packing, pii, secrets, simhash, warc
+from . import chat, language, leaks, nearest, packing, pii, ppm, secrets, simhash, warc
 
 # The vocabulary file of the packing query, by name or by path.
 TOKENIZER = "word_bpe_49k.json"
@@ -46,6 +46,10 @@ def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.warc_report(spark, _table(spark, folder, "pages"))
 
 
+def op5_ppm(spark: SparkSession, folder: str) -> DataFrame:
+    return ppm.language_model_report(_table(spark, folder, "documents"))
+
+
 def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.chat_texts(_table(spark, folder, "conversations"))
 
@@ -67,7 +71,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash, op2_nearest, op3_language, op4_warc, op6_chat, op7_secret_scan, op8_pii, op9_decontamination, op10_packing)}
+    return {f.__name__: f for f in (op1_simhash, op2_nearest, op3_language, op4_warc, op5_ppm, op6_chat, op7_secret_scan, op8_pii, op9_decontamination, op10_packing)}
 
 
 def oracles() -> dict[str, str]:
