@@ -39,6 +39,9 @@ GROUP = 2000
 FILLER, FINE = 16, 128
 END_ID = 2
 
+# A run's slot in the table of known runs: the top 20 bits of its hash.
+_SHIFT = np.uint64(44)
+
 # Classes of bytes that decide where runs may be cut before tokenising.
 _SPLIT = words.NOT_SPACE.copy()
 _SPLIT[[0x0B, 0x0C]] = True  # the tokenizer sees these itself
@@ -113,7 +116,7 @@ class Encoder:
         hashed = words.hashes(lowered, starts, ends)
         hashed[hashed == 0] = 1
         hashed[special] = 0  # never known
-        slot = (hashed >> np.uint64(44)).astype(np.int64)
+        slot = (hashed >> _SHIFT).astype(np.int64)
         known = self._known[slot] == hashed
         known &= ~special
         start = np.where(known, self._start[slot], 0)
@@ -128,7 +131,7 @@ class Encoder:
             new_start, new_length = np.zeros(len(new), dtype=np.int64), np.zeros(len(new), dtype=np.int64)
             new_start[plain], new_length[plain] = self._keep(lists)
             start[missing], length[missing] = new_start[of], new_length[of]
-            slots = (new[plain] >> np.uint64(44)).astype(np.int64)
+            slots = (new[plain] >> _SHIFT).astype(np.int64)
             self._known[slots] = new[plain]
             # of runs that share a slot numpy keeps the last, for all three arrays alike
             self._start[slots], self._length[slots] = new_start[plain], new_length[plain]

@@ -351,7 +351,8 @@ def score(docs: DataFrame, training: DataFrame, key: str = "doc_id") -> DataFram
     trie = build_trie(counts)
     vocabulary = counts.where(F.col("kind") == WORD).select("key", "n")
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = sorted((r["key"], r["n"]) for r in vocabulary.orderBy(F.desc("n"), "key").limit(FREQUENT).collect())
+    top = vocabulary.orderBy(F.desc("n"), "key").limit(FREQUENT).union(vocabulary.where(F.col("key") == int(END_TOKEN)))
+    top = sorted({(r["key"], r["n"]) for r in top.collect()})
     # the frequent words are a table of at most FREQUENT rows; the trie's place is a few addresses
     shared = spark.sparkContext.broadcast(
         (np.array([k for k, _ in top], dtype=np.int64), np.array([n for _, n in top], dtype=np.float64), trie)
@@ -412,7 +413,7 @@ def _scored(column: pa.Array, known: _Table, stored: StoredTrie) -> list[pa.Arra
     value = np.where(at >= 0, known.values[0][at], 0.0)
     frequent = _sums((at >= 0).astype(float), bounds[:-1], n_words).astype(np.int64)
     base = _sums(value, bounds[:-1], n_words)
-    end = known.find(np.array([END_TOKEN]).view(np.int64))[0]  # the end token counts each text: always frequent
+    end = known.find(np.array([END_TOKEN]).view(np.int64))[0]  # in the table whatever its count
     if end >= 0:
         base += known.values[0][end]
         frequent += 1
