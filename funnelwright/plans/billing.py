@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import present
@@ -22,7 +22,8 @@ def _heads(objects: DataFrame, days: DayRange | None, *fields: str) -> DataFrame
     where they would parse again.
     """
     names = ["id", "created", *fields]
-    parsed = objects.select("page", "pos", "raw", F.json_tuple("raw", *names).alias(*names)).withColumns(
+    landed = [c for c in ("fetch", "page", "pos") if c in objects.columns]
+    parsed = objects.select(*landed, "raw", F.json_tuple("raw", *names).alias(*names)).withColumns(
         {
             "id": F.nullif(F.col("id"), F.lit("")),
             "created": F.nullif(F.col("created").try_cast("bigint"), F.lit(0)),
@@ -31,10 +32,16 @@ def _heads(objects: DataFrame, days: DayRange | None, *fields: str) -> DataFrame
     return parsed if days is None else created_within(parsed, "created", days)
 
 
+def _landing_order(objects: DataFrame) -> list[Column]:
+    """The newest landed file first, inside a file by page and place."""
+    newest = [F.desc("fetch")] if "fetch" in objects.columns else []
+    return [*newest, F.asc("page"), F.asc("pos")]
+
+
 def billing_objects(objects: DataFrame, load_time: datetime, days: DayRange | None = None) -> DataFrame:
-    """One envelope per id: the first landed copy, with its creation day and full JSON."""
+    """One envelope per id: the first copy of the newest landed file, with its creation day and full JSON."""
     return (
-        first_seen(_heads(objects, days), ["id"], ["page", "pos"])
+        first_seen(_heads(objects, days), ["id"], _landing_order(objects))
         .where(F.col("created").isNotNull())
         .select(
             "id",
@@ -56,7 +63,7 @@ def billing_events(
     wanted = of_types(_heads(objects, days, "type", "data").drop("raw"), "type", types)
     inner = wanted.select("*", F.json_tuple("data", "object").alias("object"))
     return (
-        first_seen(inner.drop("type", "data"), ["id"], ["page", "pos"])
+        first_seen(inner.drop("type", "data"), ["id"], _landing_order(objects))
         .select("*", F.json_tuple("object", "id").alias("object_id"))
         .where(F.col("created").isNotNull() & present("object_id"))
         .select(

@@ -53,16 +53,26 @@ def read_landed(spark: SparkSession, path: str, schema: T.StructType | None = No
         raise RuntimeError("reading .avro needs the spark-avro package on the classpath") from err
 
 
-def read_report(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def read_report(spark: SparkSession, paths: Sequence[str], multi_line: bool = True) -> DataFrame:
     """CSV reports with their own headers, as text under the union of normalised names.
 
-    Each path is one file, folder or glob sharing a header.
+    Each path is a file, folder or glob. Files are grouped by their header line, so unlike
+    headers under one path are united by name; a file whose header still differs from its
+    group's fails the read. Quoted line breaks need ``multi_line``, which reads a file in one
+    task; without it large files are split.
     """
-    frames = [
-        rename_columns(spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(p), "report")
-        for p in paths
-    ]
-    return blank_missing(union_all(frames))
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    reader = reader.option("enforceSchema", False)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        for file in sorted(spark.read.text(path).inputFiles()):
+            groups.setdefault(tuple(_header(spark, file)), []).append(file)
+    return blank_missing(union_all([rename_columns(reader.csv(files), "report") for files in groups.values()]))
+
+
+def _header(spark: SparkSession, file: str) -> list[str]:
+    """Column names of one file; only its first line is read."""
+    return spark.read.option("header", True).option("escape", '"').csv(file).columns
 
 
 def blank_missing(df: DataFrame, tokens: Sequence[str] = MISSING_TEXTS) -> DataFrame:
@@ -77,15 +87,49 @@ def blank_missing(df: DataFrame, tokens: Sequence[str] = MISSING_TEXTS) -> DataF
     )
 
 
-PAGE_SCHEMA = "page long, data array<string>"
+PAGE_SCHEMA = "page long, data array<string>, _broken string"
+
+# What to do with a page that is no JSON document with a ``data`` array.
+ON_BROKEN = ["error", "skip"]
+
+
+def landed_text(reader) -> DataFrame:
+    """Lines of a text reader with ``fetch``, which orders the files they landed in."""
+    landed = F.struct(F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("file"))
+    return reader.select("value", landed.alias("fetch"))
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed API pages, one JSON document per line, as ``page, pos, raw``."""
-    return page_objects(spark.read.text(path), "value")
+def read_pages(spark: SparkSession, path: str, whole_files: bool = False, on_broken: str = "error") -> DataFrame:
+    """Landed API pages as ``fetch, page, pos, raw``: one JSON document per line, or per file
+    with ``whole_files`` (indented documents)."""
+    text = landed_text(spark.read.text(path, wholetext=whole_files))
+    return page_objects(text, "value", "fetch", on_broken=on_broken)
 
 
-def page_objects(pages: DataFrame, text: str | Column, *keep: str) -> DataFrame:
-    """One row per object of each page's ``data`` array, with its JSON text as ``raw``."""
-    parsed = pages.select(*keep, F.from_json(as_column(text), PAGE_SCHEMA).alias("_p"))
-    return parsed.select(*keep, F.col("_p.page").alias("page"), F.posexplode("_p.data").alias("pos", "raw"))
+def _parsed_pages(pages: DataFrame, text: str | Column, *keep: str) -> DataFrame:
+    parsed = F.from_json(as_column(text), PAGE_SCHEMA, {"columnNameOfCorruptRecord": "_broken"})
+    known = pages.select(*keep, as_column(text).alias("_text"), parsed.alias("_p")).where(F.trim("_text") != "")
+    return known.withColumn("_bad", F.col("_p").isNull() | F.col("_p._broken").isNotNull() | F.col("_p.data").isNull())
+
+
+def page_objects(pages: DataFrame, text: str | Column, *keep: str, on_broken: str = "error") -> DataFrame:
+    """One row per object of each page's ``data`` array, with its JSON text as ``raw``.
+
+    A page that does not parse, or has no ``data``, fails the job or is skipped; ``broken_pages``
+    lists it. Blank lines are no pages.
+    """
+    if on_broken not in ON_BROKEN:
+        raise ValueError(f"unknown on_broken {on_broken!r}; known: {ON_BROKEN}")
+    parsed = _parsed_pages(pages, text, *keep)
+    data = F.col("_p.data")
+    if on_broken == "error":
+        failed = F.raise_error(F.concat(F.lit("landed page does not parse: "), F.left("_text", F.lit(200))))
+        data = F.when(F.col("_bad"), failed.cast("array<string>")).otherwise(data)
+    else:
+        parsed = parsed.where(~F.col("_bad"))
+    return parsed.select(*keep, F.col("_p.page").alias("page"), F.posexplode(data).alias("pos", "raw"))
+
+
+def broken_pages(pages: DataFrame, text: str | Column, *keep: str) -> DataFrame:
+    """The pages that ``page_objects`` cannot read, with their text."""
+    return _parsed_pages(pages, text, *keep).where("_bad").select(*keep, F.col("_text").alias("text"))

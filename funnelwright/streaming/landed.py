@@ -2,7 +2,9 @@
 
 Structured Streaming keeps track of the files already read, so a run does not list and
 re-read the whole landing folder. Batches go through the same plans and upserts as a full
-load; an upsert makes a batch that is replayed after a failure harmless.
+load; an upsert makes a batch that is replayed after a failure harmless. Objects carry the file
+they landed in (``fetch``), and files are read in the order they landed: of several copies of an id
+the one of the newest file wins, inside a file the first, however the files fall into batches.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.readers import page_objects
+from ..sources.readers import landed_text, page_objects
 
 
 def load_new_pages(
@@ -21,12 +23,13 @@ def load_new_pages(
     checkpoint: str,
     load: Callable[[DataFrame], None],
     files_per_batch: int = 1000,
+    on_broken: str = "error",
 ) -> StreamingQuery:
     """Start a run over all files landed since the last one and hand each batch of
-    objects (``page, pos, raw``) to ``load``; the run ends when none is left."""
-    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)
+    objects (``fetch, page, pos, raw``) to ``load``; the run ends when none is left."""
+    lines = landed_text(spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder))
     return (
-        lines.writeStream.foreachBatch(lambda batch, _: load(page_objects(batch, "value")))
+        lines.writeStream.foreachBatch(lambda batch, _: load(page_objects(batch, "value", "fetch", on_broken=on_broken)))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -1,9 +1,11 @@
 """Landed feeds: edge rows of pages, reports, ads, contacts and file formats."""
 
 import json
+import os
 from datetime import date, datetime
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from funnelwright.functions.times import DayRange
@@ -14,7 +16,7 @@ from funnelwright.plans.contacts import contacts
 from funnelwright.plans.reports import payment_report, payment_report_history
 from funnelwright.schemas import BILLING_EVENTS, SOCIAL_ADS_ROWS, billing_object
 from funnelwright.sinks import tables
-from funnelwright.sources.readers import blank_missing, page_objects, read_landed, read_pages, read_report
+from funnelwright.sources.readers import blank_missing, broken_pages, page_objects, read_landed, read_pages, read_report
 from funnelwright.sources.slices import EVENT_TYPES, INTENT_EVENT_TYPES, OBJECT_EVENT_TYPES
 from funnelwright.streaming.landed import load_new_pages
 
@@ -187,3 +189,43 @@ def test_formats(spark, tmp_path):
         read_landed(spark, "x.exe")
     with pytest.raises(RuntimeError, match="spark-avro"):
         read_landed(spark, str(tmp_path / "x.avro"))
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 1000])
+def test_batching_does_not_decide_which_copy_wins(spark, tmp_path, files_per_batch):
+    folder = tmp_path / "pages"
+    folder.mkdir()
+    for n, status in enumerate(["first", "second", "third"]):
+        page = {"page": 1, "data": [{"id": "a", "created": 1700000000, "s": f"{status} {i}"} for i in range(2)]}
+        (folder / f"{n}.json").write_text(json.dumps(page) + "\n", encoding="utf8")
+        os.utime(folder / f"{n}.json", (1_700_000_000 + n, 1_700_000_000 + n))
+    root, spec = str(tmp_path / "root"), billing_object("charges")
+    load = lambda batch: tables.upsert(spark, root, spec, billing_objects(batch, LOADED))
+    load_new_pages(spark, str(folder), str(tmp_path / "checkpoint"), load, files_per_batch).awaitTermination()
+    stored = tables.read_table(spark, root, spec).collect()
+    assert [json.loads(r.data)["s"] for r in stored] == ["third 0"]
+
+
+def test_pages_that_do_not_parse(spark, tmp_path):
+    lines = [json.dumps({"page": n, "data": [{"id": str(n)}]}) for n in range(3)]
+    texts = [lines[0], lines[1][:-4], lines[2], "", '{"page": 4}', '{"page": 5, "data": []}']
+    (tmp_path / "p.json").write_text("\n".join(texts), encoding="utf8")
+    with pytest.raises(PySparkException, match="does not parse"):
+        read_pages(spark, str(tmp_path)).collect()
+    assert [r.page for r in read_pages(spark, str(tmp_path), on_broken="skip").orderBy("page").collect()] == [0, 2]
+    assert sorted(r.text for r in broken_pages(spark.read.text(str(tmp_path)), "value").collect()) == sorted([texts[1], texts[4]])
+    with pytest.raises(ValueError):
+        read_pages(spark, str(tmp_path), on_broken="ignore")
+
+
+def test_indented_pages(spark, tmp_path):
+    (tmp_path / "p.json").write_text(json.dumps({"page": 1, "data": [{"id": "a"}, {"id": "b"}]}, indent=2), encoding="utf8")
+    assert read_pages(spark, str(tmp_path), whole_files=True).count() == 2
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_reports_of_one_folder_are_united_by_name(spark, tmp_path, multi_line):
+    for n, text in enumerate(["a,b,c\n1,2,3\n", "b,a,c\n5,4,6\n", "a,c\n7,8\n", "a,b,c\n9,10,11\n"]):
+        (tmp_path / f"{n}.csv").write_text(text, encoding="utf8")
+    got = {tuple(r[c] for c in "abc") for r in read_report(spark, [str(tmp_path)], multi_line).collect()}
+    assert got == {("1", "2", "3"), ("4", "5", "6"), ("7", None, "8"), ("9", "10", "11")}
