@@ -23,13 +23,16 @@ def first_seen(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last row per key by ``order``; NULL keys are all kept, since they equal nothing."""
+    """The last row per key by ``order``; NULL keys are all kept, since they equal nothing.
+
+    A row with a NULL key is a group of its own, so the input is read once and such rows are
+    spread over all tasks.
+    """
     rest = [c for c in df.columns if c not in {*keys, *order}]
     newest_first = [F.desc(c) for c in (*order, *rest)]
-    no_key = any_null(keys)
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first))
-    ranked = df.where(~no_key).withColumn("_rank", rank).where("_rank = 1").drop("_rank")
-    return ranked.unionByName(df.where(no_key))
+    alone = F.when(any_null(keys), F.monotonically_increasing_id()).otherwise(F.lit(0))
+    rank = F.row_number().over(Window.partitionBy(*keys, "_alone").orderBy(*newest_first))
+    return df.withColumn("_alone", alone).withColumn("_rank", rank).where("_rank = 1").drop("_alone", "_rank")
 
 
 def any_null(keys: Sequence[str]) -> Column:

@@ -12,18 +12,37 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from .dedupe import any_null, latest_per_key
-from .joins import keyed_join, not_in
+from .joins import keyed_join, not_in, spread_null_keys
 
 
-def insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str], dedup_batch: bool = False) -> DataFrame:
-    """The source rows to append: those whose key the target lacks."""
+def insert_new(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    dedup_batch: bool = False,
+    compare_keyless: bool = False,
+) -> DataFrame:
+    """The source rows to append: those whose key the target lacks.
+
+    A row with a NULL key matches nothing and is always new, unless ``compare_keyless``: then it is
+    new if the target has no row equal to it in all columns.
+    """
     rows = source
     if dedup_batch:
         rest = [c for c in source.columns if c not in keys]
         rows = latest_per_key(source, keys, rest)
-    return not_in(rows, target, keys)
+    if not compare_keyless:
+        return not_in(rows, target, keys)
+    keyless = any_null(keys)
+    known = target.where(keyless).select(*(F.col(c).alias(f"_k_{c}") for c in rows.columns))
+    equal = F.lit(True)
+    for c in rows.columns:
+        equal = equal & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    unknown = rows.where(keyless).join(known, equal, "left_anti")
+    return not_in(rows.where(~keyless), target, keys).unionByName(unknown)
 
 
 def update_changed(target: DataFrame, source: DataFrame, key: str, attribute: str) -> DataFrame:
@@ -53,17 +72,24 @@ def _checked_source(source: DataFrame, keys: Sequence[str], on_duplicate: str, o
     raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
 
 
-def _matches(source: DataFrame, keys: Sequence[str], values: Sequence[str] = ()) -> DataFrame:
-    """Rows per source key, with the update values of keys that occur once."""
-    return (
-        source.where(~any_null(keys))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), *(F.any_value(v).alias(f"_new_{v}") for v in values))
-    )
-
+def _side_by_side(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows (columns ``_t_*``) and source rows (``_s_*``) joined by key in one full join.
 
-def _ambiguous() -> Column:
-    return F.raise_error(F.lit("several source rows match one target row"))
+    Several source rows for a target row fail the job; source rows without one may repeat.
+    Each side is shuffled once: the count of source rows per key uses the join's distribution.
+    """
+    of_key = Window.partitionBy(*(f"_s_{k}" for k in keys), "_s_spread")
+    left = spread_null_keys(target, keys)
+    right = spread_null_keys(source, keys)
+    left = left.withColumnRenamed("_spread", "spread").select(*(F.col(c).alias(f"_t_{c}") for c in [*target.columns, "spread"]))
+    right = right.withColumnRenamed("_spread", "spread").select(*(F.col(c).alias(f"_s_{c}") for c in [*source.columns, "spread"]))
+    right = right.withColumn("_n", F.count(F.lit(1)).over(of_key))
+    same = F.col("_t_spread") == F.col("_s_spread")
+    for k in keys:
+        same = same & (F.col(f"_t_{k}") == F.col(f"_s_{k}"))
+    ambiguous = F.raise_error(F.lit("several source rows match one target row")).cast("boolean")
+    met = F.col("_t_spread").isNotNull() & F.col("_s_spread").isNotNull()
+    return left.join(right, same, "full").where(F.when(met & (F.col("_n") > 1), ambiguous).otherwise(F.lit(True)))
 
 
 def upsert(
@@ -78,14 +104,7 @@ def upsert(
     A target row matched by several source rows fails the job (``on_duplicate='error'``),
     or the last row by ``order_by`` is taken (``'latest'``).
     """
-    source = _checked_source(source, keys, on_duplicate, order_by).select(*target.columns)
-    n = F.col("_n")
-    kept = (
-        keyed_join(target, _matches(source, keys), keys, "left")
-        .where(F.when(n > 1, _ambiguous().cast("boolean")).otherwise(n.isNull()))
-        .select(*target.columns)
-    )
-    return kept.unionByName(source)
+    return upsert_partial(target, source, keys, target.columns, on_duplicate, order_by)
 
 
 def upsert_partial(
@@ -98,14 +117,14 @@ def upsert_partial(
 ) -> DataFrame:
     """As ``upsert``, but matched rows take only ``update_cols`` from the source."""
     source = _checked_source(source, keys, on_duplicate, order_by).select(*target.columns)
-    n = F.col("_n")
-    updated = (
-        keyed_join(target, _matches(source, keys, update_cols), keys, "left")
-        .where(F.when(n > 1, _ambiguous().cast("boolean")).otherwise(F.lit(True)))
-        .withColumns({c: F.when(n.isNotNull(), F.col(f"_new_{c}")).otherwise(F.col(c)) for c in update_cols})
-        .select(*target.columns)
-    )
-    return updated.unionByName(not_in(source, target, keys))
+    rows = _side_by_side(target, source, keys)
+    stored, incoming = F.col("_t_spread").isNotNull(), F.col("_s_spread").isNotNull()
+
+    def value(c: str) -> Column:
+        from_source = incoming if c in update_cols else incoming & ~stored
+        return F.when(from_source, F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}")).alias(c)
+
+    return rows.select(*(value(c) for c in target.columns))
 
 
 def replace_range(target: DataFrame, source: DataFrame, column: str, lower, upper=None) -> DataFrame:

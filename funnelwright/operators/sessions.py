@@ -2,8 +2,8 @@
 
 A plain window over the session key puts each session into one task. Events without a
 session id all share the NULL session, and one automated visitor can send a large share
-of the traffic, so sessions of more than ``hot_rows`` rows are cut into time chunks of about
-that many rows. The window runs inside a chunk, and what earlier chunks carry forward comes
+of the traffic, so sessions of more than ``hot_rows`` rows are cut at quantiles of their times into
+chunks of about that many rows, however the rows lie in time. The window runs inside a chunk, and what earlier chunks carry forward comes
 from one summary row per chunk.
 """
 
@@ -19,6 +19,9 @@ from ..functions.keys import as_column
 
 HOT_ROWS = 1_000_000
 
+# Quantiles taken of a hot session's times.
+CUTS = 1000
+
 # Columns the rows are distributed by after session_columns(keep_layout=True).
 LAYOUT = ["_sid", "_no_sid", "_chunk"]
 
@@ -104,22 +107,31 @@ def session_columns(
 def _with_chunks(events: DataFrame, session: str, ts: str, hot_rows: int) -> DataFrame:
     """Replace the session column by the layout columns: NULL-safe key and time chunk.
 
-    A hot session is cut into equal stretches of time, as many as it has ``hot_rows`` in it.
-    Rows of equal time stay together.
+    A hot session is cut at its approximate quantiles of time, as many as it has ``hot_rows`` in it
+    (``CUTS`` at most, then chunks grow). Rows of equal time stay together.
     """
     safe = events.withColumns(
         {"_sid": F.coalesce(F.col(session), F.lit("")), "_no_sid": F.col(session).isNull()}
     ).drop(session)
     micros = F.unix_micros(ts)
-    start, end, n = F.col("_start"), F.col("_end"), F.col("_n")
-    # at most rows / hot_rows sessions can qualify, which bounds the broadcast
-    hot = (
-        safe.groupBy("_sid", "_no_sid")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(micros).alias("_start"), F.max(micros).alias("_end"))
-        .where(n > hot_rows)
-        .select("_sid", "_no_sid", "_start", F.greatest((end - start) / n * hot_rows, F.lit(1.0)).alias("_step"))
+    sizes = safe.groupBy("_sid", "_no_sid").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    # sessions that are hot are few, so their quantiles are taken over their rows alone
+    quantiles = F.percentile_approx(micros, [i / CUTS for i in range(1, CUTS)], 10 * CUTS)
+    marks = (
+        safe.select("_sid", "_no_sid", ts)
+        .join(sizes, ["_sid", "_no_sid"])
+        .groupBy("_sid", "_no_sid")
+        .agg(quantiles.alias("_q"), F.any_value("_n").alias("_n"))
+    )
+    # every so many of the quantiles, such that a chunk has about hot_rows
+    parts = F.least(F.ceil(F.col("_n") / F.lit(max(hot_rows, 1))), F.lit(CUTS)).cast("int")
+    ends = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.col("_parts") - 1, F.lit(1))),
+        lambda i: F.element_at("_q", F.greatest((i * F.lit(CUTS) / F.col("_parts")).cast("int"), F.lit(1))),
     )
-    chunk = F.floor((micros - start) / F.col("_step"))
-    return safe.join(F.broadcast(hot), ["_sid", "_no_sid"], "left").select(
-        *safe.columns, F.col("_step").isNotNull().alias("_hot"), F.coalesce(chunk, F.lit(0).cast("long")).alias("_chunk")
+    hot = marks.withColumn("_parts", parts).select("_sid", "_no_sid", F.array_distinct(ends).alias("_ends"))
+    chunk = F.size(F.filter("_ends", lambda e: e < micros)).cast("long")
+    is_hot = F.col("_ends").isNotNull()
+    return safe.join(hot, ["_sid", "_no_sid"], "left").select(
+        *safe.columns, is_hot.alias("_hot"), F.when(is_hot, chunk).otherwise(F.lit(0).cast("long")).alias("_chunk")
     )

@@ -159,9 +159,15 @@ def rebuild(spark: SparkSession, root: str, spec: TableSpec, rows: DataFrame) ->
 
 
 def append_new(
-    spark: SparkSession, root: str, spec: TableSpec, rows: DataFrame, dedup_batch: bool = False
+    spark: SparkSession,
+    root: str,
+    spec: TableSpec,
+    rows: DataFrame,
+    dedup_batch: bool = False,
+    compare_keyless: bool = False,
 ) -> None:
-    """Append the rows whose key is not stored.
+    """Append the rows whose key is not stored; with ``compare_keyless`` rows without a key are
+    appended only if no equal row is stored.
 
     Where the key decides the partition, only the partitions of the rows are looked at.
     """
@@ -169,7 +175,7 @@ def append_new(
         stored = _stored(spark, root, spec)
         if spec.partition_from_key:
             stored = stored.where(_in_values(spec.partition, _values(source, spec.partition)))
-        new = merge.insert_new(stored, source, spec.keys, dedup_batch)
+        new = merge.insert_new(stored, source, spec.keys, dedup_batch, compare_keyless)
         _write(new, table_path(root, spec), spec, "append")
 
 

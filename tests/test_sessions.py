@@ -85,5 +85,22 @@ def test_hot_session_is_cut(spark):
     df = spark.createDataFrame(data, SCHEMA).withColumn("at", F.timestamp_seconds("t"))
     result = session_columns(df, "s", "at", ["name"], {"v": "v"}, hot_rows=100, keep_layout=True)
     sizes = result.groupBy("_sid", "_no_sid", "_chunk").count()
-    assert sizes.where("_no_sid").count() == 11
-    assert sizes.agg(F.max("count")).first()[0] <= 101
+    assert sizes.where("_no_sid").count() == 10
+    assert sizes.agg(F.max("count")).first()[0] <= 110
+
+
+@pytest.mark.parametrize("kind", ["outlier", "burst"])
+def test_chunks_hold_equal_numbers_of_rows(spark, kind):
+    times = [*range(1_000_000, 1_010_000)] if kind == "outlier" else [i if i < 1000 else 500 + i / 10_000 for i in range(10_000)]
+    times += [0, 10**9]
+    df = spark.createDataFrame([(None, float(t), "e") for t in times], "s string, t double, name string")
+    df = df.withColumn("at", F.timestamp_seconds("t")).drop("t")
+    result = session_columns(df, "s", "at", ["name"], {"n": "name"}, hot_rows=500, keep_layout=True)
+    sizes = [r["count"] for r in result.groupBy("_chunk").count().collect()]
+    assert sum(sizes) == len(times) and max(sizes) <= 1000
+
+
+def test_no_forced_broadcast(spark):
+    df = spark.createDataFrame([("a", 1, "e", None, None, 0)], SCHEMA).withColumn("at", F.timestamp_seconds("t"))
+    text = session_columns(df, "s", "at", ["name"], {"v": "v"})._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in text.lower()
