@@ -11,12 +11,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from . import schemas
-from .functions.times import lookback
+from .functions.times import DayRange, lookback, named_range
 from .plans.ads import SEARCH_UPDATES, search_ads_hourly, social_ads_hourly
-from .plans.billing import billing_events, billing_objects
+from .plans.billing import billing_audit, billing_events, billing_objects
 from .plans.contacts import contacts
 from .plans.conversion import ChannelRules, campaign_conversion
 from .plans.funnel import Site, session_funnel
@@ -37,10 +37,15 @@ def refresh_funnel(
     site: Site = Site(),
     rebuild: bool = False,
 ) -> None:
-    """Append the new funnel rows; with ``rebuild`` the table holds the lookback only."""
+    """Append the new funnel rows; with ``rebuild`` the table holds the lookback only.
+
+    Events without a session have no id; they are new if no equal row is stored.
+    """
     rows = session_funnel(web_events, lookback(as_of, days_from, days_to), site)
-    write = tables.rebuild if rebuild else tables.append_new
-    write(spark, root, schemas.HISTORICAL_FUNNEL, rows)
+    if rebuild:
+        tables.rebuild(spark, root, schemas.HISTORICAL_FUNNEL, rows)
+    else:
+        tables.append_new(spark, root, schemas.HISTORICAL_FUNNEL, rows, compare_keyless=True)
 
 
 def refresh_campaigns(
@@ -115,12 +120,16 @@ def load_billing(
     load_time: datetime,
     days_from: int = 1,
     days_to: int = 0,
-) -> None:
-    """Upsert the landed objects of one billing entity; all days in one go."""
+    on_broken: str = "error",
+) -> list[Row]:
+    """Upsert the landed objects of one billing entity, all days in one go; returns the audit,
+    one row per creation day: fetched, without key, duplicates, rejected, loaded."""
     if entity not in schemas.BILLING_ENTITIES:
         raise ValueError(f"unknown billing entity {entity!r}; known: {schemas.BILLING_ENTITIES}")
-    rows = billing_objects(read_pages(spark, pages), load_time, lookback(as_of, days_from, days_to))
-    tables.upsert(spark, root, schemas.billing_object(entity), rows)
+    days = lookback(as_of, days_from, days_to)
+    objects = read_pages(spark, pages, on_broken=on_broken)
+    tables.upsert(spark, root, schemas.billing_object(entity), billing_objects(objects, load_time, days))
+    return billing_audit(objects, days).orderBy("created_at").collect()
 
 
 def load_billing_events(
@@ -131,9 +140,13 @@ def load_billing_events(
     load_time: datetime,
     days_from: int = 1,
     days_to: int = 0,
-) -> None:
-    rows = billing_events(read_pages(spark, pages), load_time, lookback(as_of, days_from, days_to))
-    tables.upsert(spark, root, schemas.BILLING_EVENTS, rows)
+    on_broken: str = "error",
+) -> list[Row]:
+    """Upsert the landed billing events; returns the audit of the days' objects of all types."""
+    days = lookback(as_of, days_from, days_to)
+    objects = read_pages(spark, pages, on_broken=on_broken)
+    tables.upsert(spark, root, schemas.BILLING_EVENTS, billing_events(objects, load_time, days))
+    return billing_audit(objects, days).orderBy("created_at").collect()
 
 
 def load_payment_report(
@@ -143,17 +156,19 @@ def load_payment_report(
     load_time: datetime,
     history: bool = False,
     on_duplicate: str = "error",
+    days: DayRange | None = None,
+    multi_line: bool = True,
 ) -> None:
-    """Upsert payment reports, or their history variant with its own key."""
+    """Upsert payment reports, or their history variant with its own key; of the ``days`` if given."""
     spec = schemas.PAYMENT_REPORT_HISTORY if history else schemas.PAYMENT_REPORT
-    rows = payment_report(read_report(spark, reports), load_time, spec)
+    rows = payment_report(read_report(spark, reports, multi_line), load_time, spec, days)
     tables.upsert(spark, root, spec, rows, on_duplicate, order_by=["created_at"])
 
 
 def load_social_ads(
     spark: SparkSession, root: str, batches: DataFrame, load_time: datetime, on_duplicate: str = "error"
 ) -> None:
-    """Upsert the hours of all accounts and days landed, in one merge."""
+    """Upsert the hours of all accounts and days landed, in one merge; ``social_pages`` reads landed pages."""
     rows = social_ads_hourly(batches, load_time)
     tables.upsert(spark, root, schemas.SOCIAL_ADS_HOURLY, rows, on_duplicate, order_by=["etl_load_date"])
 
@@ -166,14 +181,19 @@ def load_search_ads(
     load_time: datetime,
     days_from: int = 1,
     days_to: int = 0,
+    date_range: str | None = None,
 ) -> None:
-    """Upsert search-ad hours; a known hour keeps its date and campaign name."""
-    hours = search_ads_hourly(rows, load_time, lookback(as_of, days_from, days_to))
+    """Upsert search-ad hours; a known hour keeps its date and campaign name.
+
+    The days are the lookback, or ``date_range``: a range name or ``first,last``.
+    """
+    days = lookback(as_of, days_from, days_to) if date_range is None else named_range(date_range, as_of)
+    hours = search_ads_hourly(rows, load_time, days)
     tables.upsert(spark, root, schemas.SEARCH_ADS_HOURLY, hours, update_cols=SEARCH_UPDATES)
 
 
 def load_contacts(
     spark: SparkSession, root: str, records: DataFrame, as_of: date, days_from: int = 0, days_to: int = 0
 ) -> None:
-    """Upsert the contacts changed on the days."""
+    """Upsert the contacts changed on the days; ``contact_pages`` reads landed pages."""
     tables.write_contacts(spark, root, contacts(records, lookback(as_of, days_from, days_to, swap_ok=True)))

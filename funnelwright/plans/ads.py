@@ -11,7 +11,7 @@ from ..functions.casts import day_or_null, float_or_zero, int_or_zero, units_fro
 from ..functions.records import action_count
 from ..functions.times import DayRange, dashless, day_key
 from ..operators.reshape import flatten_structs
-from ..schemas import SEARCH_ADS_HOURLY, SOCIAL_ADS_HOURLY
+from ..schemas import SEARCH_ADS_HOURLY, SOCIAL_ADS_HOURLY, SOCIAL_ADS_ROWS
 from ..sources.slices import dated_within
 
 # The actions that get a column of their own.
@@ -31,6 +31,11 @@ HOUR_FIELD = "hourly_stats_aggregated_by_advertiser_time_zone"
 SEARCH_UPDATES = ["impressions", "clicks", "cost", "conversions", "all_conversions", "etl_load_date"]
 
 
+def social_pages(objects: DataFrame) -> DataFrame:
+    """Landed page objects (column ``raw``) as rows of the insights feed."""
+    return objects.select(F.from_json("raw", SOCIAL_ADS_ROWS).alias("r")).select("r.*")
+
+
 def social_ads_hourly(rows: DataFrame, load_time: datetime) -> DataFrame:
     """Text rows of the insights feed as typed rows with one column per wanted action."""
     # cut to the wanted entries once, then looked up once per column

@@ -4,12 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.times import DayRange, day_path
 from ..operators.reshape import clean_records, text_columns
+from ..session import scratch_path
 from ..sources.slices import updated_within
 
 
+def contact_pages(objects: DataFrame, schema: T.StructType | None = None) -> DataFrame:
+    """Landed page objects (column ``raw``) as contact records.
+
+    Contacts have no fixed fields. Without a schema the objects are written to the shared folder
+    and read twice, the first time to find the fields; give the schema of the last run to save that.
+    """
+    if schema is not None:
+        return objects.select(F.from_json("raw", schema).alias("r")).select("r.*")
+    spark, path = objects.sparkSession, scratch_path(objects.sparkSession, "contacts")
+    # a line break can only stand between the parts of a JSON text
+    objects.select(F.regexp_replace("raw", r"[\r\n]+", " ")).write.text(path)
+    return spark.read.json(path)
+
+
 def contacts(records: DataFrame, days: DayRange | None = None) -> DataFrame:
     """Contacts changed on the days, every column text, with their ``created_path`` folder."""
     if days is not None:

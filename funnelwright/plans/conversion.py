@@ -15,7 +15,6 @@ from ..functions.times import DayRange, day_key
 from ..operators.counts import measures_by_channel
 from ..operators.joins import candidate_full_join, full_join_chain, spread_null_keys
 from ..schemas import CAMPAIGN_CONVERSION
-from ..session import staged
 from ..sources.slices import loaded_since
 
 # Channel names.
@@ -115,9 +114,13 @@ SOCIAL_KEYS = ["datestart", "CampaignId", "CampaignName", "AdSetId", "AdSetName"
 def social_cost(insights: DataFrame, days: DayRange) -> DataFrame:
     """Social ads by day and ad, with the two texts campaigns are recognised by."""
     used = (F.col("Spend") > 0) | (F.col("LinkClicks") > 0)
+    # an ad loaded late for a day before the range belongs to stored rows that are not replaced
+    in_range = F.col("datestart") >= F.lit(days.first)
+    ids = {c: F.col(c).cast("string") for c in ("CampaignId", "AdSetId", "AdId")}
     return (
         loaded_since(insights, "_load_date", days)
-        .where(used)
+        .where(used & in_range)
+        .withColumns(ids)
         .groupBy(*SOCIAL_KEYS)
         .agg(
             F.sum("Impressions").alias("impressions"),
@@ -205,12 +208,13 @@ def campaign_conversion(
     social_insights: DataFrame,
     days: DayRange,
     rules: ChannelRules = ChannelRules(),
-    stage: Callable[[DataFrame, str], DataFrame] = staged,
+    stage: Callable[[DataFrame, str], DataFrame] = lambda df, label: df,
 ) -> DataFrame:
     """The mart rows from ``days.first`` on; the range has no upper end.
 
-    Conversions and social ads are used several times by their join, so both aggregates are
-    written to the shared folder first: the large inputs are read once.
+    Conversions and social ads are used several times by their join. A caller with large inputs
+    gives a ``stage`` that writes both aggregates to the shared folder, so the inputs are read
+    once; without one the result is lazy.
     """
     conversions = conversions_by_campaign(
         sessions_by_channel(funnel, dim, days, rules),

@@ -44,7 +44,7 @@ class Site:
 
     domain: str = "shop.example"
     excluded_pages: str = "staging.*shop|pay/test"
-    zone: str = "America/Sao_Paulo"
+    zone: str = "UTC"
     zone_mode: str = "relabel"
     product_hosts: tuple[str, ...] = ("v_", "app", "platform", "docs", "forms")
     checkout_hosts: tuple[str, ...] = ("checkout", "buy")

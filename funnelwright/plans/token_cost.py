@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -34,8 +34,8 @@ PROMPT_CAP = 200000
 class Renames:
     """Models reported under another name before a day, except from one source."""
 
-    before: date = date(2025, 10, 29)
-    not_from: str = "new_chat_api_v2"
+    before: date
+    not_from: str
     models: tuple[str, ...] = ("gpt-5-mini", "gpt-5-nano", "gpt-5-chat-latest")
     to: str = "gpt-4.1"
 
@@ -51,9 +51,8 @@ class PriceOverride:
 
 @dataclass(frozen=True)
 class ReportRules:
+    renames: Renames
     internal_email: str = "%@shop%"
-    renames: Renames = field(default_factory=Renames)
-    override: PriceOverride = field(default_factory=PriceOverride)
 
 
 def plan_of(plan: Column) -> Column:
@@ -72,12 +71,11 @@ def reported_model(created_at: Column, source: Column, model: Column, renames: R
 
 
 def token_rows(
-    logs: DataFrame, dates: DataFrame, year_month: str | None = None, rules: ReportRules = ReportRules()
+    logs: DataFrame, dates: DataFrame, rules: ReportRules, year_month: str | None = None
 ) -> DataFrame:
     """Distinct billed messages of a month (of all months without one).
 
-    Filters see the logged model, not the reported one. The calendar has one row per day,
-    which bounds its broadcast.
+    Filters see the logged model, not the reported one.
     """
     calendar = dates if year_month is None else dates.where(F.col("year_month") == year_month)
     billed = logs.where(
@@ -88,7 +86,7 @@ def token_rows(
     )
     is_capped = F.lower("ai_model").like(CAPPED_FAMILY)
     return (
-        billed.join(F.broadcast(calendar.select("id_date", "date")), "id_date")
+        billed.join(calendar.select("id_date", "date"), "id_date")
         .select(
             "date",
             "user_email",
@@ -103,7 +101,13 @@ def token_rows(
     )
 
 
-def token_cost(rows: DataFrame, prices: DataFrame, rules: ReportRules = ReportRules()) -> DataFrame:
+def _only_price(prices: DataFrame, unit: str) -> Column:
+    """The one price of the given rows; several rows are an error."""
+    several = F.raise_error(F.lit("several prices for the fixed model")).cast("double")
+    return prices.agg(F.when(F.count(F.lit(1)) > 1, several).otherwise(F.max(unit))).scalar()
+
+
+def token_cost(rows: DataFrame, prices: DataFrame, override: PriceOverride = PriceOverride()) -> DataFrame:
     """Tokens and cost by day, user and model.
 
     Tokens are summed before the prices are joined: a price is constant within a model, so
@@ -117,7 +121,7 @@ def token_cost(rows: DataFrame, prices: DataFrame, rules: ReportRules = ReportRu
         F.sum("output_tokens").alias("_out"),
         F.sum(F.when(both_known, F.col("input_tokens"))).alias("_in_both"),
     )
-    special = rules.override
+    special = override
     is_special = F.col("ai_model").isin(*special.models) & (F.col("date") < F.lit(special.before))
     listed = prices.select(
         F.col("model_name").alias("ai_model"),
@@ -125,8 +129,7 @@ def token_cost(rows: DataFrame, prices: DataFrame, rules: ReportRules = ReportRu
         F.col("output_cost_unit").alias("_listed_out"),
     )
     fixed = prices.where(F.col("model_name") == special.priced_as)
-    fixed_in = fixed.agg(F.max("input_cost_unit")).scalar()
-    fixed_out = fixed.agg(F.max("output_cost_unit")).scalar()
+    fixed_in, fixed_out = (_only_price(fixed, c) for c in ("input_cost_unit", "output_cost_unit"))
     priced = used.join(listed, "ai_model", "left").withColumns(
         {
             "_price_in": F.when(is_special, fixed_in).otherwise(F.col("_listed_in")),

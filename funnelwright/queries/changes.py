@@ -21,6 +21,9 @@ from ..operators.merge import (
     upsert_partial,
 )
 from ..operators.reshape import union_all
+from ..schemas import TableSpec
+from ..session import scratch_path
+from ..sinks import tables
 from .registry import Tables, query
 
 TARGET_END = "1999-01-01"
@@ -156,6 +159,68 @@ def replaced_days(t: Tables) -> DataFrame:
     return replace_range(target, source, "id_date", "19980701")
 
 
+STORED = TableSpec(
+    "stored_orders",
+    T.StructType(
+        [
+            T.StructField("id", T.LongType()),
+            T.StructField("id_date", T.StringType()),
+            T.StructField("status", T.StringType()),
+            T.StructField("price", T.DoubleType()),
+        ]
+    ),
+    keys=("id",),
+    partition="id_date",
+    cluster=("id",),
+)
+
+
+def _by_month(df: DataFrame) -> DataFrame:
+    return df.withColumn("id_date", F.concat(F.left("id_date", F.lit(6)), F.lit("01")))
+
+
+MONTHS_SQL = f"""{ORDERS_SQL}, old AS (SELECT id, left(id_date, 6) || '01' AS id_date, status, price FROM tgt),
+  new AS (SELECT id, left(id_date, 6) || '01' AS id_date, status, price FROM src)"""
+
+
+@query(f"WITH {MONTHS_SQL} FROM old WHERE id_date < '19980701' UNION ALL FROM new")
+def repeated_replace(t: Tables) -> DataFrame:
+    """A stored table created, filled and then cut over three times by the same run."""
+    target, source = _orders(t)
+    root = scratch_path(t.spark, "stored")
+    tables.create_table(t.spark, root, STORED)
+    tables.rebuild(t.spark, root, STORED, _by_month(target))
+    for _ in range(3):
+        tables.replace_range(t.spark, root, STORED, _by_month(source), "19980701")
+    return tables.read_table(t.spark, root, STORED)
+
+
+@query(f"WITH {MONTHS_SQL} FROM new UNION ALL (FROM old WHERE id NOT IN (SELECT id FROM new))")
+def stored_upsert(t: Tables) -> DataFrame:
+    """A stored table rebuilt once and upserted twice, each time through a staged copy."""
+    target, source = _orders(t)
+    root = scratch_path(t.spark, "stored")
+    tables.rebuild(t.spark, root, STORED, _by_month(target))
+    for _ in range(2):
+        tables.upsert(t.spark, root, STORED, _by_month(source))
+    return tables.read_table(t.spark, root, STORED)
+
+
+@query(
+    f"""WITH s AS (SELECT {NULLABLE} AS id, o_orderstatus AS status, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders)
+    SELECT DISTINCT id, status, day, CASE WHEN id IS NULL THEN 'no key' ELSE 'key' END AS kind FROM s WHERE day >= '1999-01-01'
+      OR (id IS NULL AND status = 'F')"""
+)
+def keyless_rows(t: Tables) -> DataFrame:
+    """Rows without a key are new only if no equal row is stored."""
+    rows = t.orders.select(
+        F.expr(NULLABLE).alias("id"), F.col("o_orderstatus").alias("status"), F.to_date("o_orderdate").cast("string").alias("day")
+    ).distinct()
+    stored = rows.where((F.col("day") < "1999-01-01") & ~(F.col("id").isNull() & (F.col("status") == "F")))
+    new = insert_new(stored, rows, ["id"], compare_keyless=True)
+    return new.withColumn("kind", F.when(F.col("id").isNull(), "no key").otherwise("key"))
+
+
 CONFORMED = T.StructType(
     [
         T.StructField("id", T.StringType(), False),

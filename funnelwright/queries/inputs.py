@@ -15,9 +15,11 @@ from ..functions.times import DayRange
 from ..plans.conversion import ChannelRules
 from .registry import Tables
 
-# The days the events table covers, and one load time for all loads.
-EVENT_DAYS = DayRange(date(2024, 1, 1), date(2024, 1, 31))
-ORDER_DAYS = DayRange(date(1995, 1, 1), date(2001, 12, 31))
+# The days that runs are over: the tables reach further on both sides. One load time for all loads.
+EVENT_DAYS = DayRange(date(2024, 1, 4), date(2024, 1, 24))
+ORDER_DAYS = DayRange(date(1996, 3, 1), date(2000, 10, 31))
+IN_EVENT_DAYS = "{0} >= TIMESTAMP '2024-01-04' AND {0} < TIMESTAMP '2024-01-25'"
+IN_ORDER_DAYS = "{0} >= TIMESTAMP '1996-03-01' AND {0} < TIMESTAMP '2000-11-01'"
 LOAD_TIME = datetime(2024, 2, 1, 6, 0, 0)
 RULES = ChannelRules(reward_discounts=("d4", "d16", "d28"))
 
@@ -101,7 +103,7 @@ FROM {lineitem}
 
 SOCIAL = """
 SELECT CAST(date '2024-01-01' + CAST(l_suppkey % 30 AS INT) AS DATE) AS _load_date,
-  CAST(date '2024-01-01' + CAST(l_suppkey % 30 AS INT) AS DATE) AS datestart,
+  CAST(date '2024-01-01' + CAST(l_suppkey % 30 AS INT) - CAST(l_linenumber % 3 AS INT) AS DATE) AS datestart,
   CASE WHEN l_linenumber = 3
     THEN 'm' || CAST(l_partkey % 5 AS STRING) || 's' || CAST(l_orderkey % 3 AS STRING) || 'a' || CAST(l_partkey % 2 AS STRING)
     WHEN l_linenumber < 7 THEN 'id' || CAST(l_partkey % 50 AS STRING) END AS CampaignId,
@@ -121,6 +123,17 @@ FROM {lineitem}
 # The same CTEs for the oracle.
 EV_SQL = f"ev AS ({EV.format(events='events')})"
 WEB_SQL = f"{EV_SQL}, web AS ({WEB.format(ev='ev')})"
+HITS_SQL = f"{WEB_SQL}, hits AS (SELECT * FROM web WHERE {IN_EVENT_DAYS.format('ts')})"
+
+
+def rows_sql(name: str, columns: str, rows: list[tuple]) -> str:
+    """A CTE of fixed rows, numbered by ``priority`` in the order given."""
+
+    def literal(value) -> str:
+        return "NULL" if value is None else "'" + value + "'" if isinstance(value, str) else str(value)
+
+    lines = ", ".join(f"({i}, {', '.join(map(literal, row))})" for i, row in enumerate(rows))
+    return f"{name}(priority, {columns}) AS (VALUES {lines})"
 
 
 def web_hits(t: Tables) -> DataFrame:

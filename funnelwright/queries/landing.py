@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.records import action_map
+from ..functions.times import DayRange, named_range
 from ..operators.dedupe import first_seen
-from ..operators.reshape import union_all
+from ..operators.reshape import keep_columns, union_all
 from ..plans.ads import ACTIONS, HOUR_FIELD, report_order, search_ads_hourly, social_ads_hourly
 from ..plans.billing import billing_audit, billing_events, billing_objects
 from ..plans.contacts import contacts
-from ..plans.reports import payment_report
+from ..plans.reports import payment_report, payment_report_history
 from ..session import scratch_path
-from ..sources.readers import page_objects, read_landed, read_report
-from .inputs import EVENT_DAYS, LOAD_TIME, ORDER_DAYS
+from ..sources.readers import broken_pages, page_objects, read_landed, read_pages, read_report
+from .inputs import EVENT_DAYS, IN_EVENT_DAYS, IN_ORDER_DAYS, LOAD_TIME, ORDER_DAYS
 from .registry import Tables, query
 
 # Orders as billing objects. Urgent ones are landed twice, the second time with another
@@ -52,7 +55,7 @@ def billing_source(t: Tables) -> DataFrame:
 @query(
     f"""WITH {BILLS_SQL} SELECT id, strftime(o_orderdate, '%Y-%m-%d') AS created_at, status, note,
     CAST(customer AS VARCHAR) AS customer, '2024-02-01 06:00:00' AS etl_load_date
-    FROM bills WHERE id <> '' AND copy = 0 AND dated = 1"""
+    FROM bills WHERE id <> '' AND copy = 0 AND dated = 1 AND {IN_ORDER_DAYS.format('o_orderdate')}"""
 )
 def raw_envelope(t: Tables) -> DataFrame:
     """Billing pages to one envelope per id, its JSON read back."""
@@ -68,6 +71,26 @@ def raw_envelope(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    f"""WITH {BILLS_SQL} SELECT id, strftime(o_orderdate, '%Y-%m-%d') AS created_at, status
+    FROM bills WHERE id <> '' AND copy = 0 AND dated = 1 AND o_orderkey // 100 % 7 <> 3
+    UNION ALL SELECT CAST(o_orderkey // 100 AS VARCHAR), NULL, 'broken' FROM orders
+    WHERE o_orderkey // 100 % 7 = 3 GROUP BY 1"""
+)
+def landed_pages(t: Tables) -> DataFrame:
+    """Landed page files of which some lines are cut off: their objects, and the broken pages."""
+    pages = billing_pages(t).withColumn("number", F.get_json_object("value", "$.page").cast("long") % 1_000_000_000)
+    cut = F.when(F.col("number") % 7 == 3, F.expr("left(value, length(value) - 3)")).otherwise(F.col("value"))
+    path = scratch_path(t.spark, "pages")
+    pages.select(cut.alias("value")).write.text(path)
+    good = billing_objects(read_pages(t.spark, path, on_broken="skip").drop("fetch"), LOAD_TIME)
+    bad = broken_pages(t.spark.read.text(path), "value").select(F.regexp_extract("text", r'"page":(\d+)', 1).alias("page"))
+    number = (F.col("page").cast("long") % 1_000_000_000).cast("string")
+    listed = bad.select(number.alias("id"), F.lit(None).cast("string").alias("created_at"), F.lit("broken").alias("status"))
+    status = F.get_json_object("data", "$.status").alias("status")
+    return good.select("id", F.col("created_at").cast("string"), status).unionByName(listed.distinct())
+
+
 EVENT_TYPE = """CASE event_type WHEN 'view' THEN 'invoice.paid' WHEN 'click' THEN 'charge.updated'
     WHEN 'signup' THEN 'payment_intent.created' WHEN 'error' THEN 'radar.warning' ELSE 'customer.created' END"""
 
@@ -75,7 +98,7 @@ EVENT_TYPE = """CASE event_type WHEN 'view' THEN 'invoice.paid' WHEN 'click' THE
 @query(
     f"""SELECT 'evt_' || event_id AS id, CAST(floor(epoch(ts)) AS BIGINT) AS event_timestamp, 'obj_' || user_id AS object_id,
     strftime(ts, '%Y-%m-%d') AS created_at, {EVENT_TYPE} AS type, value FROM events
-    WHERE event_type <> 'error' AND user_id >= 20"""
+    WHERE event_type <> 'error' AND user_id >= 20 AND {IN_EVENT_DAYS.format('ts')}"""
 )
 def event_envelope(t: Tables) -> DataFrame:
     """Billing events of the listed types whose inner object has an id; every event landed twice."""
@@ -136,7 +159,7 @@ def load_audit(t: Tables) -> DataFrame:
       CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS balance FROM customer"""
 )
 def csv_rest_json(t: Tables) -> DataFrame:
-    """Customers as two CSV reports with unlike headers, read back as text, keys plus JSON."""
+    """Customers as two CSV reports with unlike headers in one folder, read back as text, keys plus JSON."""
     day = F.date_add(F.to_date(F.lit("2024-01-01")), F.col("c_nationkey"))
     report = t.customer.select(
         F.col("c_custkey").alias(" Charge ID"),
@@ -149,10 +172,10 @@ def csv_rest_json(t: Tables) -> DataFrame:
     )
     paid = report.where("c_acctbal >= 0").withColumnRenamed("c_acctbal", "Balance")
     owing = report.where("c_acctbal < 0").drop("c_acctbal")
-    paths = [scratch_path(t.spark, "report") for _ in range(2)]
-    for part, path in zip((paid, owing), paths):
-        part.write.option("header", True).csv(path)
-    rows = payment_report(read_report(t.spark, paths), LOAD_TIME)
+    path = scratch_path(t.spark, "report")
+    for part in (paid, owing.select(*reversed(owing.columns))):
+        part.write.mode("append").option("header", True).csv(path)
+    rows = payment_report(read_report(t.spark, [path]), LOAD_TIME)
     rest = F.from_json("data", "customer_name string, market_segment_ string, balance string")
     return rows.withColumn("f", rest).select(
         "charge_id",
@@ -163,6 +186,30 @@ def csv_rest_json(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    f"""SELECT 'r' || o_orderkey AS transaction_request_id, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_custkey AS VARCHAR) END
+      AS charge_id, strftime(o_orderdate, '%Y-%m-%d') AS created_at, o_orderpriority AS "order"
+    FROM orders WHERE {IN_ORDER_DAYS.format('o_orderdate')}"""
+)
+def payment_history(t: Tables) -> DataFrame:
+    """Orders as the history report, with its own key, cut to days by the creation time."""
+    report = t.orders.select(
+        F.concat(F.lit("r"), F.col("o_orderkey")).alias("Transaction Request ID"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("Charge Id"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("Created At"),
+        F.col("o_orderpriority").alias("Order"),
+    )
+    path = scratch_path(t.spark, "history")
+    report.write.option("header", True).csv(path)
+    rows = payment_report_history(read_report(t.spark, [path], multi_line=False), LOAD_TIME, ORDER_DAYS)
+    return rows.select(
+        "transaction_request_id",
+        "charge_id",
+        F.date_format("created_at", "yyyy-MM-dd").alias("created_at"),
+        F.get_json_object("data", "$.order").alias("order"),
+    )
+
+
 AD_ROWS = """
 SELECT user_id, event_id, ts, event_type, value, CAST(replace(substr(props, 7), '}', '') AS BIGINT) AS k FROM events
 """
@@ -175,19 +222,23 @@ SELECT user_id, event_id, ts, event_type, value, CAST(replace(substr(props, 7),
       CASE WHEN k % 4 = 0 THEN 0 ELSE CAST(trunc(value) AS BIGINT) END AS inline_link_clicks,
       CASE WHEN k % 5 = 0 THEN 0 WHEN k % 5 = 1 THEN 7 ELSE -1 END AS act_link_click,
       CASE WHEN k % 5 = 0 THEN 0 ELSE CAST(trunc(value) AS BIGINT) END AS act_purchase,
-      0 AS act_lead FROM r"""
+      0 AS act_lead, 0 AS act_omni_purchase, 0 AS act_add_to_cart, 0 AS act_add_payment_info,
+      CASE WHEN k % 5 = 0 THEN 0 ELSE k END AS act_omni_add_to_cart, 'name' AS account_name, 'id' || k AS account_id FROM r"""
 )
 def actions_pivot(t: Tables) -> DataFrame:
-    """Insights rows as text, their repeated actions pivoted to columns."""
-    hourly = social_ads_hourly(insights_rows(t), LOAD_TIME)
-    wanted = ["id_date", "hour", "ad_id", "cost", "impressions", "inline_link_clicks"]
-    return hourly.select(*wanted, *(f"act_{a}" for a in ACTIONS if a in ("link_click", "purchase", "lead")))
+    """Insights rows as text with a nested account, their repeated actions pivoted to columns."""
+    k = F.regexp_extract("impressions", r"(\d+)", 1)
+    account = F.struct(F.lit("name").alias("name"), F.concat(F.lit("id"), k).alias("id"))
+    nested = insights_rows(t).drop("account_name", "account_id").withColumn("account", account)
+    hourly = social_ads_hourly(nested, LOAD_TIME)
+    wanted = ["id_date", "hour", "ad_id", "cost", "impressions", "inline_link_clicks", "account_name", "account_id"]
+    return keep_columns(hourly, [*wanted, *(f"act_{a}" for a in ACTIONS), "no_such_column"])
 
 
 @query(
     f"""WITH r AS ({AD_ROWS}), a AS (
-      SELECT 'ad' || event_id AS ad_id, unnest(['link_click', 'purchase', 'lead', 'video_view']) AS action_type,
-        unnest([CASE WHEN k % 5 = 1 THEN 7 ELSE -1 END, CAST(trunc(value) AS BIGINT), 0, 3]) AS n FROM r WHERE k % 5 <> 0)
+      SELECT 'ad' || event_id AS ad_id, unnest(['link_click', 'purchase', 'lead', 'video_view', 'omni_add_to_cart']) AS action_type,
+        unnest([CASE WHEN k % 5 = 1 THEN 7 ELSE -1 END, CAST(trunc(value) AS BIGINT), 0, 3, k]) AS n FROM r WHERE k % 5 <> 0)
     SELECT ad_id, action_type, n FROM a"""
 )
 def actions_map(t: Tables) -> DataFrame:
@@ -210,6 +261,7 @@ def insights_rows(t: Tables) -> DataFrame:
         F.struct(nothing.alias("action_type"), F.lit("5").alias("value")),
         action("lead", F.lit("x")),
         action("video_view", F.lit("3")),
+        action("omni_add_to_cart", F.col("k")),
         action("link_click", F.when(F.col("k") % 5 == 1, "7").otherwise("-1.9")),
     )
     return base.select(
@@ -226,14 +278,26 @@ def insights_rows(t: Tables) -> DataFrame:
     )
 
 
-@query(
-    """SELECT strftime(l_shipdate, '%Y%m%d') AS id_date, strftime(l_shipdate, '%Y-%m-%d') AS date,
+HOURS_SQL = """SELECT strftime(l_shipdate, '%Y%m%d') AS id_date, strftime(l_shipdate, '%Y-%m-%d') AS date,
       CAST(l_linenumber AS BIGINT) AS hour, l_suppkey AS campaign_id, 'c' || l_suppkey AS campaign_name,
       CAST(sum(l_quantity) AS BIGINT) AS impressions, count(*) AS clicks,
-      round(sum(CAST(floor(l_extendedprice) AS BIGINT)) / 1000000.0, 6) AS cost
-    FROM lineitem WHERE l_shipdate BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '2001-12-31' GROUP BY ALL"""
-)
+      round(sum(CAST(floor(l_extendedprice) AS BIGINT)) / 1000000.0, 6) AS cost,
+      round(sum(l_tax), 4) AS conversions, round(sum(l_discount), 4) AS all_conversions
+    FROM lineitem WHERE {days} GROUP BY ALL"""
+
+
+@query(HOURS_SQL.format(days=IN_ORDER_DAYS.format("l_shipdate")))
 def hourly_ads(t: Tables) -> DataFrame:
+    return _hours(t, ORDER_DAYS)
+
+
+@query(HOURS_SQL.format(days="l_shipdate >= TIMESTAMP '1998-05-04' AND l_shipdate < TIMESTAMP '1998-05-11'"))
+def hourly_ads_last_week(t: Tables) -> DataFrame:
+    """The days of a named report range."""
+    return _hours(t, named_range("LAST_WEEK_MON_SUN", date(1998, 5, 13)))
+
+
+def _hours(t: Tables, days: DayRange) -> DataFrame:
     feed = t.lineitem.groupBy(
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"),
         F.col("l_linenumber").alias("hour"),
@@ -246,16 +310,17 @@ def hourly_ads(t: Tables) -> DataFrame:
         F.sum("l_tax").alias("conversions"),
         F.sum("l_discount").alias("all_conversions"),
     )
-    rows = search_ads_hourly(feed, LOAD_TIME, ORDER_DAYS).drop("conversions", "all_conversions", "etl_load_date")
-    return report_order(rows).withColumns({"cost": F.round("cost", 6), "date": F.col("date").cast("string")})
+    rows = search_ads_hourly(feed, LOAD_TIME, days).drop("etl_load_date")
+    rounded = {c: F.round(c, 4) for c in ("conversions", "all_conversions")}
+    return report_order(rows).withColumns(rounded | {"cost": F.round("cost", 6), "date": F.col("date").cast("string")})
 
 
 @query(
-    """SELECT 'c' || c_custkey AS id, CASE WHEN c_nationkey > 0 THEN strftime(TIMESTAMP '2024-01-01' + to_days(c_nationkey),
+    """SELECT 'c' || c_custkey AS id, CASE WHEN c_nationkey > 3 THEN strftime(TIMESTAMP '2024-01-01' + to_days(c_nationkey),
         '%Y/%m/%d') ELSE 'unknown' END AS created_path,
       c_name AS full_name, CAST(c_acctbal > 0 AS VARCHAR) AS _9_lives_x, c_mktsegment AS segment, n.n_name AS nation,
       CASE WHEN c_nationkey < 5 THEN NULL ELSE 2 END AS n_turns, CAST(c_nationkey AS VARCHAR) AS raw_nation
-    FROM customer JOIN nation n ON c_nationkey = n_nationkey"""
+    FROM customer JOIN nation n ON c_nationkey = n_nationkey WHERE c_nationkey BETWEEN 3 AND 23"""
 )
 def contact_flatten(t: Tables) -> DataFrame:
     """Customers as nested contact records with awkward names and invisible characters."""
@@ -264,8 +329,8 @@ def contact_flatten(t: Tables) -> DataFrame:
     zero_width = "​"
     records = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.concat(F.lit("c"), F.col("c_custkey")).alias("id"),
-        F.when(F.col("c_nationkey") > 0, created).alias("created_at"),
-        F.unix_timestamp(F.lit("2024-01-15 10:00:00").cast("timestamp")).alias("updated_at"),
+        F.when(F.col("c_nationkey") > 3, created).alias("created_at"),
+        (created + 36_000).alias("updated_at"),
         F.concat(F.lit(zero_width), F.col("c_name")).alias("Full Name"),
         (F.col("c_acctbal") > 0).alias("9 Lives-x!"),
         F.struct(

@@ -7,10 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from funnelwright import jobs, schemas
+from funnelwright.plans.ads import social_pages
+from funnelwright.plans.contacts import contact_pages
 from funnelwright.plans.conversion import campaign_conversion
 from funnelwright.queries import inputs, marts
 from funnelwright.queries.registry import Tables
 from funnelwright.sinks import tables
+from funnelwright.sources.readers import read_pages
 
 AS_OF = date(2024, 1, 31)
 LOADED = datetime(2024, 2, 1)
@@ -30,11 +33,14 @@ def test_marts(spark, t, tmp_path, rows):
     web, forms, raw = inputs.web_events(t), inputs.raw_forms(t), inputs.raw_transactions(t)
     transactions, search, social = marts.transactions(t), inputs.search_stats(t), inputs.social_insights(t)
 
+    last = inputs.EVENT_DAYS.last
+    back = (last - inputs.EVENT_DAYS.first).days
+
     def run():
-        jobs.refresh_funnel(spark, root, web, AS_OF, 30, 0)
-        jobs.refresh_campaigns(spark, root, web, forms, raw, AS_OF, 30, 0)
-        jobs.load_precheckouts(spark, root, forms, AS_OF, 30, 0)
-        jobs.refresh_conversion(spark, root, transactions, search, social, AS_OF, 30, 0, inputs.RULES)
+        jobs.refresh_funnel(spark, root, web, last, back, 0, marts.SITE)
+        jobs.refresh_campaigns(spark, root, web, forms, raw, last, back, 0, marts.SITE)
+        jobs.load_precheckouts(spark, root, forms, last, back, 0)
+        jobs.refresh_conversion(spark, root, transactions, search, social, last, back, 0, inputs.RULES)
 
     run()
     specs = [schemas.HISTORICAL_FUNNEL, schemas.DIM_UTM, schemas.PRECHECKOUT]
@@ -46,17 +52,32 @@ def test_marts(spark, t, tmp_path, rows):
     )
     assert [r[:5] for r in mart] == [tuple(r)[:5] for r in rows(expected)]
 
-    # events without a session have no event id, match nothing and are appended again
-    run()
-    again = [content(spark, root, s) for s in specs]
-    assert again[1:] == first[1:]
-    assert [r for r in again[0] if r[0]] == [r for r in first[0] if r[0]]
-    assert [r[:5] for r in content(spark, root, schemas.CAMPAIGN_CONVERSION)] == [r[:5] for r in mart]
+    # also the events without a session, which have no event id, are stored once
+    assert any(r[0] is None for r in first[0])
+    for _ in range(2):
+        run()
+        assert [content(spark, root, s) for s in specs] == first
+        assert [r[:5] for r in content(spark, root, schemas.CAMPAIGN_CONVERSION)] == [r[:5] for r in mart]
 
-    jobs.refresh_funnel(spark, root, web, AS_OF, 30, 0, rebuild=True)
+    jobs.refresh_funnel(spark, root, web, last, back, 0, marts.SITE, rebuild=True)
     assert content(spark, root, schemas.HISTORICAL_FUNNEL) == first[0]
 
 
+def test_late_loaded_ads_are_counted_once(spark, t, tmp_path):
+    root = str(tmp_path)
+    ad = ("c", "n", "s", "n", "a", "n", 10, 1, 5.0)
+    social = spark.createDataFrame(
+        [(date(2024, 1, 9), date(2024, 1, 2), *ad), (date(2024, 1, 9), date(2024, 1, 8), *ad)],
+        "_load_date date, datestart date, CampaignId string, CampaignName string, AdSetId string, AdSetName string, "
+        "AdId string, AdName string, Impressions long, LinkClicks long, Spend double",
+    )
+    transactions, search = marts.transactions(t).limit(0), inputs.search_stats(t).limit(0)
+    for _ in range(3):
+        jobs.refresh_conversion(spark, root, transactions, search, social, date(2024, 1, 10), rules=inputs.RULES)
+    stored = tables.read_table(spark, root, schemas.CAMPAIGN_CONVERSION).collect()
+    assert [(r.id_date, r.cost) for r in stored] == [("20240108", 5.0)]
+
+
 def test_billing(spark, tmp_path):
     root, pages = str(tmp_path / "root"), str(tmp_path / "pages")
     stamp = int(datetime(2024, 1, 31, 12).timestamp())
@@ -64,8 +85,9 @@ def test_billing(spark, tmp_path):
     line = json.dumps({"page": 1, "data": data})
     spark.createDataFrame([(line,)], "value string").write.text(pages)
     for _ in range(2):
-        jobs.load_billing(spark, root, pages, "charges", AS_OF, LOADED)
+        audit = jobs.load_billing(spark, root, pages, "charges", AS_OF, LOADED)
         jobs.load_billing_events(spark, root, pages, AS_OF, LOADED)
+        assert [tuple(r)[1:] for r in audit] == [(1, 0, 0, 0, 1)]
     assert [r[0] for r in content(spark, root, schemas.billing_object("charges"))] == ["a"]
     assert [r[:3] for r in content(spark, root, schemas.BILLING_EVENTS)] == [("a", stamp, "c")]
     with pytest.raises(ValueError, match="unknown billing entity"):
@@ -105,6 +127,34 @@ def test_ads(spark, tmp_path):
     assert tables.read_table(spark, root, schemas.SOCIAL_ADS_HOURLY).count() == 1
 
 
+def test_search_ads_of_a_named_range(spark, tmp_path):
+    feed = spark.createDataFrame(
+        [(f"2024-01-{d:02}", 1, 5, "name", 10, 1, 2000000, 0.0, 0.0) for d in range(1, 32)],
+        "date string, hour int, campaign_id bigint, campaign_name string, impressions bigint, clicks bigint, "
+        "cost_micros bigint, conversions double, all_conversions double",
+    )
+    jobs.load_search_ads(spark, str(tmp_path), feed, AS_OF, LOADED, date_range="LAST_WEEK_MON_SUN")
+    stored = tables.read_table(spark, str(tmp_path), schemas.SEARCH_ADS_HOURLY).collect()
+    assert sorted(r.id_date for r in stored) == [f"202401{d}" for d in range(22, 29)]
+
+
+def test_ads_and_contacts_from_landed_pages(spark, tmp_path):
+    root, ads, people = str(tmp_path / "root"), tmp_path / "ads", tmp_path / "people"
+    ids = {c: "v" for c in ("account_id", "campaign_id", "adset_id", "ad_id", "hourly_stats_aggregated_by_advertiser_time_zone")}
+    ad = {"date_start": "2024-01-31", **ids, "spend": "1.5", "actions": [{"action_type": "lead", "value": "2"}]}
+    person = {"id": "1", "created_at": 1706700000, "updated_at": 1706700000, "custom": {"a b": "x"}}
+    for folder, data in ((ads, [ad]), (people, [person, person | {"id": "2", "extra": 1}])):
+        folder.mkdir()
+        (folder / "p.json").write_text(json.dumps({"page": 1, "data": data}, indent=1), encoding="utf8")
+    for _ in range(2):
+        jobs.load_social_ads(spark, root, social_pages(read_pages(spark, str(ads), whole_files=True)), LOADED)
+        jobs.load_contacts(spark, root, contact_pages(read_pages(spark, str(people), whole_files=True)), AS_OF)
+    row = tables.read_table(spark, root, schemas.SOCIAL_ADS_HOURLY).collect()
+    assert [(r.id_date, r.cost, r.act_lead) for r in row] == [("20240131", 1.5, 2)]
+    stored = spark.read.option("mergeSchema", True).parquet(f"{root}/contacts").collect()
+    assert sorted((r.id, r.custom, r.extra) for r in stored) == [("1", '{"a_b":"x"}', None), ("2", '{"a_b":"x"}', "1")]
+
+
 def test_contacts(spark, tmp_path):
     records = spark.createDataFrame([("1", 1706700000, 1706700000, "x")], "id string, created_at long, updated_at long, `a b` string")
     for _ in range(2):
