@@ -1,12 +1,14 @@
 """Changes to stored Parquet tables.
 
-Parquet has no row updates, so a change rewrites the partitions it touches: the new content
-is first written to the shared folder, then put in place with a dynamic partition overwrite.
-The written copy survives a failure in between and is only removed after success.
+Parquet has no row updates, so a change rewrites the partitions it touches. New content is written
+once, to a hidden folder beside or inside the table, and then moved into place folder by folder.
+Readers see the old content until then. A table that was being replaced when a run died is put
+back, or completed, when it is next read or written.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from datetime import datetime
@@ -52,6 +54,8 @@ def _stored(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
     """As ``read_table``, with the partition column also where it is derived."""
     path = table_path(root, spec)
     schema = _nullable(spec.stored_schema)
+    if not exists(spark, path):
+        recover(spark, path)
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path).select(*schema.names)
@@ -97,24 +101,56 @@ def staging(df: DataFrame, label: str) -> Iterator[DataFrame]:
         yield stage(df, label)
 
 
-def _write(df: DataFrame, path: str, spec: TableSpec, mode: str) -> None:
+def _laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Files of even size, sorted by the cluster columns for tight min/max statistics.
 
     Rebalancing gathers a day in few files, but splits a day that is large.
     """
     order = [c for c in (spec.partition, *spec.cluster) if c]
-    if spec.partition is None:
-        laid_out = df.hint("rebalance")
-    else:
-        laid_out = df.hint("rebalance", spec.partition)
-    if order:
-        laid_out = laid_out.sortWithinPartitions(*order)
-    writer = laid_out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    df = df.hint("rebalance") if spec.partition is None else df.hint("rebalance", spec.partition)
+    return df.sortWithinPartitions(*order) if order else df
+
+
+def _write(df: DataFrame, path: str, spec: TableSpec, mode: str) -> None:
+    writer = _laid_out(df, spec).write.mode(mode)
     if spec.partition is not None:
         writer = writer.partitionBy(spec.partition)
     writer.parquet(path)
 
 
+def _beside(path: str, label: str) -> str:
+    """A folder next to the table that no reader takes for one: its name begins with a dot."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/.{name}.{label}"
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    fs, location = _filesystem(spark, source)
+    if not fs.rename(location, _filesystem(spark, target)[1]):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish or undo the replacement of a whole table that a failed run left half done."""
+    new, old = _beside(path, "new"), _beside(path, "old")
+    if not exists(spark, path) and exists(spark, old):
+        # the new content was complete before the old was moved away
+        _rename(spark, new if exists(spark, new) else old, path)
+    for folder in (new, old):
+        remove(spark, folder)
+
+
+def _replace_folder(spark: SparkSession, path: str, spec: TableSpec, content: DataFrame) -> None:
+    """Write the whole table beside the old one, then exchange the two."""
+    recover(spark, path)
+    new, old = _beside(path, "new"), _beside(path, "old")
+    _write(content, new, spec, "overwrite")
+    if exists(spark, path):
+        _rename(spark, path, old)
+    _rename(spark, new, path)
+    remove(spark, old)
+
+
 def _in_values(column: str, values: Iterable) -> Column:
     known = [v for v in values if v is not None]
     condition = F.col(column).isin(*known)
@@ -127,35 +163,26 @@ def _values(df: DataFrame, column: str) -> set:
 
 
 def _swap(spark: SparkSession, root: str, spec: TableSpec, content: DataFrame, touched: set) -> None:
-    """Make ``content`` the whole content of the touched partitions."""
+    """Make ``content`` the whole content of the touched partitions, partition by partition."""
     path = table_path(root, spec)
-    with staging(content, spec.name) as new:
-        _write(new, path, spec, "overwrite")
-        produced = _values(new, spec.partition)
-    # a dynamic overwrite leaves partitions without new rows as they were
-    for value in touched - produced:
-        folder = NULL_FOLDER if value is None else value
-        remove(spark, f"{path}/{spec.partition}={folder}")
-
-
-def _replace_all(spark: SparkSession, root: str, spec: TableSpec, content: DataFrame) -> None:
-    with staging(content, spec.name) as new:
-        laid_out = new.hint("rebalance")
-        if spec.cluster:
-            laid_out = laid_out.sortWithinPartitions(*spec.cluster)
-        laid_out.write.mode("overwrite").parquet(table_path(root, spec))
+    new = f"{path}/_new-{uuid.uuid4().hex}"  # readers pass over names with an underscore
+    _write(content, new, spec, "overwrite")
+    fs, location = _filesystem(spark, new)
+    produced = [s.getPath().getName() for s in fs.listStatus(location) if s.isDirectory()]
+    written = set(produced)
+    for value in touched:  # partitions without new rows
+        folder = f"{spec.partition}={NULL_FOLDER if value is None else value}"
+        if folder not in written:
+            remove(spark, f"{path}/{folder}")
+    for folder in produced:
+        remove(spark, f"{path}/{folder}")
+        _rename(spark, f"{new}/{folder}", f"{path}/{folder}")
+    remove(spark, new)
 
 
 def rebuild(spark: SparkSession, root: str, spec: TableSpec, rows: DataFrame) -> None:
-    """Drop the content and write the rows."""
-    content = _incoming(rows, spec)
-    path = table_path(root, spec)
-    if spec.partition is None:
-        _replace_all(spark, root, spec, content)
-        return
-    with staging(content, spec.name) as new:
-        remove(spark, path)
-        _write(new, path, spec, "append")
+    """Replace the whole content by the rows, which may be made from the table itself."""
+    _replace_folder(spark, table_path(root, spec), spec, _incoming(rows, spec))
 
 
 def append_new(
@@ -182,7 +209,8 @@ def append_new(
 def update_changed(spark: SparkSession, root: str, spec: TableSpec, rows: DataFrame, attribute: str) -> None:
     """Overwrite one attribute where the rows bring another value."""
     target = _stored(spark, root, spec)
-    _replace_all(spark, root, spec, merge.update_changed(target, rows, spec.keys[0], attribute))
+    changed = merge.update_changed(target, rows, spec.keys[0], attribute)
+    _replace_folder(spark, table_path(root, spec), spec, changed)
 
 
 def replace_range(spark: SparkSession, root: str, spec: TableSpec, rows: DataFrame, lower) -> None:
@@ -222,7 +250,7 @@ def upsert(
             return merge.upsert_partial(current, source, spec.keys, update_cols, on_duplicate, order_by)
 
         if spec.partition is None:
-            _replace_all(spark, root, spec, merged(target))
+            _replace_folder(spark, table_path(root, spec), spec, merged(target))
             return
         touched = _values(source, spec.partition)
         if not spec.partition_from_key:
@@ -234,14 +262,24 @@ def upsert(
 
 
 def write_contacts(spark: SparkSession, root: str, rows: DataFrame, name: str = "contacts") -> None:
-    """Upsert contacts by id into folders of their creation day, adding new columns."""
+    """Upsert contacts by id into folders of their creation day, adding new columns.
+
+    The column names are kept beside the table, so no run reads the footers of all files; a table
+    without that list has its footers read once.
+    """
     path = f"{root.rstrip('/')}/{name}"
+    listed = _beside(path, "columns")
     rows = rows.withColumn("created_day", F.replace("created_path", F.lit("/"), F.lit("-")))
     names = list(rows.columns)
     if exists(spark, path):
-        stored = spark.read.option("mergeSchema", True).parquet(path).columns
+        if exists(spark, listed):
+            stored = [r.value for r in spark.read.schema("value string, n int").json(listed).orderBy("n").collect()]
+        else:
+            stored = spark.read.option("mergeSchema", True).parquet(path).columns
         names += [c for c in stored if c not in names]
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in names])
     spec = TableSpec(name, schema, keys=("id",), partition="created_day", cluster=("id",))
     padded = rows.withColumns({c: F.lit(None).cast("string") for c in names if c not in rows.columns})
+    columns = spark.createDataFrame([(c, n) for n, c in enumerate(names)], "value string, n int")
+    columns.coalesce(1).write.mode("overwrite").json(listed)
     upsert(spark, root, spec, padded, on_duplicate="latest", order_by=["updated_at"])

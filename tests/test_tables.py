@@ -165,3 +165,31 @@ def test_contacts_gain_columns(spark, root):
     df = spark.read.option("mergeSchema", True).parquet(f"{root}/contacts")
     got = sorted(tuple(r) for r in df.select("id", "updated_at", F.col("created_day").cast("string"), F.coalesce("one", F.lit("-")), "two").collect())
     assert got == [("a", "2", "2024-01-02", "-", "y"), ("b", "1", "unknown", "-", "z")]
+
+
+def test_replacement_that_died_is_completed_or_undone(spark, root):
+    path = tables.table_path(root, FLAT)
+    old, new = tables._beside(path, "old"), tables._beside(path, "new")
+    tables.rebuild(spark, root, FLAT, frame(spark, ("a", "d1", "x", 1)))
+    os.rename(path, old)
+    assert stored(spark, root, FLAT) == [("a", "d1", "x", 1)]  # died before the new content was there
+    os.rename(path, old)
+    tables._write(frame(spark, ("b", "d2", "y", 2)), new, FLAT, "overwrite")
+    assert stored(spark, root, FLAT) == [("b", "d2", "y", 2)]  # died between the two moves
+    assert not os.path.exists(old) and not os.path.exists(new)
+
+
+def test_content_may_come_from_the_table_itself(spark, root):
+    for spec in (SPEC, FLAT):
+        tables.rebuild(spark, root, spec, frame(spark, ("a", "d1", "x", 1), ("b", "d2", "y", 2)))
+        tables.rebuild(spark, root, spec, tables.read_table(spark, root, spec).withColumn("n", F.col("n") + 1))
+        assert stored(spark, root, spec) == [("a", "d1", "x", 2), ("b", "d2", "y", 3)]
+
+
+def test_contacts_without_a_column_list(spark, root):
+    rows = spark.createDataFrame([("a", "1", "2024/01/02", "x")], "id string, updated_at string, created_path string, one string")
+    tables.write_contacts(spark, root, rows)
+    tables.remove(spark, tables._beside(f"{root}/contacts", "columns"))
+    tables.write_contacts(spark, root, rows.withColumn("id", F.lit("b")).drop("one"))
+    got = spark.read.parquet(f"{root}/contacts").select("id", "one").collect()
+    assert sorted(map(tuple, got), key=repr) == [("a", "x"), ("b", None)]
