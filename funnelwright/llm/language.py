@@ -38,6 +38,9 @@ ORDERS = (1, 2, 3)
 CLUSTERS = 4
 SAMPLE = 500
 ROUNDS = 10
+# Most languages a model may have, and shares a language's rows are dealt into when sampling.
+LANGUAGES = 1000
+SHARES = 64
 MARGIN = 0.15
 # No centroid reaches less far or further than this: odd texts of a known language lie at up to 0.8,
 # texts in other scripts beyond 0.95.
@@ -179,13 +182,20 @@ def fit(docs: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) -> Mode
     )
     frequency, n = _frequencies(labelled)
     idf = (np.log((1 + n) / (1 + frequency)) + 1).astype(np.float32)
-    # the sample's bound per language first, on narrow rows; then the texts below it
+    # the sample's bound per language first, on narrow rows: of each share of a language, however large,
+    # at most ``sample`` rows go on, so a language brings SHARES x sample rows together
     order = F.xxhash64("doc_id")
-    ranked = labelled.select("lang", order.alias("h")).withColumn(
-        "rank", F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    )
-    bound = ranked.where(F.col("rank") <= sample).groupBy("lang").agg(F.max("h").alias("bound"))
-    chosen = labelled.withColumn("h", order).join(bound, "lang").where("h <= bound").select("lang", "h", "text")
+    share = F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(SHARES))
+    shares = labelled.select("lang", order.alias("h"), share.alias("share"))
+    for keys in (["lang", "share"], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("h"))
+        shares = shares.withColumn("rank", rank).where(F.col("rank") <= sample)
+    bounds = shares.groupBy("lang").agg(F.max("h").alias("bound")).limit(LANGUAGES + 1).collect()
+    if len(bounds) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
+    # one row per language: the texts below the bounds need no shuffle by language
+    bound = docs.sparkSession.createDataFrame([tuple(r) for r in bounds], "lang string, bound long")
+    chosen = labelled.withColumn("h", order).join(F.broadcast(bound), "lang").where("h <= bound").select("lang", "h", "text")
     first = Window.partitionBy("lang").orderBy("h", F.xxhash64("text"))
     chosen = chosen.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= sample)
 
