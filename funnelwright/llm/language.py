@@ -51,12 +51,17 @@ LEAST_MEMBERS = 5
 UNKNOWN = "und"
 ROWS = 256
 
-_HAS_LETTER = re.compile(r"[^\W\d_]")
+_MAY_BE_LETTER = re.compile(r"[^\W\d_]")
 _KEPT = np.zeros(256, dtype=bool)
 _KEPT[0x61:0x7B] = True
 _KEPT[0x80:] = True
 
 
+def has_letters(text: str) -> bool:
+    """Whether the text has a letter; other numerals than digits are none."""
+    return any(m[0].isalpha() for m in _MAY_BE_LETTER.finditer(text))
+
+
 def counts(column: pa.Array) -> np.ndarray:
     """Counts of hashed n-grams, one row per text."""
     data, offsets = words.buffer(column)
@@ -136,7 +141,7 @@ class Model:
     def predict(self, column: pa.Array) -> tuple[list[str], list[float], list[bool]]:
         """Language, cosine and acceptance of each text."""
         texts = column.to_pylist()
-        has_letter = np.array([bool(t and _HAS_LETTER.search(t)) for t in texts], dtype=bool)
+        has_letter = np.array([t is not None and has_letters(t) for t in texts], dtype=bool)
         counted = counts(column)
         if not len(self.languages):
             return [UNKNOWN] * len(texts), [0.0] * len(texts), [False] * len(texts)

@@ -18,7 +18,7 @@ def labelled(rng, n=150):
 
 def test_held_out_accuracy_and_special_texts(documents, rng):
     rows = labelled(rng)
-    rows += [(900, None, "en"), (901, "", "de"), (902, "123 !?", None), (903, "天地玄黄" * 100, None), (None, rows[0][1], "en")]
+    rows += [(900, None, "en"), (901, "", "de"), (902, "123 !? ½ ² _", None), (903, "天地玄黄" * 100, None), (None, rows[0][1], "en")]
     rows += [rows[3], (904, text(rng, "fr", 30_000), None)]
     got = language.language_report(documents(rows)).collect()
     assert len(got) == len(rows)
