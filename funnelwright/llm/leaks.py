@@ -300,7 +300,7 @@ def _document_hits(column: pa.Array, blocks: list[str], window: int) -> dict[str
         "items": [sorted(str(i) for i in s if i is not None) for s in items],
         "longest": longest.tolist(),
         "longest_item": [None if i is None else str(i) for i in longest_item],
-        "longest_at": longest_at.tolist(),
+        "longest_at": [None if p < 0 else p for p in longest_at.tolist()],
     }
 
 
@@ -412,7 +412,33 @@ def leak_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
-        F.when(F.col("longest") > 0, F.col("longest")).alias("longest"),
-        "longest_item",
-        "longest_at",
     )
+
+
+# Windows as joined texts, met by equality; words inside any of them counted once.
+LEAK_SQL = f"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row, doc_id AS id, text, TRUE AS is_doc FROM documents
+    UNION ALL SELECT -row_number() OVER (), item_id, text, FALSE FROM benchmark
+), split AS MATERIALIZED (
+    SELECT row, id, is_doc, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM texts
+), windows AS MATERIALIZED (
+    SELECT DISTINCT id, least(len(words), {WINDOW}) AS size, array_to_string(words[spot : spot + least(len(words), {WINDOW}) - 1], ' ') AS line
+    FROM (SELECT *, unnest(range(1, greatest(len(words) - {WINDOW} + 1, least(len(words), 1)) + 1)) AS spot FROM split WHERE NOT is_doc)
+), sizes AS (SELECT DISTINCT size FROM windows), places AS (
+    SELECT row, words, size, unnest(range(1, len(words) - size + 2)) AS spot FROM split JOIN sizes ON is_doc AND len(words) >= size
+), found AS MATERIALIZED (
+    SELECT row, spot, p.size, w.id FROM places p
+    JOIN windows w ON w.size = p.size AND w.line = array_to_string(words[spot : spot + p.size - 1], ' ')
+), hit AS (
+    SELECT row, count(*) AS n FROM (SELECT DISTINCT row, unnest(range(spot, spot + size)) AS place FROM found) GROUP BY row
+), items AS (
+    SELECT row, count(*) AS n, string_agg(item, ',' ORDER BY item) AS list
+    FROM (SELECT DISTINCT row, CAST(id AS VARCHAR) AS item FROM found WHERE id IS NOT NULL) GROUP BY row
+)
+SELECT s.id AS doc_id, len(words)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, coalesce(items.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(list, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM split s LEFT JOIN hit USING (row) LEFT JOIN items USING (row) WHERE is_doc
+"""

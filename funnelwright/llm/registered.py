@@ -75,4 +75,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracles() -> dict[str, str]:
-    return {"op2_nearest": nearest.NEAREST_SQL, "op4_warc": warc.WARC_SQL, "op6_chat": chat.CHAT_SQL}
+    return {"op2_nearest": nearest.NEAREST_SQL, "op4_warc": warc.WARC_SQL, "op6_chat": chat.CHAT_SQL, "op9_decontamination": leaks.LEAK_SQL}
