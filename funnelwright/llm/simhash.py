@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..session import staged
 from . import words
@@ -90,18 +91,17 @@ def fingerprint_texts(column: pa.Array, size: int = SHINGLE) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), size: int = SHINGLE) -> DataFrame:
-    """The kept columns and ``fp``, the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """doc_id and ``fp``, the fingerprint as a signed long."""
     small_batches(docs)
-    frame = pick(docs, *keep, "text")
-    schema = T.StructType([frame.schema[c] for c in keep] + [T.StructField("fp", T.LongType())])
+    frame = pick(docs, "doc_id", "text")
+    schema = T.StructType([frame.schema["doc_id"], T.StructField("fp", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
                 made = fingerprint_texts(part.column("text"), size).view(np.int64)
-                columns = [part.column(c) for c in keep] + [pa.array(made)]
-                yield pa.RecordBatch.from_arrays(columns, names=[*keep, "fp"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(made)], names=["doc_id", "fp"])
 
     return frame.mapInArrow(run, schema)
 
@@ -323,12 +323,8 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], least: int = 1 << 18) -> It
         yield from split(*joined())
 
 
-def near_duplicates(
-    docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), size: int = SHINGLE, distance: int = DISTANCE
-) -> DataFrame:
-    """Per row: the kept columns, ``fp``, ``root`` (the smallest fingerprint of its group) and
-    ``component_id`` (the smallest doc_id of its group)."""
-    marked = staged(fingerprints(docs, keep, size), "fingerprints")
+def _groups(marked: DataFrame, distance: int) -> DataFrame:
+    """(fp, root, component_id) for each fingerprint of the stored rows ``marked`` (doc_id, fp)."""
     nodes = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "nodes")
     roots = components(links(nodes, distance))
     placed = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
@@ -336,8 +332,14 @@ def near_duplicates(
     )
     placed = staged(placed, "roots")
     named = placed.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    classes = placed.select("fp", "root").join(named, "root")
-    return marked.join(classes, "fp")
+    return placed.join(named, "root").select("fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """Per row: doc_id, ``fp``, ``root`` (the smallest fingerprint of its group) and ``component_id``
+    (the smallest doc_id of its group)."""
+    marked = staged(fingerprints(docs, size), "fingerprints")
+    return marked.join(_groups(marked, distance), "fp")
 
 
 def hex_digits(fp: Column) -> Column:
@@ -345,15 +347,46 @@ def hex_digits(fp: Column) -> Column:
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """One row of each group stays: that with the smallest doc_id, of repeated ids the first row.
+    """One row of each group stays: that with the smallest doc_id, of rows that share it the one whose
+    text has the smallest hash.
 
-    ``docs`` must be stored data, so that its rows keep their numbers between two reads.
+    The rows are written once with their fingerprints, and rows are told apart by what they hold, so
+    reading them again under other settings or after losing executors changes nothing.
     """
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    groups = near_duplicates(numbered, ("doc_id", "_row"), size, distance)
-    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("_row"))
-    stay = groups.groupBy("root").agg(F.min(order)["_row"].alias("_row")).select("_row")
-    return numbered.join(stay, "_row", "left_semi").select(*docs.columns)
+    marked = staged(_with_fingerprint(docs, size), "marked")
+    narrow = marked.select(F.col(_DOC).alias("doc_id"), F.col(_FP).alias("fp"))
+    groups = narrow.join(_groups(narrow, distance), "fp")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("fp"))
+    kept = groups.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("_kd"), F.col("k.fp").alias("_kf"))
+    stay = marked.join(kept, (F.col(_FP) == F.col("_kf")) & F.col(_DOC).eqNullSafe(F.col("_kd")), "left_semi")
+    rank = F.row_number().over(Window.partitionBy(_FP, _DOC).orderBy(F.xxhash64(_TEXT)))
+    return stay.withColumn("_rank", rank).where("_rank = 1").select(*docs.columns)
+
+
+# Names of the columns that keep_one adds for itself.
+_DOC, _FP, _TEXT = "_simhash_doc", "_simhash_fp", "_simhash_text"
+
+
+def _with_fingerprint(docs: DataFrame, size: int) -> DataFrame:
+    """All columns, and doc_id, fingerprint and a hash of the text under names of their own."""
+    small_batches(docs)
+    names = docs.columns
+    text, doc = (names.index(c) for c in ("text", "doc_id"))
+    schema = T.StructType(
+        docs.schema.fields
+        + [T.StructField(_DOC, docs.schema.fields[doc].dataType), T.StructField(_FP, T.LongType()), T.StructField(_TEXT, T.LongType())]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, batch.schema.names[text]):
+                column = part.column(text)
+                data, offsets = words.buffer(column, lower=False)
+                whole = words.hashes(data, offsets[:-1], offsets[1:]).view(np.int64)
+                made = [part.column(doc), pa.array(fingerprint_texts(column, size).view(np.int64)), pa.array(whole)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *made], names=schema.names)
+
+    return docs.mapInArrow(run, schema)
 
 
 def simhash_report(docs: DataFrame) -> DataFrame:
