@@ -9,7 +9,8 @@ document in ``FILLER`` is cut into small pieces, which even out the windows of i
 
 A distinct run of characters is tokenised once per cache life, not once per occurrence: the
 tokenizer drops white space and never merges over it, nor over the border of an ASCII letter and
-ASCII punctuation. Texts holding a special token's own string go to the tokenizer whole.
+ASCII punctuation. Texts holding a special token's own string go to the tokenizer whole, and so do
+all texts of a tokenizer of another kind.
 
 Results in special cases: a NULL text counts as empty; an empty text is the end id alone; repeated
 rows are packed each; an empty table gives no piece; other columns are not read.
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import functools
 import heapq
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -54,6 +56,27 @@ _MARK[0x27] = False  # an apostrophe may belong to the letters after it
 _MARK &= ~_LETTER
 
 
+def _splits_at_white_space(description: str) -> bool:
+    """Whether a tokenizer is of the kind whose texts may be cut into runs: lower case, white space
+    dropped, letters apart from marks. Texts of other tokenizers are encoded whole."""
+    parts = json.loads(description)
+    normalisers = (parts.get("normalizer") or {}).get("normalizers", [])
+    splitters = (parts.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    return (
+        [n.get("type") for n in normalisers] == ["NFC", "Replace", "Lowercase"]
+        and [s.get("type") for s in splitters] == ["Split", "ByteLevel"]
+        and splitters[0].get("pattern", {}).get("Regex") == _WORD_PATTERN
+        and splitters[0].get("behavior") == "Removed"
+        and splitters[0].get("invert") is True
+        and splitters[1].get("add_prefix_space") is False
+        and parts.get("post_processor") is None
+    )
+
+
+# Fixed value: how such a tokenizer finds words.
+_WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
 class Encoder:
     """Token ids of many texts; remembers the runs it met in a direct-mapped table of fixed size."""
 
@@ -66,6 +89,7 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._special = [t.content.encode() for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._by_runs = _splits_at_white_space(self._tokenizer.to_str())
         self._clear()
 
     def _clear(self) -> None:
@@ -143,6 +167,8 @@ class Encoder:
         return self._joined(start, length, words.per_text(starts, offsets), end_id)
 
     def _whole_texts(self, raw: bytes, offsets: np.ndarray) -> np.ndarray:
+        if not self._by_runs:
+            return np.flatnonzero(np.diff(offsets))
         found = set()
         for content in self._special:
             at = raw.find(content)

@@ -421,7 +421,9 @@ def _scored(column: pa.Array, known: _Table, stored: StoredTrie) -> list[pa.Arra
     text_of = np.repeat(np.arange(n_texts), n_words)[rare]
     order = np.lexsort((keys[rare], text_of))
     text_of, found = text_of[order], keys[rare][order]
-    begins = np.flatnonzero(np.concatenate([[True], (text_of[1:] != text_of[:-1]) | (found[1:] != found[:-1])])) if len(found) else np.empty(0, dtype=np.int64)
+    new = np.ones(len(found), dtype=bool)
+    new[1:] = (text_of[1:] != text_of[:-1]) | (found[1:] != found[:-1])
+    begins = np.flatnonzero(new)
     times = np.diff(np.append(begins, len(found)))
     places = np.searchsorted(text_of[begins], np.arange(n_texts + 1)).astype(np.int32)
     packed, first = grams(*words.buffer(column, lower=False))

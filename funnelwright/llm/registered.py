@@ -43,7 +43,7 @@ def op3_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
-    return warc.warc_report(spark, _table(spark, folder, "pages"))
+    return warc.warc_report(_table(spark, folder, "pages"))
 
 
 def op5_ppm(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,8 +71,14 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash, op2_nearest, op3_language, op4_warc, op5_ppm, op6_chat, op7_secret_scan, op8_pii, op9_decontamination, op10_packing)}
+    found = [op1_simhash, op2_nearest, op3_language, op4_warc, op5_ppm, op6_chat, op7_secret_scan, op8_pii]
+    return {f.__name__: f for f in [*found, op9_decontamination, op10_packing]}
 
 
 def oracles() -> dict[str, str]:
-    return {"op2_nearest": nearest.NEAREST_SQL, "op4_warc": warc.WARC_SQL, "op6_chat": chat.CHAT_SQL, "op9_decontamination": leaks.LEAK_SQL}
+    return {
+        "op2_nearest": nearest.NEAREST_SQL,
+        "op4_warc": warc.WARC_SQL,
+        "op6_chat": chat.CHAT_SQL,
+        "op9_decontamination": leaks.LEAK_SQL,
+    }

@@ -30,7 +30,7 @@ from urllib.parse import quote
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
@@ -290,7 +290,7 @@ def fetch(index: DataFrame, wanted: DataFrame) -> DataFrame:
     return sorted_.mapInArrow(run, "page_id long, payload binary")
 
 
-def warc_report(spark: SparkSession, pages: DataFrame) -> DataFrame:
+def warc_report(pages: DataFrame) -> DataFrame:
     """Write the archives, read them back, and report each record."""
     return read_bundles(write_bundles(pages)).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"

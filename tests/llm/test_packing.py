@@ -26,6 +26,7 @@ def test_runs_give_the_same_ids_as_whole_texts(tokenizer, rng, prose):
     letters = " \n\t'\",.!<>|=aAbtsJjK019é̸́ßΣ—日​\x0b\x1c\x85　"
     texts += ["".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(500)]
     encoder = packing.Encoder(PATH)
+    assert encoder._by_runs
     for _ in range(2):  # the second time from the table
         ids, bounds = encoder.encode(pa.array(texts, pa.string()), packing.END_ID)
         for i, text in enumerate(texts):
@@ -42,6 +43,14 @@ def test_runs_sharing_a_slot(tokenizer, prose, monkeypatch):
         assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)] == [ids_of(tokenizer, t) for t in texts]
 
 
+def test_other_tokenizers_get_whole_texts(prose):
+    path = tokenizer_path("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(path)
+    texts = [prose(30), None, "", " a  b ", "<|endoftext|> x"]
+    ids, bounds = packing.Encoder(path).encode(pa.array(texts, pa.string()), packing.END_ID)
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)] == [ids_of(plain, t) for t in texts]
+
+
 def test_windows_are_within_capacity_and_near_equal(rng):
     for n in (1, 2, 7, 300):
         sizes = np.array([rng.randrange(1, 1000) for _ in range(n)])

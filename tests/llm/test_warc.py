@@ -38,7 +38,7 @@ def expected(rows):
 
 def test_round_trip(spark, prose):
     rows = rows_of(prose)
-    got = warc.warc_report(spark, table(spark, rows)).collect()
+    got = warc.warc_report(table(spark, rows)).collect()
     assert sorted(map(tuple, got), key=repr) == expected(rows)
 
 
@@ -82,7 +82,7 @@ def test_least_payload_and_empty_table(spark):
     rows = [(1, None, "same"), (2, None, "same")]
     kinds = {r["page_id"]: r["record_type"] for r in warc.read_bundles(warc.write_bundles(table(spark, rows), 5)).collect()}
     assert kinds == {1: "response", 2: "response"}
-    assert warc.warc_report(spark, table(spark, [])).count() == 0
+    assert warc.warc_report(table(spark, [])).count() == 0
 
 
 def test_damage_is_noticed():
