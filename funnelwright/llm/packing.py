@@ -37,8 +37,8 @@ from . import words
 from .batches import CHUNK_BYTES, chunks, pick, small_batches
 
 CAPACITY = 4096
-GROUP = 2000
-FILLER, FINE = 16, 128
+GROUP = 4000
+FILLER, FINE = 8, 128
 END_ID = 2
 
 # A run's slot in the table of known runs: the top 20 bits of its hash.
