@@ -22,13 +22,15 @@ def action_count(actions: str | Column, action_type: str) -> Column:
 
 
 def action_map(actions: str | Column) -> Column:
-    """All types of the record as a map; the last entry of a type wins."""
+    """All types of the record as a map; the last entry of a type wins.
+
+    Entries are sorted by type and place, so that the last of a type is the one before another type.
+    """
     usable = F.filter(as_column(actions), lambda a: F.coalesce(a["action_type"] != "", F.lit(False)))
-    types = F.array_distinct(F.transform(usable, lambda a: a["action_type"]))
-    return F.map_from_arrays(
-        types,
-        F.transform(
-            types,
-            lambda t: int_or_zero(F.element_at(F.filter(usable, lambda a: a["action_type"] == t), -1)["value"]),
-        ),
+    placed = F.transform(usable, lambda a, i: F.struct(a["action_type"].alias("t"), i.alias("i"), a["value"].alias("v")))
+    ordered = F.array_sort(placed)
+    following = F.slice(ordered, F.lit(2), F.greatest(F.size(ordered), F.lit(1)))
+    last = F.zip_with(
+        ordered, following, lambda x, y: F.when(y.isNull() | (y["t"] != x["t"]), F.struct(x["t"], int_or_zero(x["v"])))
     )
+    return F.map_from_entries(F.array_compact(last))

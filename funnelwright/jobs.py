@@ -25,6 +25,7 @@ from .plans.reports import payment_report
 from .plans.utm import campaign_rows, refreshed_dimension
 from .sinks import tables
 from .sources.readers import read_pages, read_report
+from .streaming.landed import load_new_pages
 
 
 def refresh_funnel(
@@ -132,6 +133,25 @@ def load_billing(
     return billing_audit(objects, days).orderBy("created_at").collect()
 
 
+def follow_billing(
+    spark: SparkSession,
+    root: str,
+    folder: str,
+    checkpoint: str,
+    entity: str,
+    load_time: datetime,
+    files_per_batch: int = 1000,
+    on_broken: str = "error",
+) -> None:
+    """Upsert the pages of an entity landed since the last run, each file once."""
+    spec = schemas.billing_object(entity)
+
+    def load(objects: DataFrame) -> None:
+        tables.upsert(spark, root, spec, billing_objects(objects, load_time))
+
+    load_new_pages(spark, folder, checkpoint, load, files_per_batch, on_broken).awaitTermination()
+
+
 def load_billing_events(
     spark: SparkSession,
     root: str,

@@ -8,6 +8,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from funnelwright import jobs
 from funnelwright.functions.times import DayRange
 from funnelwright.operators.reshape import clean_records, flatten_structs, keep_columns, keys_and_rest, text_columns
 from funnelwright.plans.ads import search_ads_hourly, social_ads_hourly
@@ -200,8 +201,8 @@ def test_batching_does_not_decide_which_copy_wins(spark, tmp_path, files_per_bat
         (folder / f"{n}.json").write_text(json.dumps(page) + "\n", encoding="utf8")
         os.utime(folder / f"{n}.json", (1_700_000_000 + n, 1_700_000_000 + n))
     root, spec = str(tmp_path / "root"), billing_object("charges")
-    load = lambda batch: tables.upsert(spark, root, spec, billing_objects(batch, LOADED))
-    load_new_pages(spark, str(folder), str(tmp_path / "checkpoint"), load, files_per_batch).awaitTermination()
+    for _ in range(2):
+        jobs.follow_billing(spark, root, str(folder), str(tmp_path / "checkpoint"), "charges", LOADED, files_per_batch)
     stored = tables.read_table(spark, root, spec).collect()
     assert [json.loads(r.data)["s"] for r in stored] == ["third 0"]
 
