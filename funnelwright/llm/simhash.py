@@ -29,7 +29,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from ..session import staged
 from . import words
@@ -346,45 +345,38 @@ def hex_digits(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
+# Names of the columns that keep_one adds for itself.
+_DOC, _FP, _ROW = "_simhash_doc", "_simhash_fp", "_simhash_row"
+
+
 def keep_one(docs: DataFrame, size: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """One row of each group stays: that with the smallest doc_id, of rows that share it the one whose
-    text has the smallest hash.
+    """One row of each group stays: that with the smallest doc_id, of rows that share it the first.
 
-    The rows are written once with their fingerprints, and rows are told apart by what they hold, so
-    reading them again under other settings or after losing executors changes nothing.
+    The rows are written once with their fingerprint and a row number. Both are read back from
+    there, so settings or executors that change in between change nothing, and texts are
+    shuffled once, by row number, whatever the size of a group.
     """
-    marked = staged(_with_fingerprint(docs, size), "marked")
-    narrow = marked.select(F.col(_DOC).alias("doc_id"), F.col(_FP).alias("fp"))
+    marked = staged(_with_fingerprint(docs, size).withColumn(_ROW, F.monotonically_increasing_id()), "marked")
+    narrow = marked.select(F.col(_DOC).alias("doc_id"), F.col(_FP).alias("fp"), _ROW)
     groups = narrow.join(_groups(narrow, distance), "fp")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("fp"))
-    kept = groups.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("_kd"), F.col("k.fp").alias("_kf"))
-    stay = marked.join(kept, (F.col(_FP) == F.col("_kf")) & F.col(_DOC).eqNullSafe(F.col("_kd")), "left_semi")
-    rank = F.row_number().over(Window.partitionBy(_FP, _DOC).orderBy(F.xxhash64(_TEXT)))
-    return stay.withColumn("_rank", rank).where("_rank = 1").select(*docs.columns)
-
-
-# Names of the columns that keep_one adds for itself.
-_DOC, _FP, _TEXT = "_simhash_doc", "_simhash_fp", "_simhash_text"
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col(_ROW).alias("row"))
+    stay = groups.groupBy("root").agg(F.min(order)["row"].alias(_ROW)).select(_ROW)
+    return marked.join(stay, _ROW, "left_semi").select(*docs.columns)
 
 
 def _with_fingerprint(docs: DataFrame, size: int) -> DataFrame:
-    """All columns, and doc_id, fingerprint and a hash of the text under names of their own."""
+    """All columns, and doc_id and fingerprint under names of their own."""
     small_batches(docs)
     names = docs.columns
     text, doc = (names.index(c) for c in ("text", "doc_id"))
-    schema = T.StructType(
-        docs.schema.fields
-        + [T.StructField(_DOC, docs.schema.fields[doc].dataType), T.StructField(_FP, T.LongType()), T.StructField(_TEXT, T.LongType())]
-    )
+    added = [T.StructField(_DOC, docs.schema.fields[doc].dataType), T.StructField(_FP, T.LongType())]
+    schema = T.StructType(docs.schema.fields + added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, batch.schema.names[text]):
-                column = part.column(text)
-                data, offsets = words.buffer(column, lower=False)
-                whole = words.hashes(data, offsets[:-1], offsets[1:]).view(np.int64)
-                made = [part.column(doc), pa.array(fingerprint_texts(column, size).view(np.int64)), pa.array(whole)]
-                yield pa.RecordBatch.from_arrays([*part.columns, *made], names=schema.names)
+                made = pa.array(fingerprint_texts(part.column(text), size).view(np.int64))
+                yield pa.RecordBatch.from_arrays([*part.columns, part.column(doc), made], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
