@@ -47,6 +47,7 @@ FREQUENT = 1 << 18
 HELD = 6_000_000
 SHARD = 500_000
 CHUNK = 2 << 20
+SEGMENT = 1 << 21
 TALLY = 2_000_000
 WORD, GRAM = 0, 1
 END_TOKEN = np.uint64(1)
@@ -56,22 +57,22 @@ def _mask(symbols: int) -> int:
     return (1 << (BITS * symbols)) - 1
 
 
-def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The last ORDER + 1 symbols at every byte and end, packed, and where each text begins."""
+def grams(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
+    """The last ORDER + 1 symbols at every byte and end of all texts, packed, about SEGMENT at a time."""
     n = np.diff(offsets)
-    text_of = np.repeat(np.arange(len(n)), n)
-    symbols = np.full(len(data) + (ORDER + 1) * len(n), PAD, dtype=np.int64)
-    symbols[np.arange(len(data)) + ORDER + (ORDER + 1) * text_of] = data
-    ends = offsets[1:] + (ORDER + 1) * np.arange(1, len(n) + 1) - 1
-    symbols[ends] = END
-    packed = symbols.copy()
-    for back in range(1, ORDER + 1):
-        packed[ORDER:] |= symbols[ORDER - back : len(symbols) - back] << (BITS * back)
-    wanted = np.ones(len(symbols), dtype=bool)
-    first = ends - n - ORDER
-    for k in range(ORDER):
-        wanted[first + k] = False
-    return packed[wanted], offsets[:-1] + np.arange(len(n))
+    symbols = np.full(len(data) + (ORDER + 1) * len(n), PAD, dtype=np.int16)
+    for low in range(0, len(data), SEGMENT):
+        place = np.arange(low, min(low + SEGMENT, len(data)))
+        text_of = np.searchsorted(offsets, place, side="right") - 1
+        symbols[place + ORDER + (ORDER + 1) * text_of] = data[low : low + SEGMENT]
+    symbols[offsets[1:] + (ORDER + 1) * np.arange(1, len(n) + 1) - 1] = END
+    for low in range(0, len(symbols), SEGMENT):
+        start = max(0, low - ORDER)
+        part = symbols[start : low + SEGMENT].astype(np.int64)
+        packed = part.copy()
+        for back in range(1, ORDER + 1):
+            packed[back:] |= part[: len(part) - back] << (BITS * back)
+        yield packed[low - start :][part[low - start :] != PAD]
 
 
 def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -121,7 +122,8 @@ def training_counts(training: DataFrame) -> DataFrame:
                 hashed, _ = word_hashes(column)
                 ends = np.full(part.num_rows, END_TOKEN)
                 yield from tokens.add(np.concatenate([hashed, ends]).view(np.int64))
-                yield from contexts.add(grams(*words.buffer(column, lower=False))[0])
+                for packed in grams(*words.buffer(column, lower=False)):
+                    yield from contexts.add(packed)
         yield from tokens.rest()
         yield from contexts.rest()
 
@@ -404,6 +406,21 @@ def _sums(values: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndarr
     return out
 
 
+def _text_scores(column: pa.Array, stored: StoredTrie) -> np.ndarray:
+    """Natural log probability of each text and its end."""
+    data, offsets = words.buffer(column, lower=False)
+    first = offsets[:-1] + np.arange(len(column))  # every text has a symbol at least, its end
+    total, done = np.zeros(len(column)), 0
+    for packed in grams(data, offsets):
+        if not len(packed):
+            continue
+        low = int(np.searchsorted(first, done, side="right")) - 1
+        high = int(np.searchsorted(first, done + len(packed), side="left"))
+        total[low:high] += np.add.reduceat(stored.score(packed), np.maximum(first[low:high], done) - done)
+        done += len(packed)
+    return total
+
+
 def _scored(column: pa.Array, known: _Table, stored: StoredTrie) -> list[pa.Array]:
     n_texts = len(column)
     hashed, bounds = word_hashes(column)
@@ -426,9 +443,7 @@ def _scored(column: pa.Array, known: _Table, stored: StoredTrie) -> list[pa.Arra
     begins = np.flatnonzero(new)
     times = np.diff(np.append(begins, len(found)))
     places = np.searchsorted(text_of[begins], np.arange(n_texts + 1)).astype(np.int32)
-    packed, first = grams(*words.buffer(column, lower=False))
-    lengths = np.diff(np.append(first, len(packed)))
-    total = _sums(stored.score(packed), first, lengths) / math.log(10)
+    total = _text_scores(column, stored) / math.log(10)
     return [
         pa.array(n_words + 1),
         pa.array(frequent),

@@ -42,13 +42,15 @@ SEED = 42
 # Widths of the blocks; each holds a Hamming code of 15 bits and free bits.
 BLOCKS = [(0, 22), (22, 21), (43, 21)]
 HAMMING = 15
+# Shingles hashed at once.
+BLOCK = 1 << 18
 # Fingerprints compared in one cell at most, and up to which an anchor's pairs are formed at once.
 CELL = 8192
 SMALL = 512
 
 
-def _shingle_hashes(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """XXH64 of all shingles of all texts, and the number of shingles of each text."""
+def _shingle_hashes(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """XXH64 of all shingles of all texts, and the text of each, ``BLOCK`` shingles at a time."""
     import xxhash
 
     member = words.NOT_SPACE[data]
@@ -64,30 +66,31 @@ def _shingle_hashes(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[n
     places = np.cumsum(kept) - 1
     starts, ends = places[starts], places[ends - 1] + 1
     compact = memoryview(spaced[kept].tobytes())
+    del places, spaced, kept, member
     n_shingles = np.where(counts > 0, np.maximum(counts - size + 1, 1), 0)
-    text_of = np.repeat(np.arange(len(counts)), n_shingles)
-    first_word = np.cumsum(counts) - counts
-    within = np.arange(len(text_of)) - np.repeat(np.cumsum(n_shingles) - n_shingles, n_shingles)
-    first = first_word[text_of] + within
-    last = np.minimum(first + size, first_word[text_of] + counts[text_of]) - 1
+    begins, first_word = np.cumsum(n_shingles) - n_shingles, np.cumsum(counts) - counts
     digest = xxhash.xxh64_intdigest
-    made = (digest(compact[s:e], SEED) for s, e in zip(starts[first].tolist(), ends[last].tolist(), strict=True))
-    return np.fromiter(made, dtype=np.uint64, count=len(first)), n_shingles
+    for low in range(0, int(n_shingles.sum()), BLOCK):
+        number = np.arange(low, min(low + BLOCK, int(n_shingles.sum())))
+        text_of = np.searchsorted(begins + n_shingles, number, side="right")
+        first = first_word[text_of] + number - begins[text_of]
+        last = np.minimum(first + size, first_word[text_of] + counts[text_of]) - 1
+        made = (digest(compact[s:e], SEED) for s, e in zip(starts[first].tolist(), ends[last].tolist(), strict=True))
+        yield np.fromiter(made, dtype=np.uint64, count=len(first)), text_of
 
 
 def fingerprint_texts(column: pa.Array, size: int = SHINGLE) -> np.ndarray:
     """The fingerprints of texts, as unsigned 64-bit numbers."""
     data, offsets = words.buffer(column)
-    hashed, n = _shingle_hashes(data, offsets, size)
-    out = np.zeros(len(n), dtype=np.uint64)
-    some = np.flatnonzero(n)
-    if len(some):
+    ones = np.zeros((len(column), 64), dtype=np.int64)
+    n = np.zeros(len(column), dtype=np.int64)
+    for hashed, text_of in _shingle_hashes(data, offsets, size):
         bits = np.unpackbits(hashed.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        first = (np.cumsum(n) - n)[some]
-        ones = np.add.reduceat(bits, first, axis=0, dtype=np.int32)
-        majority = (2 * ones > n[some][:, None]).astype(np.uint8)
-        out[some] = np.packbits(majority, axis=1, bitorder="little").view("<u8").reshape(-1)
-    return out
+        begins = np.flatnonzero(np.concatenate([[True], text_of[1:] != text_of[:-1]]))
+        ones[text_of[begins]] += np.add.reduceat(bits, begins, axis=0, dtype=np.int32)
+        n[text_of[begins]] += np.diff(np.append(begins, len(text_of)))
+    majority = (2 * ones > n[:, None]).astype(np.uint8)
+    return np.packbits(majority, axis=1, bitorder="little").view("<u8").reshape(-1)
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:

@@ -3,7 +3,10 @@ import math
 import re
 import zlib
 
-from funnelwright.llm import ppm
+import numpy as np
+import pyarrow as pa
+
+from funnelwright.llm import ppm, words
 
 from .helpers import lower_ascii
 
@@ -88,13 +91,9 @@ def test_nothing_to_learn_from(documents):
 
 
 def test_probabilities_sum_to_one():
-    import numpy as np
-    import pyarrow as pa
-
-    from funnelwright.llm import words
-
     texts = ["abracadabra", "abba", "cab", ""]
-    keys, n = np.unique(ppm.grams(*words.buffer(pa.array(texts), lower=False))[0], return_counts=True)
+    packed = np.concatenate(list(ppm.grams(*words.buffer(pa.array(texts), lower=False))))
+    keys, n = np.unique(packed, return_counts=True)
     low = ppm._level(keys, n.astype(float), 1)
     trie = ppm.Trie(ppm.build_shard(keys, n.astype(float), low), low)
     for context in (b"abra", b"xxab", b"xxxx", b"aaaa"):
@@ -105,6 +104,13 @@ def test_probabilities_sum_to_one():
         assert math.isclose(np.exp(trie.log_probabilities(packed)).sum(), 1.0, abs_tol=1e-9)
 
 
+def test_segments_do_not_change_grams(monkeypatch, prose):
+    column = pa.array([prose(40), "", None, prose(3), "x"], pa.string())
+    whole = np.concatenate(list(ppm.grams(*words.buffer(column, lower=False))))
+    monkeypatch.setattr(ppm, "SEGMENT", 7)
+    assert np.array_equal(np.concatenate(list(ppm.grams(*words.buffer(column, lower=False)))), whole)
+
+
 def test_adaptive_code_length(documents):
     repeated, random = "abcd " * 200, "".join(chr(33 + i * 7919 % 94) for i in range(1000))
     docs = documents([(1, repeated), (2, random), (3, None)])

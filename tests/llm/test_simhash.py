@@ -2,6 +2,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 import xxhash
 
 from funnelwright.llm import simhash
@@ -39,7 +40,9 @@ def classes(fps, ids, distance=4):
     return [least.get(find(i)) for i in range(len(fps))]
 
 
-def test_fingerprints_against_definition(prose):
+@pytest.mark.parametrize("block", [5, simhash.BLOCK])
+def test_fingerprints_against_definition(prose, block, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", block)
     texts = [None, "", " \t", "one", "a b c", "a  b\nc\td", "Ä B\x0bc\x0cd e", " lead", "trail ", prose(100), prose(5000)]
     made = simhash.fingerprint_texts(pa.array(texts, pa.string())).tolist()
     assert made == [fingerprint(t) for t in texts]
