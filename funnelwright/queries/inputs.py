@@ -137,10 +137,14 @@ def rows_sql(name: str, columns: str, rows: list[tuple]) -> str:
 
 
 def web_hits(t: Tables) -> DataFrame:
-    return t.spark.sql(WEB, ev=t.spark.sql(EV, events=t.events))
+    return t.once("web hits", lambda: t.spark.sql(WEB, ev=t.spark.sql(EV, events=t.events)))
 
 
 def web_events(t: Tables) -> DataFrame:
+    return t.once("web events", lambda: _nested(t))
+
+
+def _nested(t: Tables) -> DataFrame:
     """Web hits in the shape of the event feed; a key repeats in some of the arrays."""
 
     def entry(key: str, text=None, number=None):

@@ -22,11 +22,18 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = prepare(spark)
         self._folder = folder.rstrip("/")
+        self._made: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return self.once(name, lambda: self.spark.read.parquet(f"{self._folder}/{name}.parquet"))
+
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A frame that several parts of a query start from: planned once, still lazy."""
+        if name not in self._made:
+            self._made[name] = build()
+        return self._made[name]
 
 
 def query(
