@@ -37,7 +37,7 @@ from . import words
 from .batches import CHUNK_BYTES, chunks, pick, small_batches
 
 CAPACITY = 4096
-GROUP = 4000
+GROUP = 2000
 FILLER, FINE = 8, 128
 END_ID = 2
 
