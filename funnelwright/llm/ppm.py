@@ -62,9 +62,10 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
     n = np.diff(offsets)
     symbols = np.full(len(data) + (ORDER + 1) * len(n), PAD, dtype=np.int16)
     for low in range(0, len(data), SEGMENT):
-        place = np.arange(low, min(low + SEGMENT, len(data)))
-        text_of = np.searchsorted(offsets, place, side="right") - 1
-        symbols[place + ORDER + (ORDER + 1) * text_of] = data[low : low + SEGMENT]
+        high = min(low + SEGMENT, len(data))
+        first, last = np.searchsorted(offsets, low, side="right") - 1, np.searchsorted(offsets, high, side="left")
+        text_of = np.repeat(np.arange(first, last), np.diff(np.clip(offsets[first : last + 1], low, high)))
+        symbols[np.arange(low, high) + ORDER + (ORDER + 1) * text_of] = data[low:high]
     symbols[offsets[1:] + (ORDER + 1) * np.arange(1, len(n) + 1) - 1] = END
     for low in range(0, len(symbols), SEGMENT):
         start = max(0, low - ORDER)
