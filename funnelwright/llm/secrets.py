@@ -2,8 +2,9 @@
 
 A candidate is a long string of letters and digits shortly after a sensitive word. Its novelty is
 the number of bytes by which the compressed context grows when the candidate is added, where the
-compressor is primed with an identifier dictionary and the context is the text around it. Strings
-of at least ``MIN_NOVELTY`` bytes per character are reported as kind ``novel``.
+compressor is primed with an identifier dictionary and the context is the text around it, less what
+repeats the candidate itself: a secret that is given twice is no less secret. Strings of at least
+``MIN_NOVELTY`` bytes per character are reported as kind ``novel``.
 
 Results in special cases: a NULL text counts as empty; an empty text has no spans; repeated rows
 give one result each; other columns of the input are not read.
@@ -37,6 +38,7 @@ SENSITIVE = ["password", "passwd", "secret", "token", "api_key", "apikey", "api-
              "bearer", "akia"]
 REACH = 96
 AROUND = 256
+LEAST = 16
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,512}(?![A-Za-z0-9+/_-])={0,2}")
 MIN_NOVELTY = 0.7
 IDENTIFIERS = (
@@ -89,6 +91,18 @@ class Novelty:
         return (both - alone) / len(candidate)
 
 
+def without_copies(around: str, candidate: str) -> str:
+    """The surroundings with a space for every stretch of ``LEAST`` or more characters that the candidate also has."""
+    shared = {candidate[i : i + LEAST] for i in range(len(candidate) - LEAST + 1)}
+    parts, done, covered = [], 0, 0
+    for i in range(len(around) - LEAST + 1):
+        if around[i : i + LEAST] in shared:
+            if i >= covered:
+                parts += [around[done:i], " "]
+            done = covered = i + LEAST
+    return "".join(parts) + around[done:]
+
+
 def novel_spans(text: str, folded: str, novelty: Novelty, least: float = MIN_NOVELTY) -> list[Span]:
     """Strings with letters and digits within reach of a sensitive word that do not compress."""
     found: dict[int, Span] = {}
@@ -102,7 +116,9 @@ def novel_spans(text: str, folded: str, novelty: Novelty, least: float = MIN_NOV
                     continue
                 string = m[0]
                 if any(c.isdigit() for c in string) and any(c.isalpha() for c in string):
-                    before, after = text[max(0, start - AROUND) : start], text[end : end + AROUND]
+                    wide = AROUND + len(string)  # a copy across the border is seen whole
+                    before = without_copies(text[max(0, start - wide) : start], string)[-AROUND:]
+                    after = without_copies(text[end : end + wide], string)[:AROUND]
                     if novelty.of(before, string, after) >= least:
                         found[start] = ("novel", start, end)
             at = folded.find(word, at + len(word))

@@ -54,6 +54,20 @@ def test_novelty_reports_random_strings_and_not_identifiers():
     assert found == {random}
 
 
+def test_copies_of_a_secret_nearby_do_not_hide_it():
+    novelty, random = secrets.Novelty(), "aZ8kQ2mP9xL4vB7nT1cR6wY3"
+    texts = [
+        f"api_key {random}\napi_key {random}\n",
+        f"token {random}\n" * 5,
+        f"token {random}= and https://host/{random}/x, bearer key-{random}",
+        f"token {random} " + "and the rest of it " * 12 + f"token {random}",
+    ]
+    for text in texts:
+        covered = [text[s:e] for k, s, e in secrets.all_spans(text, novelty) if k == "novel"]
+        assert sum(random in c for c in covered) == text.count(random), text
+    assert random not in secrets.redact(texts[1], secrets.all_spans(texts[1], novelty))
+
+
 def test_redaction_keeps_rows_columns_and_lengths(documents):
     docs = documents([(1, "a password=abcdefgh b"), (2, None), (3, "clean"), (3, "clean")])
     got = secrets.redact_secrets(docs)
