@@ -39,7 +39,9 @@ SENSITIVE = ["password", "passwd", "secret", "token", "api_key", "apikey", "api-
 REACH = 96
 AROUND = 256
 LEAST = 16
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,512}(?![A-Za-z0-9+/_-])={0,2}")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}")
+DIGIT, LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
+PIECE = 512  # characters of a candidate measured at once; a longer one is cut evenly and reported whole
 MIN_NOVELTY = 0.7
 IDENTIFIERS = (
     "abstract access account admin args array async await bearer boolean bucket buffer cache char class client "
@@ -103,26 +105,33 @@ def without_copies(around: str, candidate: str) -> str:
     return "".join(parts) + around[done:]
 
 
+def is_novel(text: str, start: int, end: int, novelty: Novelty, least: float) -> bool:
+    """Whether the candidate, or a piece of one longer than ``PIECE``, does not compress."""
+    count = -(-(end - start) // PIECE)
+    for i in range(count):
+        low, high = start + (end - start) * i // count, start + (end - start) * (i + 1) // count
+        string, wide = text[low:high], AROUND + high - low  # a copy across the border is seen whole
+        before = without_copies(text[max(0, low - wide) : low], string)[-AROUND:]
+        after = without_copies(text[high : high + wide], string)[:AROUND]
+        if novelty.of(before, string, after) >= least:
+            return True
+    return False
+
+
 def novel_spans(text: str, folded: str, novelty: Novelty, least: float = MIN_NOVELTY) -> list[Span]:
     """Strings with letters and digits within reach of a sensitive word that do not compress."""
-    found: dict[int, Span] = {}
-    for word in SENSITIVE:
-        at = folded.find(word)
-        while at >= 0:
-            stop = min(len(text), at + len(word) + REACH)
-            for m in CANDIDATE.finditer(text, at, min(len(text), stop + 512)):
-                start, end = m.span()
-                if start >= stop or start in found:
-                    continue
-                string = m[0]
-                if any(c.isdigit() for c in string) and any(c.isalpha() for c in string):
-                    wide = AROUND + len(string)  # a copy across the border is seen whole
-                    before = without_copies(text[max(0, start - wide) : start], string)[-AROUND:]
-                    after = without_copies(text[end : end + wide], string)[:AROUND]
-                    if novelty.of(before, string, after) >= least:
-                        found[start] = ("novel", start, end)
-            at = folded.find(word, at + len(word))
-    return list(found.values())
+    words = sorted({(m.start(), m.end()) for w in SENSITIVE for m in re.finditer(re.escape(w), folded)})
+    if not words:
+        return []
+    found, i, stop = [], 0, -1
+    for m in CANDIDATE.finditer(text):
+        start, end = m.span()
+        while i < len(words) and words[i][0] <= start:
+            stop = max(stop, words[i][1] + REACH)
+            i += 1
+        if start < stop and DIGIT.search(m[0]) and LETTER.search(m[0]) and is_novel(text, start, end, novelty, least):
+            found.append(("novel", start, end))
+    return found
 
 
 def all_spans(text: str, novelty: Novelty) -> list[Span]:

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import string
 
 from funnelwright.llm import secrets
 
@@ -68,6 +69,18 @@ def test_copies_of_a_secret_nearby_do_not_hide_it():
     assert random not in secrets.redact(texts[1], secrets.all_spans(texts[1], novelty))
 
 
+def test_long_strings_are_reported_whole(rng):
+    novelty = secrets.Novelty()
+    for n in (512, 513, 600, 1200, 3000, 100_000):
+        key = "".join(rng.choices(string.ascii_letters + string.digits + "+/", k=n))
+        text = f"private key: {key}== end"
+        assert ("novel", 13, 15 + n) in secrets.all_spans(text, novelty), n
+        assert key[:20] not in (masked := secrets.redact(text, secrets.all_spans(text, novelty))) and key[-20:] not in masked
+    padded = "A" * 2000 + "".join(rng.choices(string.ascii_letters + string.digits, k=600))
+    assert ("novel", 6, 2606) in secrets.all_spans(f"token {padded}", novelty)
+    assert not secrets.all_spans("token " + "Z1" * 5000, novelty)
+
+
 def test_redaction_keeps_rows_columns_and_lengths(documents):
     docs = documents([(1, "a password=abcdefgh b"), (2, None), (3, "clean"), (3, "clean")])
     got = secrets.redact_secrets(docs)
