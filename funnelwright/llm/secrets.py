@@ -1,6 +1,7 @@
 """Finding secrets: fixed patterns, and strings in sensitive context that zstandard cannot predict.
 
-A candidate is a long string of letters and digits shortly after a sensitive word. Its novelty is
+A candidate is a long string of letters and digits shortly before or after a sensitive word, or a
+reported candidate, so that the lines of one block are followed to its end. Its novelty is
 the number of bytes by which the compressed context grows when the candidate is added, where the
 compressor is primed with an identifier dictionary and the context is the text around it, less what
 repeats the candidate itself: a secret that is given twice is no less secret. Strings of at least
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import pairwise
 
 import pyarrow as pa
 import zstandard
@@ -33,7 +35,7 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")  # a run is entered at its first
 KINDS = ["assign", "access", "hex", "novel"]
 MIN_ASSIGNED, MIN_ACCESS = 6, 20
 
-# Words that make the text after them sensitive, and how far that reaches.
+# Words that make the text on both sides sensitive, and how far that reaches, from reported strings also.
 SENSITIVE = ["password", "passwd", "secret", "token", "api_key", "apikey", "api-key", "credential", "private key",
              "bearer", "akia"]
 REACH = 96
@@ -41,6 +43,8 @@ AROUND = 256
 LEAST = 16
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}")
 DIGIT, LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
+BREAK = re.compile(r"[\x20\t]*\r?\n[\x20\t]*|\\")  # between lines, or the backslash of an escaped line end
+LINE = re.compile(r"(?:[\x20\t]*\r?\n[\x20\t]*|\\)([A-Za-z0-9+/_-]++={0,2})(?=[\x20\t]*\r?(?:\n|\Z)|\\)")
 PIECE = 512  # characters of a candidate measured at once; a longer one is cut evenly and reported whole
 MIN_NOVELTY = 0.7
 IDENTIFIERS = (
@@ -118,20 +122,56 @@ def is_novel(text: str, start: int, end: int, novelty: Novelty, least: float) ->
     return False
 
 
+def same_block(text: str, one: tuple[int, int], two: tuple[int, int]) -> bool:
+    """Whether two strings are of equal length and stand on successive lines."""
+    return one[1] - one[0] == two[1] - two[0] and BREAK.fullmatch(text, one[1], two[0]) is not None
+
+
+def rest_of_blocks(text: str, found: list[Span]) -> list[Span]:
+    """Lines that end a block of at least two reported lines of equal length, if no longer than these.
+
+    The last line of a wrapped key may be too short, or without digits, to be a candidate.
+    """
+    out, reported = [], set(found)
+    for (_, *above), (_, start, end) in pairwise(found):
+        if same_block(text, tuple(above), (start, end)):
+            length, line = end - start, LINE.match(text, end)
+            while line and line.end(1) - line.start(1) <= length and (last := ("novel", *line.span(1))) not in reported:
+                out.append(last)
+                line = LINE.match(text, line.end(1)) if line.end(1) - line.start(1) == length else None
+    return out
+
+
 def novel_spans(text: str, folded: str, novelty: Novelty, least: float = MIN_NOVELTY) -> list[Span]:
-    """Strings with letters and digits within reach of a sensitive word that do not compress."""
+    """Strings with letters and digits within reach of a sensitive word, or of one reported, that do not compress."""
     words = sorted({(m.start(), m.end()) for w in SENSITIVE for m in re.finditer(re.escape(w), folded)})
     if not words:
         return []
-    found, i, stop = [], 0, -1
-    for m in CANDIDATE.finditer(text):
-        start, end = m.span()
-        while i < len(words) and words[i][0] <= start:
-            stop = max(stop, words[i][1] + REACH)
+    runs = [m.span() for m in CANDIDATE.finditer(text) if DIGIT.search(m[0]) and LETTER.search(m[0])]
+    near, i, last = [], 0, -REACH
+    for start, end in runs:
+        while i < len(words) and words[i][0] < end + REACH:
+            last = max(last, words[i][1])
             i += 1
-        if start < stop and DIGIT.search(m[0]) and LETTER.search(m[0]) and is_novel(text, start, end, novelty, least):
-            found.append(("novel", start, end))
-    return found
+        near.append(start < last + REACH)
+    novel: dict[int, bool] = {}
+    # forwards, then backwards: what a reported span reaches on one side is found when going to that side
+    for order, ahead in ((range(len(runs)), True), (range(len(runs) - 1, -1, -1), False)):
+        latest = None
+        for k in order:
+            start, end = runs[k]
+            reached = latest is not None and (start < runs[latest][1] + REACH if ahead else end > runs[latest][0] - REACH)
+            if not near[k] and not reached:
+                continue
+            if k not in novel:
+                novel[k] = is_novel(text, start, end, novelty, least)
+                if not novel[k] and any(same_block(text, *two) for two in pairwise(runs[max(0, k - 1) : k + 2])):
+                    # lines of one block share their letters' frequencies, which compresses some a little
+                    novel[k] = novelty.of("", text[start:end], "") >= least
+            if novel[k]:
+                latest = k
+    found = [("novel", *runs[k]) for k in sorted(novel) if novel[k]]
+    return found + rest_of_blocks(text, found)
 
 
 def all_spans(text: str, novelty: Novelty) -> list[Span]:
