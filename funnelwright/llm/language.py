@@ -7,9 +7,11 @@ has ``CLUSTERS`` centroids from spherical k-means over at most ``SAMPLE`` of its
 the centroid of largest cosine is predicted, ties to the smaller name.
 
 A text is rejected if it has no letters, or if its distance (1 - cosine) from the nearest centroid
-is beyond what training members of that centroid show, widened by ``MARGIN``. The reach of a
-centroid is learnt per length class, since short texts lie further out, and kept within ``REACH``; a
-class without enough members has the reach of the next shorter one.
+is beyond what training members of its language show, widened by ``MARGIN``. The reach of a language
+is learnt per length class, since short texts lie further out, from the distances of each half of its
+sample to centroids of the other half. A class of fewer than ``ENOUGH`` members takes those of all
+languages in the class, and if these are fewer than ``LEAST_MEMBERS`` the reach of the next shorter class;
+the shortest has ``FURTHEST`` then. No class reaches less far than a longer one, none beyond ``FURTHEST``.
 
 Results in special cases: a NULL text, and one without letters, is ``und`` with score 0 and rejected;
 without any labelled training document every text is; a row with a NULL id is a training row, one with
@@ -42,12 +44,11 @@ ROUNDS = 10
 LANGUAGES = 1000
 SHARES = 64
 MARGIN = 0.15
-# No centroid reaches less far or further than this: odd texts of a known language lie at up to 0.8,
-# texts in other scripts beyond 0.95.
-REACH = (0.85, 0.95)
+# No language reaches further: texts in other scripts lie beyond.
+FURTHEST = 0.95
 # Length classes end at these numbers of n-grams.
 LENGTHS = np.array([60, 120, 250, 500, 1000, 4000])
-LEAST_MEMBERS = 5
+LEAST_MEMBERS, ENOUGH = 5, 30
 UNKNOWN = "und"
 ROWS = 256
 
@@ -115,22 +116,36 @@ def spherical_clusters(rows: np.ndarray, k: int) -> np.ndarray:
     return centroids.astype(np.float32)
 
 
-def reaches(rows: np.ndarray, sizes: np.ndarray, centroids: np.ndarray) -> np.ndarray:
-    """Per centroid and length class the largest distance of a member, widened by MARGIN."""
-    near = rows @ centroids.T
-    member, distance = near.argmax(axis=1), 1 - near.max(axis=1)
-    length = np.searchsorted(LENGTHS, sizes)
-    out = np.ones((len(centroids), len(LENGTHS) + 1))
-    for c in range(len(centroids)):
-        for k in range(1, len(LENGTHS) + 1):
-            own = distance[(member == c) & (length == k)]
-            out[c, k] = own.max() + MARGIN if len(own) >= LEAST_MEMBERS else out[c, k - 1]
-    return np.clip(out, *REACH)
+def distances(rows: np.ndarray, sizes: np.ndarray, clusters: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per length class the number of rows, and the largest distance of one from centroids it did not help to make."""
+    many, far = np.zeros(len(LENGTHS) + 1, dtype=np.int64), np.zeros(len(LENGTHS) + 1)
+    for half in (0, 1):
+        own, other = rows[half::2], rows[1 - half :: 2]
+        if len(own) and len(other):
+            length = np.searchsorted(LENGTHS, sizes[half::2])
+            np.add.at(many, length, 1)
+            np.maximum.at(far, length, 1 - (own @ spherical_clusters(other, clusters).T).max(axis=1))
+    return many, far
+
+
+def reaches(many: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Per language and length class how far a text may lie, from the members of each and their largest distances."""
+    out = np.full(many.shape, FURTHEST)
+    for k in range(many.shape[1]):
+        shared = far[:, k].max() + MARGIN if many[:, k].sum() >= LEAST_MEMBERS else None
+        for i in range(len(many)):
+            if many[i, k] >= ENOUGH:
+                out[i, k] = far[i, k] + MARGIN
+            elif shared is not None:
+                out[i, k] = shared
+            elif k:
+                out[i, k] = out[i, k - 1]
+    return np.minimum(np.maximum.accumulate(out[:, ::-1], axis=1)[:, ::-1], FURTHEST)
 
 
 @dataclass
 class Model:
-    """Languages by name, their centroids, and how far each reaches."""
+    """Languages by name, their centroids, and how far each centroid reaches."""
 
     languages: list[str]
     owner: np.ndarray
@@ -211,21 +226,26 @@ def fit(docs: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) -> Mode
         rows = vectors(counted, idf)
         some = np.linalg.norm(rows, axis=1) > 0
         if not some.any():
-            return pd.DataFrame({"lang": [], "centroid": [], "reach": []})
+            return pd.DataFrame({"lang": [], "centroid": [], "many": [], "far": []})
         centroids = spherical_clusters(rows[some], clusters)
-        reach = reaches(rows[some], counted[some].sum(axis=1), centroids)
+        many, far = distances(rows[some], counted[some].sum(axis=1), clusters)
+        n = len(centroids)
         return pd.DataFrame(
-            {"lang": frame["lang"].iloc[0], "centroid": list(centroids), "reach": [list(r) for r in reach]}
+            {"lang": frame["lang"].iloc[0], "centroid": list(centroids), "many": [list(many)] * n, "far": [list(far)] * n}
         )
 
-    learnt = chosen.groupBy("lang").applyInPandas(learn, "lang string, centroid array<float>, reach array<double>")
+    kind = "lang string, centroid array<float>, many array<long>, far array<double>"
+    learnt = chosen.groupBy("lang").applyInPandas(learn, kind)
     rows = sorted(learnt.collect(), key=lambda r: r["lang"])  # languages x clusters rows
     languages = sorted({r["lang"] for r in rows})
+    owner = np.array([languages.index(r["lang"]) for r in rows], dtype=np.int64)
+    first_of = {r["lang"]: r for r in reversed(rows)}
+    many, far = (np.array([first_of[x][c] for x in languages]).reshape(-1, len(LENGTHS) + 1) for c in ("many", "far"))
     return Model(
         languages,
-        np.array([languages.index(r["lang"]) for r in rows], dtype=np.int64),
+        owner,
         np.array([r["centroid"] for r in rows], dtype=np.float32).reshape(len(rows), DIMENSIONS),
-        np.array([r["reach"] for r in rows]).reshape(len(rows), len(LENGTHS) + 1),
+        reaches(many, far)[owner] if len(rows) else np.zeros((0, len(LENGTHS) + 1)),
         idf,
     )
 

@@ -1,3 +1,4 @@
+import string
 import zlib
 
 import numpy as np
@@ -46,6 +47,27 @@ def test_filter_keeps_columns_and_known_rows(documents, rng):
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == list(range(150))
 
 
+def test_unlearnt_latin_languages_and_letter_noise_are_rejected(documents, rng):
+    finnish = ["kaikki", "ihmi", "syn", "tyvät", "vapai", "oikeu", "jär", "koh", "taan", "yksi", "löl", "lä", "hengessä"]
+    other = [" ".join("".join(rng.choices(finnish, k=rng.randrange(1, 4))) for _ in range(n)) for n in (100, 300, 1000)]
+    noise = ["".join(rng.choices(string.ascii_lowercase + " " * 5, k=n)) for n in (1000, 5000, 20_000)]
+    rows = labelled(rng, 400)
+    docs = documents(rows + [(1000 + i, t, None) for i, t in enumerate(other + noise)])
+    got = {r["doc_id"]: r["accepted"] for r in language.language_report(docs).collect()}
+    assert not any(got[1000 + i] for i in range(6))
+    assert all(got[i] for i, _, _ in rows)
+
+
+def test_reach_follows_what_members_show():
+    classes = len(language.LENGTHS) + 1
+    many, far = np.full((2, classes), language.ENOUGH), np.full((2, classes), 0.3)
+    far[1], far[0, 2] = 0.9, 0.5
+    got = language.reaches(many, far)
+    assert np.allclose(got[0], [0.65, 0.65, 0.65, 0.45, 0.45, 0.45, 0.45]) and np.allclose(got[1], language.FURTHEST)
+    many[:, :2] = 1
+    assert np.allclose(language.reaches(many, far)[0, :3], [0.95, 0.95, 0.65])
+
+
 def test_without_labels_nothing_is_known(documents):
     got = language.language_report(documents([(1, "some words", None), (2, None, None)])).collect()
     assert {(r["lang_pred"], r["score"], r["accepted"]) for r in got} == {("und", 0.0, False)}
