@@ -1,8 +1,8 @@
 """Finding personal data: patterns propose spans, checksums confirm them, nearby words adjust the score.
 
 Kinds are email, ip, card (Luhn), phone and iban (mod 97). Patterns match leftmost and do not overlap
-within a kind; a match that its validator refuses is dropped without another try. Every pattern is
-entered only where a run of its characters begins, so long runs cost linear time.
+within a kind; a match that its validator refuses is dropped without another try, except that an iban is
+tried at every shorter end before a space, and the next at the word after. Every pattern is entered only where a run of its characters begins, so long runs cost linear time.
 
 Results in special cases: a NULL text counts as empty; an empty text has no spans; repeated rows
 give one result each; other columns of the input are not read.
@@ -73,6 +73,19 @@ def _digits(string: str) -> str:
     return "".join(c for c in string if "0" <= c <= "9")
 
 
+def ibans(text: str) -> list[tuple[int, int]]:
+    """Leftmost account numbers, each to the last end before a space at which its checksum holds."""
+    found, m = [], IBAN.search(text)
+    while m:
+        start, end = m.span()
+        while end > start and not (15 <= len(plain := text[start:end].replace(" ", "")) <= 34 and mod97(plain)):
+            end = text.rfind(" ", start, end)
+        if end > start:
+            found.append((start, end))
+        m = IBAN.search(text, max(end, start + 1))
+    return found
+
+
 def proposals(text: str) -> list[tuple[str, int, int]]:
     """Confirmed matches by kind, then start."""
     found = [("email", s, e) for s, e in emails(text)] if "@" in text else []
@@ -86,10 +99,7 @@ def proposals(text: str) -> list[tuple[str, int, int]]:
         for m in PHONE.finditer(text):
             if 9 <= len(_digits(m[0])) <= 15:
                 found.append(("phone", *m.span()))
-    for m in IBAN.finditer(text):
-        if 15 <= len(plain := m[0].replace(" ", "")) <= 34 and mod97(plain):
-            found.append(("iban", *m.span()))
-    return found
+    return found + [("iban", s, e) for s, e in ibans(text)]
 
 
 def score(text: str, kind: str, start: int, end: int) -> float:

@@ -64,6 +64,15 @@ def test_mod97_confirms_account_numbers():
     assert not [s for s in pii.proposals(f"pay {bad} now") if s[0] == "iban"]
 
 
+def test_account_numbers_before_other_words_are_found():
+    one, two = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"
+    grouped = "DE89 3704 0044 0532 0130 00"
+    for text in (f"{one} BIC COBADEFFXXX", f"{one} 2024 now", f"{grouped} BIC COBADEFFXXX", f"pay {grouped} {two} 7 A", f"XX12 {one} B"):
+        got = [text[s:e] for k, s, e, *_ in pii.proposals(text) if k == "iban"]
+        assert got == [x for x in (one, grouped, two) if x in text], text
+    assert not [s for s in pii.proposals("DE88370400440532013000 BIC COBADEFFXXX") if s[0] == "iban"]
+
+
 def test_context_words_move_the_score():
     plain, helped = "zzz 10.0.0.1 zzz", "server address 10.0.0.1"
     against = "version 10.0.0.1"
