@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import chat, language, leaks, nearest, packing, pii, ppm, secrets, simhash, warc
+from . import chat, language, leaks, nearest, negatives, packing, pieces, pii, ppm, secrets, simhash, warc, whitening
 
-# The vocabulary file of the packing query, by name or by path.
+# The vocabulary files of the packing and the encoding query, by name or by path.
 TOKENIZER = "word_bpe_49k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,9 +71,23 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_table(spark, folder, "documents"), tokenizer_path())
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(_table(spark, folder, "embeddings"))
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "embeddings")
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0, label=negatives.moved_label())
+
+
+def op13_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.piece_report(_table(spark, folder, "documents"), tokenizer_path(PIECE_MODEL))
+
+
 def queries() -> dict[str, Query]:
     found = [op1_simhash, op2_nearest, op3_language, op4_warc, op5_ppm, op6_chat, op7_secret_scan, op8_pii]
-    return {f.__name__: f for f in [*found, op9_decontamination, op10_packing]}
+    found += [op9_decontamination, op10_packing, op11_whitening, op12_hard_negatives, op13_pieces]
+    return {f.__name__: f for f in found}
 
 
 def oracles() -> dict[str, str]:
@@ -81,4 +96,5 @@ def oracles() -> dict[str, str]:
         "op4_warc": warc.WARC_SQL,
         "op6_chat": chat.CHAT_SQL,
         "op9_decontamination": leaks.LEAK_SQL,
+        "op12_hard_negatives": negatives.NEGATIVES_SQL,
     }
