@@ -1,13 +1,14 @@
 """Encoding to the pieces of a merge-type (BPE) vocabulary, and decoding.
 
 A text is normalised as its model says and begins as a row of characters. An agenda holds the adjacent
-pairs of symbols that are pieces when joined, ordered by score, then by place. The best pair is merged, the
-pairs its new symbol makes with its neighbours join the agenda, and pairs whose symbols have changed since
-are passed over when they come up. What remains are the pieces; a character that is none becomes the pieces
-of its bytes, or the unknown piece.
+pairs of symbols that are pieces when joined, ordered by score, then by place. The best pair is merged, and the
+pairs its new symbol makes with its neighbours replace those on the agenda that its parts made. What remains when the
+agenda is empty are the pieces; a character that is none becomes the pieces of its bytes, or the unknown piece.
 
-No merge crosses two characters that stand side by side in no piece, so a text is cut there before, first
-where a word ends, and the ids of a word are kept for when it comes again.
+No merge crosses two characters that stand side by side in no piece. Where a vocabulary lets spaces only begin
+pieces a text is cut into words there, and the ids of a word are kept for when it comes again. The new
+words of a batch are merged together: their agendas are one array, of which every round takes each word's first
+entry. Long words have an agenda of their own, a heap.
 
 Every text is checked against the sentencepiece library, batch by batch: a difference fails the job. That
 happens with vocabularies of another kind than merges, or with unused pieces or symbols a user defined.
@@ -23,20 +24,25 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .batches import map_text, pick
 
 SPACE = "▁"  # fixed value: what vocabularies of this kind write for a space
-# Words, and runs of their characters, whose ids a worker keeps, and the longest of them.
-KEPT_WORDS, KEPT_LENGTH = 400_000, 64
+# Words whose ids a worker keeps, and the longest such word.
+KEPT_WORDS, KEPT_LENGTH = 500_000, 64
+# Characters of new words merged together.
+TOGETHER = 1 << 20
 PLACE_BITS = 32
 PLACES = (1 << PLACE_BITS) - 1
+NEVER = 1 << 30  # a rank beyond all
+POINTS = 0x110000  # fixed value: code points there are
 
 
 class Pieces:
@@ -63,40 +69,120 @@ class Pieces:
         words = all(pair[0] == SPACE or pair[1] != SPACE for pair in self.adjacent)
         self.word = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+") if words else re.compile(r"[\s\S]+")
         self.kept: dict[str, tuple[int, ...]] = {}
-        self.kept_runs: dict[str, tuple[int, ...]] = {}
-
-    def encode(self, text: str) -> list[int]:
-        """The ids of the pieces of one text."""
+        # a symbol is a piece's id, or above all ids a character that is no piece
+        self.alphabet = size + np.arange(POINTS, dtype=np.int64)
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                self.alphabet[ord(piece)] = i
+        # what two pieces make together: the pair as one number, sorted, with rank and id of the piece made
+        parts = [
+            (self.ids[piece[:i]] * (size + POINTS) + self.ids[piece[i:]], self.ranks[piece], made)
+            for piece, made in self.ids.items()
+            for i in range(1, len(piece))
+            if piece[:i] in self.ids and piece[i:] in self.ids
+        ]
+        self.size = size
+        self.pairs, self.pair_ranks, self.pair_ids = np.array(sorted(parts) or [(-1, 0, 0)], dtype=np.int64).T.copy()
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """The ids of the pieces of each text."""
+        worded = [self.word.findall(self.library.normalize(text)) for text in texts]
         kept = self.kept
-        parts = []
-        for word in self.word.findall(self.library.normalize(text)):
-            ids = kept.get(word)
-            if ids is None:
-                ids = tuple(chain.from_iterable(self.runs(word)))
-                if len(word) <= KEPT_LENGTH:
-                    if len(kept) >= KEPT_WORDS:
-                        kept.clear()
-                    kept[word] = ids
-            parts.append(ids)
-        found = list(chain.from_iterable(parts))
+        if len(kept) > KEPT_WORDS:
+            kept.clear()
+        new = {word for words in worded for word in words if word not in kept}
+        passing = self.encoded_words(new)
+        kept.update((word, ids) for word, ids in passing.items() if len(word) <= KEPT_LENGTH)
+        found = []
+        for words in worded:
+            parts = [passing[w] if len(w) > KEPT_LENGTH else kept[w] for w in words]
+            found.append(list(chain.from_iterable(parts)))
         if self.bytes is None:  # neighbouring unknown symbols are one piece
-            found = [x for i, x in enumerate(found) if x != self.unknown or not i or found[i - 1] != x]
+            found = [[x for i, x in enumerate(ids) if x != self.unknown or not i or ids[i - 1] != x] for ids in found]
         return found
 
-    def runs(self, word: str) -> Iterator[tuple[int, ...]]:
-        """The ids of the word's runs: it is cut between characters that stand side by side in no piece."""
-        adjacent, kept = self.adjacent, self.kept_runs
-        cuts = [i for i, pair in enumerate(zip(word, word[1:], strict=False), 1) if pair not in adjacent]
+    def encoded_words(self, words: Iterable[str]) -> dict[str, tuple[int, ...]]:
+        """The ids of distinct words, the short ones merged together."""
+        out: dict[str, tuple[int, ...]] = {}
+        held: list[str] = []
+        size = 0
+        for word in words:
+            if len(word) > KEPT_LENGTH:
+                out[word] = tuple(chain.from_iterable(map(self.merged, self.runs(word))))
+            else:
+                held.append(word)
+                size += len(word)
+                if size >= TOGETHER:
+                    out.update(self.merged_together(held))
+                    held, size = [], 0
+        if held:
+            out.update(self.merged_together(held))
+        return out
+
+    def merged_together(self, words: list[str]) -> Iterator[tuple[str, tuple[int, ...]]]:
+        """Words with their ids. Every round merges the best pair of each word that has one."""
+        points = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32)
+        symbols = self.alphabet[points]
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        names = np.arange(len(words))
+        last = np.cumsum(lengths) - 1
+        rank, made = self.looked_up(symbols[:-1], symbols[1:])
+        rank, made = np.append(rank, NEVER), np.append(made, 0)
+        rank[last] = NEVER  # no pair reaches into the next word
+        while len(names):
+            starts = np.cumsum(lengths) - lengths
+            # the first entry of each word's agenda: lowest rank, then leftmost
+            entry = np.minimum.reduceat(rank << PLACE_BITS | np.arange(len(rank)), starts)
+            best = entry & PLACES
+            going = entry >> PLACE_BITS < NEVER
+            if not going.all():
+                done = ~going
+                whole = symbols[np.repeat(done, lengths)]
+                ends = np.cumsum(lengths[done])
+                flat, lacking = whole.tolist(), np.logical_or.reduceat(whole >= self.size, ends - lengths[done]).tolist()
+                ends = ends.tolist()
+                for n, begin, end, lacks in zip(names[done].tolist(), [0, *ends[:-1]], ends, lacking, strict=True):
+                    ids = flat[begin:end]
+                    yield words[n], tuple(chain.from_iterable(map(self.named, ids)) if lacks else ids)
+                stay = np.repeat(going, lengths)
+                best = (np.cumsum(stay) - 1)[best[going]]
+                symbols, rank, made = symbols[stay], rank[stay], made[stay]
+                names, lengths = names[going], lengths[going]
+                if not len(names):
+                    return
+                starts = np.cumsum(lengths) - lengths
+            symbols[best] = made[best]
+            rank[best] = NEVER
+            left = np.ones(len(symbols), dtype=bool)
+            left[best + 1] = False
+            symbols, rank, made = symbols[left], rank[left], made[left]
+            best -= np.arange(len(best))  # one symbol fewer for every word before
+            starts -= np.arange(len(best))
+            lengths = lengths - 1
+            # the pairs of the new symbol with its neighbours
+            before = best[best > starts] - 1
+            after = best[best < starts + lengths - 1]
+            for places in (before, after):
+                rank[places], made[places] = self.looked_up(symbols[places], symbols[places + 1])
+
+    def named(self, symbol: int) -> list[int]:
+        """The ids of a symbol: of its piece, of its character's bytes, or the unknown one."""
+        if symbol < self.size:
+            return [symbol]
+        return [self.unknown] if self.bytes is None else [self.bytes[b] for b in chr(symbol - self.size).encode()]
+
+    def looked_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and id of what pairs of pieces make; rank ``NEVER`` where that is no piece."""
+        pair = left * (self.size + POINTS) + right
+        place = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        known = self.pairs[place] == pair
+        return np.where(known, self.pair_ranks[place], NEVER), self.pair_ids[place]
+
+    def runs(self, word: str) -> Iterator[str]:
+        """The word cut between characters that stand side by side in no piece."""
+        cuts = [i for i, pair in enumerate(zip(word, word[1:], strict=False), 1) if pair not in self.adjacent]
         for begin, end in zip([0, *cuts], [*cuts, len(word)], strict=True):
-            run = word[begin:end]
-            ids = kept.get(run)
-            if ids is None:
-                ids = tuple(self.merged(run))
-                if len(run) <= KEPT_LENGTH:
-                    if len(kept) >= KEPT_WORDS:
-                        kept.clear()
-                    kept[run] = ids
-            yield ids
+            yield word[begin:end]
 
     def merged(self, run: str) -> list[int]:
         """The ids of a run of characters, by merging the best pair on the agenda until it is empty.
@@ -130,18 +216,13 @@ class Pieces:
                 rank = ranks.get(symbols[leader] + joined)
                 if rank is not None:
                     heapq.heappush(agenda, rank << PLACE_BITS | leader)
-        out = []
-        for symbol in symbols:
-            if symbol in self.ids:
-                out.append(self.ids[symbol])
-            elif symbol:
-                out += [self.unknown] if self.bytes is None else [self.bytes[b] for b in symbol.encode()]
-        return out
+        left = [self.ids[s] if s in self.ids else self.size + ord(s) for s in symbols if s]
+        return list(chain.from_iterable(map(self.named, left)))
 
     def checked(self, texts: list[str | None]) -> list[list[int]]:
         """The ids of the texts, compared with those of the library."""
         whole = [text or "" for text in texts]
-        found = [self.encode(text) for text in whole]
+        found = self.encode(whole)
         expected = self.library.encode(whole, num_threads=1)
         for text, ids, right in zip(whole, found, expected, strict=True):
             if ids != right:
