@@ -68,7 +68,9 @@ class Pieces:
         # spaces only begin pieces: then every word with the spaces before it stands alone
         words = all(pair[0] == SPACE or pair[1] != SPACE for pair in self.adjacent)
         self.word = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+") if words else re.compile(r"[\s\S]+")
-        self.kept: dict[str, tuple[int, ...]] = {}
+        self.kept: dict[str, list[int]] = {}
+        self.long: list[str] = []
+        self.numerals = [str(i) for i in range(size)]
         # a symbol is a piece's id, or above all ids a character that is no piece
         self.alphabet = size + np.arange(POINTS, dtype=np.int64)
         for piece, i in self.ids.items():
@@ -90,37 +92,35 @@ class Pieces:
         kept = self.kept
         if len(kept) > KEPT_WORDS:
             kept.clear()
-        new = {word for words in worded for word in words if word not in kept}
-        passing = self.encoded_words(new)
-        kept.update((word, ids) for word, ids in passing.items() if len(word) <= KEPT_LENGTH)
-        found = []
-        for words in worded:
-            parts = [passing[w] if len(w) > KEPT_LENGTH else kept[w] for w in words]
-            found.append(list(chain.from_iterable(parts)))
+        self.keep(set(chain.from_iterable(worded)).difference(kept))
+        found = [list(chain.from_iterable(map(kept.__getitem__, words))) for words in worded]
+        for word in self.long:
+            del kept[word]
+        self.long.clear()
         if self.bytes is None:  # neighbouring unknown symbols are one piece
             found = [[x for i, x in enumerate(ids) if x != self.unknown or not i or ids[i - 1] != x] for ids in found]
         return found
 
-    def encoded_words(self, words: Iterable[str]) -> dict[str, tuple[int, ...]]:
-        """The ids of distinct words, the short ones merged together."""
-        out: dict[str, tuple[int, ...]] = {}
+    def keep(self, words: Iterable[str]) -> None:
+        """Find the ids of new words, the short ones merged together, the others noted in ``long``."""
         held: list[str] = []
         size = 0
         for word in words:
             if len(word) > KEPT_LENGTH:
-                out[word] = tuple(chain.from_iterable(map(self.merged, self.runs(word))))
-            else:
-                held.append(word)
-                size += len(word)
-                if size >= TOGETHER:
-                    out.update(self.merged_together(held))
-                    held, size = [], 0
+                self.kept[word] = list(chain.from_iterable(map(self.merged, self.runs(word))))
+                self.long.append(word)
+                continue
+            held.append(word)
+            size += len(word)
+            if size >= TOGETHER:
+                self.merged_together(held)
+                held, size = [], 0
         if held:
-            out.update(self.merged_together(held))
-        return out
+            self.merged_together(held)
 
-    def merged_together(self, words: list[str]) -> Iterator[tuple[str, tuple[int, ...]]]:
-        """Words with their ids. Every round merges the best pair of each word that has one."""
+    def merged_together(self, words: list[str]) -> None:
+        """Keep the ids of the words. Every round merges the best pair of each word that has one."""
+        kept = self.kept
         points = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32)
         symbols = self.alphabet[points]
         lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
@@ -143,7 +143,7 @@ class Pieces:
                 ends = ends.tolist()
                 for n, begin, end, lacks in zip(names[done].tolist(), [0, *ends[:-1]], ends, lacking, strict=True):
                     ids = flat[begin:end]
-                    yield words[n], tuple(chain.from_iterable(map(self.named, ids)) if lacks else ids)
+                    kept[words[n]] = list(chain.from_iterable(map(self.named, ids))) if lacks else ids
                 stay = np.repeat(going, lengths)
                 best = (np.cumsum(stay) - 1)[best[going]]
                 symbols, rank, made = symbols[stay], rank[stay], made[stay]
@@ -272,9 +272,10 @@ def piece_report(docs: DataFrame, path: str) -> DataFrame:
     def work(texts: list[str | None]) -> dict[str, list]:
         model = vocabulary(path)
         found = model.checked(texts)
+        numeral = model.numerals.__getitem__
         return {
             "n_tokens": [len(ids) for ids in found],
-            "ids_sha256": [hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest() for ids in found],
+            "ids_sha256": [hashlib.sha256(",".join(map(numeral, ids)).encode()).hexdigest() for ids in found],
             "decoded_sha256": [hashlib.sha256(model.decode(ids).encode()).hexdigest() for ids in found],
         }
 
