@@ -97,19 +97,17 @@ def refresh_conversion(
 ) -> None:
     """Replace the mart from the first day of the lookback on."""
     days = lookback(as_of, days_from, days_to)
-    with tables.scratch(spark) as stage:
-        rows = campaign_conversion(
-            tables.read_table(spark, root, schemas.HISTORICAL_FUNNEL),
-            tables.read_table(spark, root, schemas.PRECHECKOUT),
-            transactions,
-            tables.read_table(spark, root, schemas.DIM_UTM),
-            search_stats,
-            social_insights,
-            days,
-            rules,
-            stage,
-        )
-        tables.replace_range(spark, root, schemas.CAMPAIGN_CONVERSION, rows, days.first_key)
+    rows = campaign_conversion(
+        tables.read_table(spark, root, schemas.HISTORICAL_FUNNEL),
+        tables.read_table(spark, root, schemas.PRECHECKOUT),
+        transactions,
+        tables.read_table(spark, root, schemas.DIM_UTM),
+        search_stats,
+        social_insights,
+        days,
+        rules,
+    )
+    tables.replace_range(spark, root, schemas.CAMPAIGN_CONVERSION, rows, days.first_key)
 
 
 def load_billing(
@@ -122,17 +120,28 @@ def load_billing(
     days_from: int = 1,
     days_to: int = 0,
     on_broken: str = "error",
+    later: bool = False,
 ) -> list[Row]:
     """Upsert the landed objects of one billing entity, all days in one go; returns the audit,
-    one row per creation day: fetched, without key, duplicates, rejected, loaded."""
+    one row per creation day: fetched, without key, duplicates, rejected, loaded.
+
+    With ``later`` the objects are stored as change files, which ``compact_billing`` folds in: for objects that
+    change all over the past.
+    """
     if entity not in schemas.BILLING_ENTITIES:
         raise ValueError(f"unknown billing entity {entity!r}; known: {schemas.BILLING_ENTITIES}")
     days = lookback(as_of, days_from, days_to)
     objects = read_pages(spark, pages, on_broken=on_broken)
-    tables.upsert(spark, root, schemas.billing_object(entity), billing_objects(objects, load_time, days))
+    change = tables.upsert_later if later else tables.upsert
+    change(spark, root, schemas.billing_object(entity), billing_objects(objects, load_time, days))
     return billing_audit(objects, days).orderBy("created_at").collect()
 
 
+def compact_billing(spark: SparkSession, root: str, entity: str, buckets: Sequence[int] | None = None) -> None:
+    """Fold the change files of an entity, or those of some buckets, into its table."""
+    tables.compact(spark, root, schemas.billing_object(entity), buckets)
+
+
 def follow_billing(
     spark: SparkSession,
     root: str,

@@ -47,43 +47,45 @@ def candidate_full_join(
     on: Sequence[tuple[str, str]],
     left_texts: Sequence[Column],
     right_texts: Sequence[Column],
+    distinct: bool = False,
 ) -> DataFrame:
     """Full outer join on equal keys AND any left text equal to any right text.
 
     Written as an OR the join could only be distributed by the plain keys. Here every
-    text becomes a row, so it is an ordinary equality join on keys plus text. A pair that
-    agrees on several texts is kept for the first of them only, which needs no distinct.
-    Column names of the two sides must not overlap.
+    text becomes a row, so it is an ordinary full join on keys plus text, which reads each side once. A pair found
+    also says of both its rows that they are matched; one grouping by (left row, right row) then
+    leaves each pair once and each row without any pair once. Rows that a side repeats travel as
+    one row with a count; ``distinct`` says that neither side repeats any.
+    Column names of the two sides must not overlap, and no column may be a map.
     """
-    left_keys, right_keys = [l for l, _ in on], [r for _, r in on]
-    lhs = left.withColumn("_lt", _texts(left_texts))
-    rhs = right.withColumn("_rt", _texts(right_texts))
-    lx = lhs.withColumn("_l", F.explode("_lt"))
-    rx = rhs.withColumn("_r", F.explode("_rt"))
-
-    same_keys = reduce(lambda a, b: a & b, (F.col(l) == F.col(r) for l, r in on))
-    first_common = F.element_at(F.array_intersect("_lt", "_rt"), 1)
-    matched = (
-        lx.join(rx, same_keys & (F.col("_l") == F.col("_r")))
-        .where(F.col("_l") == first_common)
-        .select(*left.columns, *right.columns)
+    lhs = _by_text(left, [l for l, _ in on], left_texts, "_l", distinct)
+    rhs = _by_text(right, [r for _, r in on], right_texts, "_r", distinct)
+    same = reduce(lambda a, b: a & b, (lhs[f"_l{n}"] == rhs[f"_r{n}"] for n in range(len(on) + 2)))
+    none_l, none_r = (F.lit(None).cast(df.schema[c].dataType) for df, c in ((lhs, "_l"), (rhs, "_r")))
+    outcome = lambda l, r, matched: F.struct(l.alias("l"), r.alias("r"), F.lit(matched).alias("matched"))
+    l, r = F.col("_l"), F.col("_r")
+    outcomes = F.when(
+        l.isNotNull() & r.isNotNull(), F.array(outcome(l, r, True), outcome(l, none_r, True), outcome(none_l, r, True))
+    ).otherwise(F.array(outcome(l, r, False)))
+    found = (
+        lhs.join(rhs, same, "full")
+        .select(F.inline(outcomes))
+        .groupBy("l", "r")
+        .agg(F.bool_or("matched").alias("matched"))
+        .where((F.col("l").isNotNull() & F.col("r").isNotNull()) | ~F.col("matched"))
     )
-
-    right_known = rx.select(*(F.col(k).alias(l) for l, k in on), F.col("_r").alias("_t")).distinct()
-    left_known = lx.select(*(F.col(k).alias(r) for k, r in on), F.col("_l").alias("_t")).distinct()
-    left_only = _without_text(lhs, "_lt", len(left_texts), right_known, left_keys).select(*left.columns)
-    right_only = _without_text(rhs, "_rt", len(right_texts), left_known, right_keys).select(*right.columns)
-    return matched.unionByName(left_only, allowMissingColumns=True).unionByName(
-        right_only, allowMissingColumns=True
+    if not distinct:
+        copies = F.coalesce("l._copies", F.lit(1)) * F.coalesce("r._copies", F.lit(1))
+        found = found.select("l", "r", F.explode(F.sequence(F.lit(1), copies)))
+    return found.select(
+        *(F.col("l").getField(c).alias(c) for c in left.columns), *(F.col("r").getField(c).alias(c) for c in right.columns)
     )
 
 
-def _texts(texts: Sequence[Column]) -> Column:
-    return F.array_distinct(F.array_compact(F.array(*texts)))
-
-
-def _without_text(df: DataFrame, texts: str, n: int, known: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows none of whose texts is known for their keys: one anti join per text position."""
-    for i in range(n):
-        df = not_in(df.withColumn("_t", F.get(texts, F.lit(i))), known, [*keys, "_t"]).drop("_t")
-    return df
+def _by_text(df: DataFrame, keys: Sequence[str], texts: Sequence[Column], row: str, distinct: bool) -> DataFrame:
+    """A row per text (or one without any): the keys, the text and the spread of NULLs numbered, and the whole row."""
+    rows = df if distinct else df.groupBy(*df.columns).agg(F.count(F.lit(1)).cast("int").alias("_copies"))
+    every = F.array_distinct(F.array_compact(F.array(*texts)))
+    exploded = rows.select(F.struct(*rows.columns).alias(row), *keys, F.explode_outer(every).alias("_t"))
+    spread = spread_null_keys(exploded, [*keys, "_t"], [row])
+    return spread.select(row, *(F.col(c).alias(f"{row}{n}") for n, c in enumerate([*keys, "_t", "_spread"])))

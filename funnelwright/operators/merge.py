@@ -64,7 +64,8 @@ def update_changed(target: DataFrame, source: DataFrame, key: str, attribute: st
     )
 
 
-def _checked_source(source: DataFrame, keys: Sequence[str], on_duplicate: str, order_by: Sequence[str]) -> DataFrame:
+def checked_source(source: DataFrame, keys: Sequence[str], on_duplicate: str, order_by: Sequence[str]) -> DataFrame:
+    """The source, reduced to the latest row of each key if repeated keys are no error."""
     if on_duplicate == "error":
         return source
     if on_duplicate == "latest":
@@ -116,7 +117,7 @@ def upsert_partial(
     order_by: Sequence[str] = (),
 ) -> DataFrame:
     """As ``upsert``, but matched rows take only ``update_cols`` from the source."""
-    source = _checked_source(source, keys, on_duplicate, order_by).select(*target.columns)
+    source = checked_source(source, keys, on_duplicate, order_by).select(*target.columns)
     rows = _side_by_side(target, source, keys)
     stored, incoming = F.col("_t_spread").isNotNull(), F.col("_s_spread").isNotNull()
 

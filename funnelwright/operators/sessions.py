@@ -2,9 +2,14 @@
 
 A plain window over the session key puts each session into one task. Events without a
 session id all share the NULL session, and one automated visitor can send a large share
-of the traffic, so sessions of more than ``hot_rows`` rows are cut at quantiles of their times into
-chunks of about that many rows, however the rows lie in time. The window runs inside a chunk, and what earlier chunks carry forward comes
-from one summary row per chunk.
+of the traffic, so sessions of more than ``hot_rows`` rows are cut in time into chunks of about that many rows,
+however many those are and however the rows lie in time. The window runs inside a chunk, and what earlier chunks
+carry forward comes from one summary row per chunk.
+
+The cuts are made at two levels. Rows picked by a hash of their content stand for all rows. A few of them per session
+give coarse ranges, about as many as there are chunks in a range; more of them per range give the chunks. So a row is
+compared with twice the square root of the number of chunks, no array holds a whole session, and the
+cuts are the same however often and in whatever order they are computed.
 """
 
 from __future__ import annotations
@@ -19,8 +24,8 @@ from ..functions.keys import as_column
 
 HOT_ROWS = 1_000_000
 
-# Quantiles taken of a hot session's times.
-CUTS = 1000
+# Picked rows per cut: the more, the more even the chunks.
+PICKED = 256
 
 # Columns the rows are distributed by after session_columns(keep_layout=True).
 LAYOUT = ["_sid", "_no_sid", "_chunk"]
@@ -49,7 +54,7 @@ def session_columns(
     latest, first, peak = (
         {out: as_column(c) for out, c in (given or {}).items()} for given in (latest, first, peak)
     )
-    chunked = _with_chunks(events, session, ts, hot_rows)
+    chunked = _with_chunks(events, session, ts, ties, max(hot_rows, 1))
     at = F.struct(ts, *ties)
 
     # each running value travels with its position, so max() finds the newest one
@@ -104,34 +109,50 @@ def session_columns(
     )
 
 
-def _with_chunks(events: DataFrame, session: str, ts: str, hot_rows: int) -> DataFrame:
+def _with_chunks(events: DataFrame, session: str, ts: str, ties: Sequence[str], hot_rows: int) -> DataFrame:
     """Replace the session column by the layout columns: NULL-safe key and time chunk.
 
-    A hot session is cut at its approximate quantiles of time, as many as it has ``hot_rows`` in it
-    (``CUTS`` at most, then chunks grow). Rows of equal time stay together.
+    Rows of equal time stay together.
     """
+    sid = ["_sid", "_no_sid"]
     safe = events.withColumns(
         {"_sid": F.coalesce(F.col(session), F.lit("")), "_no_sid": F.col(session).isNull()}
     ).drop(session)
-    micros = F.unix_micros(ts)
-    sizes = safe.groupBy("_sid", "_no_sid").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    # sessions that are hot are few, so their quantiles are taken over their rows alone
-    quantiles = F.percentile_approx(micros, [i / CUTS for i in range(1, CUTS)], 10 * CUTS)
-    marks = (
-        safe.select("_sid", "_no_sid", ts)
-        .join(sizes, ["_sid", "_no_sid"])
-        .groupBy("_sid", "_no_sid")
-        .agg(quantiles.alias("_q"), F.any_value("_n").alias("_n"))
+    # sessions that are hot are few; so are the rows that stand for theirs
+    sizes = safe.groupBy(*sid).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    chunks = F.ceil(F.col("_n") / F.lit(hot_rows))
+    per_range = F.ceil(F.sqrt(chunks))
+    sizes = sizes.select(*sid, "_n", (per_range * hot_rows).alias("_range_rows"))
+
+    hashed = safe.select(*sid, F.unix_micros(ts).alias("_at"), F.xxhash64(ts, *ties).alias("_h")).join(sizes, sid)
+    every = F.greatest(F.floor(F.col("_range_rows") / PICKED), F.lit(1))
+    ranges = _cuts(hashed.withColumn("_every", every), sid, F.col("_range_rows")).withColumnRenamed("_ends", "_starts")
+    ranged = hashed.join(ranges, sid, "left").withColumn("_range", _after("_starts", F.col("_at")))
+    every = F.lit(max(hot_rows // PICKED, 1)).cast("long")
+    ends = _cuts(ranged.withColumn("_every", every), [*sid, "_range"], F.lit(hot_rows))
+
+    hot = sizes.select(*sid, F.lit(True).alias("_is_hot")).join(ranges, sid, "left")
+    known = safe.join(hot, sid, "left").withColumn("_range", _after("_starts", F.unix_micros(ts)))
+    fine = known.join(ends, [*sid, "_range"], "left")
+    chunk = (F.col("_range") * F.lit(1 << 32) + _after("_ends", F.unix_micros(ts))).cast("long")
+    return fine.select(*safe.columns, F.coalesce("_is_hot", F.lit(False)).alias("_hot"), chunk.alias("_chunk"))
+
+
+def _cuts(hashed: DataFrame, group: Sequence[str], rows: Column) -> DataFrame:
+    """Times at which a group of rows is cut into parts of about so many rows (``_ends``), from every ``_every``-th row."""
+    picked = hashed.where(F.pmod("_h", "_every") == 0)
+    gathered = picked.groupBy(*group).agg(
+        F.sort_array(F.collect_list("_at")).alias("_picked"), F.any_value("_every").alias("_every"), F.any_value(rows).alias("_rows")
     )
-    # every so many of the quantiles, such that a chunk has about hot_rows
-    parts = F.least(F.ceil(F.col("_n") / F.lit(max(hot_rows, 1))), F.lit(CUTS)).cast("int")
-    ends = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.col("_parts") - 1, F.lit(1))),
-        lambda i: F.element_at("_q", F.greatest((i * F.lit(CUTS) / F.col("_parts")).cast("int"), F.lit(1))),
-    )
-    hot = marks.withColumn("_parts", parts).select("_sid", "_no_sid", F.array_distinct(ends).alias("_ends"))
-    chunk = F.size(F.filter("_ends", lambda e: e < micros)).cast("long")
-    is_hot = F.col("_ends").isNotNull()
-    return safe.join(hot, ["_sid", "_no_sid"], "left").select(
-        *safe.columns, is_hot.alias("_hot"), F.when(is_hot, chunk).otherwise(F.lit(0).cast("long")).alias("_chunk")
+    # a part is so many of the picked rows, as whole numbers where all are picked
+    step = F.col("_rows") / F.col("_every")
+    parts = F.greatest(F.round(F.size("_picked") / step), F.lit(1)).cast("int")
+    places = F.transform(
+        F.slice(F.sequence(F.lit(1), parts), F.lit(1), parts - 1), lambda i: F.least(F.ceil(i * step).cast("int"), F.size("_picked"))
     )
+    return gathered.select(*group, F.array_distinct(F.transform(places, lambda p: F.get("_picked", p - 1))).alias("_ends"))
+
+
+def _after(ends: str, at: Column) -> Column:
+    """How many of the ends lie before a time; 0 without any."""
+    return F.coalesce(F.size(F.filter(ends, lambda end: end < at)), F.lit(0)).cast("long")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -179,6 +178,7 @@ def with_social_cost(conversions: DataFrame, social: DataFrame) -> DataFrame:
         on=[("id_date", "s_id_date"), ("channel", "s_channel")],
         left_texts=[joined("campaign", "term", "content"), joined("campaign", "content", "term")],
         right_texts=[F.col("s_campaign_hash"), F.col("s_campaign_hash1")],
+        distinct=True,  # both sides come from groupings
     )
 
 
@@ -208,14 +208,8 @@ def campaign_conversion(
     social_insights: DataFrame,
     days: DayRange,
     rules: ChannelRules = ChannelRules(),
-    stage: Callable[[DataFrame, str], DataFrame] = lambda df, label: df,
 ) -> DataFrame:
-    """The mart rows from ``days.first`` on; the range has no upper end.
-
-    Conversions and social ads are used several times by their join. A caller with large inputs
-    gives a ``stage`` that writes both aggregates to the shared folder, so the inputs are read
-    once; without one the result is lazy.
-    """
+    """The mart rows from ``days.first`` on; the range has no upper end."""
     conversions = conversions_by_campaign(
         sessions_by_channel(funnel, dim, days, rules),
         transactions_by_channel(transactions, dim, days, rules),
@@ -223,7 +217,7 @@ def campaign_conversion(
         dim,
     )
     social = social_cost(social_insights, days)
-    recognised = with_social_cost(stage(conversions, "conversions"), stage(social, "social_cost"))
+    recognised = with_social_cost(conversions, social)
     rows = with_search_cost(recognised, search_cost(search_stats, days))
 
     def ad_sum(measure: str) -> Column:

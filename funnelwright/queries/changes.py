@@ -23,7 +23,7 @@ from ..operators.merge import (
 from ..operators.reshape import union_all
 from ..schemas import TableSpec
 from ..session import scratch_path
-from ..sinks import tables
+from ..sinks import exchange, tables
 from .registry import Tables, query
 
 TARGET_END = "1999-01-01"
@@ -206,6 +206,69 @@ def stored_upsert(t: Tables) -> DataFrame:
     return tables.read_table(t.spark, root, STORED)
 
 
+@query(f"WITH {MONTHS_SQL} FROM new UNION ALL (FROM old WHERE id NOT IN (SELECT id FROM new))")
+def interrupted_upsert(t: Tables) -> DataFrame:
+    """An upsert whose run died after its commit record, some partitions moved: the next reader completes it."""
+    target, source = _orders(t)
+    root = scratch_path(t.spark, "stored")
+    path = tables.table_path(root, STORED)
+    tables.rebuild(t.spark, root, STORED, _by_month(target))
+    lost = exchange.new_folder(path)
+    tables._write(_by_month(source), lost, STORED, "overwrite")  # a run that died before its record: no effect
+    new = exchange.new_folder(path)
+    merged = upsert(tables.read_table(t.spark, root, STORED), _by_month(source), STORED.keys)
+    tables._write(merged, new, STORED, "overwrite")
+    months = [n for n in exchange.names(t.spark, new) if n.startswith("id_date=")]
+    exchange.commit(t.spark, path, new, months, [])
+    for n, month in enumerate(months):  # a third not begun, a third without a folder, the rest done
+        if n % 3:
+            exchange.remove(t.spark, f"{path}/{month}")
+        if n % 3 > 1:
+            exchange.rename(t.spark, f"{new}/{month}", f"{path}/{month}")
+    return tables.read_table(t.spark, root, STORED)
+
+
+def _changed_later(t: Tables) -> str:
+    """A table with two batches of change files: the older one has other prices, and is replaced."""
+    target, source = _orders(t)
+    root = scratch_path(t.spark, "stored")
+    tables.rebuild(t.spark, root, STORED, _by_month(target))
+    tables.upsert_later(t.spark, root, STORED, _by_month(source).withColumn("price", F.col("price") + 1))
+    tables.upsert_later(t.spark, root, STORED, _by_month(source))
+    return root
+
+
+@query(f"WITH {MONTHS_SQL} FROM new UNION ALL (FROM old WHERE id NOT IN (SELECT id FROM new))")
+def deferred_upsert(t: Tables) -> DataFrame:
+    """A stored table read with its change files, the newest change of a key in place of the stored row."""
+    return tables.read_table(t.spark, _changed_later(t), STORED)
+
+
+@query(f"WITH {MONTHS_SQL} FROM new UNION ALL (FROM old WHERE id NOT IN (SELECT id FROM new))")
+def compacted_upsert(t: Tables) -> DataFrame:
+    """The same table after its change files have been folded in, some buckets first."""
+    root = _changed_later(t)
+    tables.compact(t.spark, root, STORED, range(3))
+    tables.compact(t.spark, root, STORED)
+    return tables.read_table(t.spark, root, STORED)
+
+
+@query(
+    f"""WITH {MONTHS_SQL}, moved AS (SELECT id, '19990201' AS id_date, status, -price AS price FROM old WHERE id % 97 = 0)
+    FROM moved UNION ALL (FROM old WHERE id NOT IN (SELECT id FROM moved))"""
+)
+def filtered_upsert(t: Tables) -> DataFrame:
+    """Few keys, stored in other partitions than the rows fall into: key filters tell which to open."""
+    target, _ = _orders(t)
+    root = scratch_path(t.spark, "stored")
+    old = _by_month(target)
+    tables.rebuild(t.spark, root, STORED, old)
+    moved = old.where("id % 97 = 0").withColumns({"id_date": F.lit("19990201"), "price": -F.col("price")})
+    for _ in range(2):  # the second run finds the filters the first has left
+        tables.upsert(t.spark, root, STORED, moved)
+    return tables.read_table(t.spark, root, STORED)
+
+
 @query(
     f"""WITH s AS (SELECT {NULLABLE} AS id, o_orderstatus AS status, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders)
     SELECT DISTINCT id, status, day, CASE WHEN id IS NULL THEN 'no key' ELSE 'key' END AS kind FROM s WHERE day >= '1999-01-01'

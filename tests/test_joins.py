@@ -87,3 +87,17 @@ def test_measures_equal_direct_join(spark, rows, seed):
     )
     actual = measures_by_channel(f, m, ["d"], "h", "e", ["aff", "sell"], ["paid"], "n", "x", "x")
     assert rows(actual, "d", "h", "channel", "n", "x") == rows(expected)
+
+
+def test_candidate_join_reads_each_side_once(spark, tmp_path, rows):
+    l = spark.createDataFrame([("x", "a", "b", "c", 1), ("x", "a", "b", "c", 1), ("y", None, None, None, 2)], "k string, a string, b string, c string, n int")
+    r = spark.createDataFrame([("x", "abc", "abc", 5), ("x", "abc", "abc", 5), ("x", "acb", None, 6), ("z", None, None, 7)], "rk string, h string, h1 string, m int")
+    for side, name in ((l, "l"), (r, "r")):
+        side.write.parquet(str(tmp_path / name))
+    l, r = (spark.read.parquet(str(tmp_path / name)) for name in "lr")
+    texts = [joined("a", "b", "c"), joined("a", "c", "b")]
+    found = candidate_full_join(l, r, [("k", "rk")], texts, [F.col("h"), F.col("h1")])
+    assert len(found.collect()) == 2 * 3 + 1 + 1
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    final = plan[plan.index("== Final Plan ==") : plan.index("== Initial Plan ==")]
+    assert final.count("FileScan") == 2

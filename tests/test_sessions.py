@@ -104,3 +104,28 @@ def test_no_forced_broadcast(spark):
     df = spark.createDataFrame([("a", 1, "e", None, None, 0)], SCHEMA).withColumn("at", F.timestamp_seconds("t"))
     text = session_columns(df, "s", "at", ["name"], {"v": "v"})._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" not in text.lower()
+
+
+def test_chunks_stay_small_however_many_they_are(spark):
+    df = spark.range(1_000_000).select(
+        F.lit(None).cast("string").alias("s"),
+        F.timestamp_micros(F.when(F.col("id") % 2 == 0, F.col("id")).otherwise(F.col("id") * F.lit(10**9))).alias("at"),
+        F.col("id").cast("string").alias("name"),
+    )
+    result = session_columns(df, "s", "at", ["name"], {"n": "name"}, hot_rows=100, keep_layout=True)
+    sizes = result.groupBy("_chunk").count()
+    assert sizes.agg(F.max("count"), F.count("*"), F.sum("count")).first()[0] <= 200
+    assert sizes.count() >= 8000 and sizes.agg(F.sum("count")).first()[0] == 1_000_000
+
+
+def test_running_values_over_many_chunks(spark):
+    df = spark.range(20_000).select(
+        F.lit("one").alias("s"),
+        F.timestamp_seconds("id").alias("at"),
+        F.col("id").cast("string").alias("name"),
+        F.when(F.col("id") % 700 == 0, F.col("id")).alias("v"),
+        (-F.col("id")).alias("n"),
+    )
+    result = session_columns(df, "s", "at", ["name"], {"last": "v"}, {"first": "name"}, {"top": "n"}, hot_rows=10)
+    wrong = ~((F.col("last") == F.col("name").cast("long") - F.col("name").cast("long") % 700) & (F.col("first") == "0") & (F.col("top") == 0))
+    assert result.count() == 20_000 and result.where(wrong).count() == 0
