@@ -1,10 +1,16 @@
 """Benchmark decontamination with suffix arrays over the training documents.
 
 Each shard (some megabytes of whole documents of one task) gets a suffix array of its words.
-Every suffix of the benchmark is looked up by binary search, which gives the documents and places
-of each window and the longest verbatim matches. Only suffixes that begin with a benchmark word
+Every suffix of the benchmark that begins a window is looked up by binary search, which gives the documents and places
+of each window. Only suffixes that begin with a benchmark word
 are sorted, and a word outside the benchmark ends a suffix: no match can hold one.
 
+How far a match goes on is found from the other side: every place found is looked up in the suffix array of
+the benchmark, whose neighbours there share the most words with it, whatever the number of items with a passage. A
+document's longest verbatim match is the longest such; the first of equal ones in the document counts, and of items
+with the same words there the one whose id comes first as text. ``longest_matches`` answers per suffix of
+the benchmark.
+
 The benchmark is read by the tasks in blocks of bounded size from the shared folder. Words are
 compared by 64-bit hashes (see ``words``).
 
@@ -22,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -178,6 +185,7 @@ class Benchmark:
         self.sequence = _sequence(ids.astype(np.int64) + 1, counts, self.pad)
         self.packed = Packed(self.sequence.ids, self.bits)
         self.item_ids = item_ids
+        self._array: np.ndarray | None = None
         begin, length = [], []
         for first, n in zip(self.sequence.first[:-1].tolist(), counts.tolist(), strict=True):
             if n:
@@ -186,6 +194,32 @@ class Benchmark:
         self.begin = np.concatenate(begin) if begin else np.empty(0, dtype=np.int64)
         self.length = np.concatenate(length) if length else np.empty(0, dtype=np.int64)
 
+    def array(self) -> np.ndarray:
+        """The suffix array of the items, made once."""
+        if self._array is None:
+            self._array = suffix_array(self.sequence.ids, self.packed)
+        return self._array
+
+    def longest(self, shard: Shard, places: np.ndarray) -> np.ndarray:
+        """How many words each place of a shard has in common with some item, from there on."""
+        array = self.array()
+        whole = np.full(len(places), np.iinfo(np.int64).max)
+        low = _bound(array, self.packed, shard.packed, places, whole, False)
+        best = np.zeros(len(places), dtype=np.int64)
+        for side in (low - 1, low):
+            neighbour = array[np.clip(side, 0, len(array) - 1)]
+            best = np.maximum(best, _shared_length(neighbour, self.packed, places, shard.packed))
+        return best
+
+    def first_item(self, shard: Shard, places: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The first item that holds so many words of each place."""
+        array = self.array()
+        low = _bound(array, self.packed, shard.packed, places, lengths, False)
+        high = _bound(array, self.packed, shard.packed, places, lengths, True)
+        ranges, of = np.unique(np.stack([low, high]), axis=1, return_inverse=True)
+        least = [int(self.sequence.text_of[array[a:b]].min()) for a, b in ranges.T.tolist()]
+        return np.array(least, dtype=np.int64)[of.reshape(-1)]
+
     def number(self, hashed: np.ndarray) -> np.ndarray:
         """Vocabulary numbers of words from 1, and 0 for words outside."""
         if not len(self.vocabulary):
@@ -234,6 +268,7 @@ class Shard:
 @functools.lru_cache(maxsize=1)
 def _benchmark(address: str, window: int) -> Benchmark:
     table = read_block(address).combine_chunks()
+    table = table.take(pc.sort_indices(table["item_id"].cast(pa.string())))  # NULL ids last
     return Benchmark(table["item_id"].to_pylist(), pa.chunked_array(table["text"]).combine_chunks(), window)
 
 
@@ -253,9 +288,7 @@ def _document_hits(column: pa.Array, blocks: list[str], window: int) -> dict[str
     n = len(counts)
     covered = np.zeros(int((counts + 1).sum()) + 1, dtype=np.int64)
     items: list[set] = [set() for _ in range(n)]
-    longest = np.zeros(n, dtype=np.int64)
-    longest_item: list = [None] * n
-    longest_at = np.full(n, -1, dtype=np.int64)
+    longest: list = [None] * n  # negative length, place, whether the item has no id, its id as text
     for address in blocks:
         bench = _benchmark(address, window)
         shard = Shard(hashed, counts, bench)
@@ -278,18 +311,24 @@ def _document_hits(column: pa.Array, blocks: list[str], window: int) -> dict[str
             sharing.setdefault(r, set()).add(bench.item_ids[i])
         for r, d in zip((pairs // n).tolist(), (pairs % n).tolist(), strict=True):
             items[d] |= sharing[r]
-        # the longest match of each document among the occurrences found
-        q = bench.begin[found[first]][owner]
-        length = _shared_length(place, shard.packed, q, bench.packed)
+        # the longest match of each document among the places found: of a window or more with any item, else a short item
+        widest = np.lexsort((-width, place))
+        widest = widest[np.unique(place[widest], return_index=True)[1]]
+        place, owner = place[widest], owner[widest]
+        shared = bench.longest(shard, place)
+        length = np.where(shared >= window, shared, width[widest])
         doc = shard.sequence.text_of[place]
         order = np.lexsort((place, -length, doc))
         best = order[np.unique(doc[order], return_index=True)[1]]
-        for d, size, i, p in zip(
-            doc[best].tolist(), length[best].tolist(), bench.sequence.text_of[q[best]].tolist(),
+        item = bench.first_item(shard, place[best], length[best])
+        for d, size, i, r, p in zip(
+            doc[best].tolist(), length[best].tolist(), item.tolist(), owner[best].tolist(),
             (place[best] - shard.sequence.first[doc[best]]).tolist(), strict=True,
         ):
-            if size > longest[d]:
-                longest[d], longest_item[d], longest_at[d] = size, bench.item_ids[i], p
+            names = [bench.item_ids[i]] if size >= window else sharing[r]
+            found_now = min((-size, p, name is None, str(name)) for name in names)
+            if longest[d] is None or found_now < longest[d]:
+                longest[d] = found_now
     hit = np.cumsum(covered)[:-1] > 0
     bounds = np.zeros(n + 1, dtype=np.int64)
     np.cumsum(counts + 1, out=bounds[1:])
@@ -298,9 +337,9 @@ def _document_hits(column: pa.Array, blocks: list[str], window: int) -> dict[str
         "n_words": counts.tolist(),
         "n_hit": (totals[bounds[1:]] - totals[bounds[:-1]]).tolist(),
         "items": [sorted(str(i) for i in s if i is not None) for s in items],
-        "longest": longest.tolist(),
-        "longest_item": [None if i is None else str(i) for i in longest_item],
-        "longest_at": [None if p < 0 else p for p in longest_at.tolist()],
+        "longest": [0 if m is None else -m[0] for m in longest],
+        "longest_item": [None if m is None or m[2] else m[3] for m in longest],
+        "longest_at": [None if m is None else m[1] for m in longest],
     }
 
 
@@ -381,11 +420,12 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
     found = frame.mapInArrow(
         run, f"item_id {item.dataType.simpleString()}, item_at long, n_words long, doc_id {key}, doc_at long"
     )
-    best = F.max(F.struct("n_words", (-F.col("doc_id")).alias("d"), "doc_id", (-F.col("doc_at")).alias("doc_at")))
+    # longest first, then the smallest id, a NULL one before all, then the first word
+    best = F.min(F.struct((-F.col("n_words")).alias("short"), "doc_id", "doc_at"))
     return (
         found.groupBy("item_id", "item_at")
         .agg(best.alias("b"))
-        .select("item_id", "item_at", "b.n_words", "b.doc_id", (-F.col("b.doc_at")).alias("doc_at"))
+        .select("item_id", "item_at", (-F.col("b.short")).alias("n_words"), "b.doc_id", "b.doc_at")
     )
 
 
@@ -412,6 +452,9 @@ def leak_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
+        "longest",
+        "longest_item",
+        "longest_at",
     )
 
 
@@ -425,20 +468,28 @@ WITH texts AS (
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM texts
 ), windows AS MATERIALIZED (
-    SELECT DISTINCT id, least(len(words), {WINDOW}) AS size, array_to_string(words[spot : spot + least(len(words), {WINDOW}) - 1], ' ') AS line
+    SELECT row AS item, spot AS item_spot, id, least(len(words), {WINDOW}) AS size,
+           array_to_string(words[spot : spot + least(len(words), {WINDOW}) - 1], ' ') AS line
     FROM (SELECT *, unnest(range(1, greatest(len(words) - {WINDOW} + 1, least(len(words), 1)) + 1)) AS spot FROM split WHERE NOT is_doc)
 ), sizes AS (SELECT DISTINCT size FROM windows), places AS (
     SELECT row, words, size, unnest(range(1, len(words) - size + 2)) AS spot FROM split JOIN sizes ON is_doc AND len(words) >= size
 ), found AS MATERIALIZED (
-    SELECT row, spot, p.size, w.id FROM places p
+    SELECT row, spot, p.size, w.id, w.item, spot - w.item_spot AS shift FROM places p
     JOIN windows w ON w.size = p.size AND w.line = array_to_string(words[spot : spot + p.size - 1], ' ')
 ), hit AS (
     SELECT row, count(*) AS n FROM (SELECT DISTINCT row, unnest(range(spot, spot + size)) AS place FROM found) GROUP BY row
+), stretches AS (
+    SELECT row, min(spot) - 1 AS place, count(*) + any_value(size) - 1 AS n, CAST(any_value(id) AS VARCHAR) AS item
+    FROM (SELECT *, spot - row_number() OVER (PARTITION BY row, item, shift ORDER BY spot) AS stretch FROM found) AS found
+    GROUP BY row, found.item, shift, stretch
+), longest AS (
+    SELECT * FROM stretches QUALIFY row_number() OVER (PARTITION BY row ORDER BY n DESC, place, item NULLS LAST) = 1
 ), items AS (
     SELECT row, count(*) AS n, string_agg(item, ',' ORDER BY item) AS list
     FROM (SELECT DISTINCT row, CAST(id AS VARCHAR) AS item FROM found WHERE id IS NOT NULL) GROUP BY row
 )
 SELECT s.id AS doc_id, len(words)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, coalesce(items.n, 0)::BIGINT AS n_items,
-       sha256(coalesce(list, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
-FROM split s LEFT JOIN hit USING (row) LEFT JOIN items USING (row) WHERE is_doc
+       sha256(coalesce(list, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated,
+       coalesce(longest.n, 0)::BIGINT AS longest, longest.item AS longest_item, longest.place::BIGINT AS longest_at
+FROM split s LEFT JOIN hit USING (row) LEFT JOIN items USING (row) LEFT JOIN longest USING (row) WHERE is_doc
 """

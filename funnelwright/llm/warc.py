@@ -39,6 +39,7 @@ from .files import opened, shared_folder
 
 FRAME_BYTES = 256 << 10
 BUNDLE_BYTES = 64 << 20
+STRETCH = 32  # frames in a row that one task reads at least
 DATE = "1970-01-01T00:00:00Z"  # the pages carry no capture time
 
 # Fixed values of the seekable format and of WARC.
@@ -247,8 +248,13 @@ def _row(fields: dict[str, str], payload: bytes) -> tuple:
 
 
 def read_bundles(index: DataFrame) -> DataFrame:
-    """All records of the bundles that the index names, one task per share of the frames."""
-    frames = index.select("bundle", "frame").distinct().repartition("bundle").sortWithinPartitions("bundle", "frame")
+    """All records of the bundles that the index names, the frames dealt to tasks in stretches of ``STRETCH``."""
+    frames = index.select("bundle", "frame").distinct()
+    # a number given by the frames themselves: the index is so small that its bytes would ask for one task
+    held, wide = frames.count(), 4 * frames.sparkSession.sparkContext.defaultParallelism
+    tasks = max(min(held // STRETCH, wide), held // (16 * STRETCH)) + 1
+    stretch = F.floor(F.col("frame") / STRETCH)
+    frames = frames.repartition(tasks, "bundle", stretch).sortWithinPartitions("bundle", "frame")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

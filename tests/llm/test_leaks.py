@@ -31,6 +31,21 @@ def brute(texts, items, window):
     return out
 
 
+def brute_longest(text, items, window):
+    """(words, item, first word) of the longest match that holds a window, by trying every pair of places."""
+    w, best = words_of(text), (0, None, None, None)
+    for i, t in items:
+        v = words_of(t)
+        for p in range(len(w)):
+            for q in range(len(v)):
+                n = 0
+                while p + n < len(w) and q + n < len(v) and w[p + n] == v[q + n]:
+                    n += 1
+                if v and n >= min(window, len(v)):
+                    best = min(best, (-n, p, i is None, str(i)), key=lambda m: (m[0], m[1] or 0, m[2] or False, m[3] or ""))
+    return (0, None, None) if best[1] is None else (-best[0], None if best[2] else best[3], best[1])
+
+
 def frame(spark, items):
     return spark.createDataFrame(items, "item_id long, text string")
 
@@ -63,6 +78,8 @@ def test_random_shards_against_brute_force(rng, monkeypatch):
         monkeypatch.setattr(leaks, "_benchmark", lambda a, w, block=block: block)
         made = leaks._document_hits(pa.array(texts, pa.string()), ["x"], window)
         assert list(zip(made["n_words"], made["n_hit"], made["items"], strict=True)) == brute(texts, items, window)
+        longest = list(zip(made["longest"], made["longest_item"], made["longest_at"], strict=True))
+        assert longest == [brute_longest(t, items, window) for t in texts]
 
 
 def test_longest_matches(spark, documents, prose):
@@ -73,6 +90,23 @@ def test_longest_matches(spark, documents, prose):
     assert (rows[3]["n_words"], rows[3]["doc_id"], rows[3]["doc_at"]) == (len(words_of(part)), 1, 1)
 
 
+def test_longest_matches_of_text_ids(spark, prose):
+    item = prose(25)
+    docs = spark.createDataFrame([("b", "zz " + item), ("a", item), (None, "zz")], "doc_id string, text string")
+    found = leaks.longest_matches(docs, spark.createDataFrame([("i", item)], "item_id string, text string")).collect()
+    assert len(found) == len(words_of(item)) and {r["doc_id"] for r in found} == {"a"}
+    assert all(r["n_words"] == len(found) - r["item_at"] for r in found)
+
+
+def test_the_longest_match_of_items_that_share_a_passage(spark, documents, prose):
+    shared, tail = prose(12), prose(30)
+    items = [(1, shared + " q1"), (2, shared + " " + tail), (3, "q3 " + shared), (4, shared + " " + tail)]
+    text = "aa " + shared + " bb " + shared + " " + " ".join(words_of(tail)[:7]) + " cc"
+    row = leaks.leak_report(documents([(1, text)]), frame(spark, items)).first()
+    expected = brute_longest(text, items, leaks.WINDOW)
+    assert (row["longest"], row["longest_item"], row["longest_at"]) == expected and expected[1] == "2"
+
+
 def test_blocks_do_not_change_results(spark, documents, prose, monkeypatch):
     items = [(i, prose(20)) for i in range(30)]
     docs = documents([(i, prose(5) + " " + items[i][1]) for i in range(30)])
