@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from ..session import prepare
 from . import chat, language, leaks, nearest, negatives, packing, pieces, pii, ppm, secrets, simhash, warc, whitening
 
-# The vocabulary files of the packing and the encoding query, by name or by path.
+# The vocabulary files of the packing and of the encoding query, by name or by path.
 TOKENIZER = "word_bpe_49k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
+# The vocabulary whose words prime the secret scan.
+CODE_VOCABULARY = "byte_bpe_50k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,7 +58,7 @@ def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return secrets.secret_report(_table(spark, folder, "documents"))
+    return secrets.secret_report(_table(spark, folder, "documents"), tokenizer_path(CODE_VOCABULARY))
 
 
 def op8_pii(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,13 +2,25 @@ import hashlib
 import re
 import string
 
+import pytest
+
 from funnelwright.llm import secrets
+from funnelwright.llm.registered import CODE_VOCABULARY, tokenizer_path
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A
 )
 
 
+@pytest.fixture(scope="module")
+def primed():
+    return secrets.Novelty(secrets.vocabulary_words(tokenizer_path(CODE_VOCABULARY)))
+
+
+def novel(text, novelty):
+    return [text[s:e] for k, s, e in secrets.all_spans(text, novelty) if k == "novel"]
+
+
 def base(text):
     found = [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     found += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
@@ -120,3 +132,72 @@ def test_overlapping_spans_are_masked_once():
 
 def test_empty_table(documents):
     assert secrets.secret_report(documents([])).count() == 0
+
+
+ALPHABETS = [
+    string.ascii_letters + string.digits,
+    string.ascii_letters + string.digits + "+/",
+    string.ascii_lowercase + string.digits,
+    "0123456789abcdef",
+    string.ascii_letters,
+    string.ascii_letters + string.digits + "!$%&*#@",
+]
+CONTEXTS = [
+    '"private_key": "{}"', "privateKey = {}", "aws_access_key_id = {}", "pwd={}", "password is {} for the host",
+    "the token is {}.", "AccountKey={};EndpointSuffix", "mongodb://admin:{}@db.internal:27017/app", "passphrase: {}",
+]
+
+
+def test_planted_secrets_are_found(primed, rng):
+    found = total = 0
+    for _ in range(100):
+        for context in CONTEXTS:
+            letters = rng.choice([a for a in ALPHABETS if "://" not in context or not set(a) & set("/@")])  # else it ends the URL
+            secret = "".join(rng.choices(letters, k=rng.choice([20, 24, 32, 40, 64])))
+            text = "some words of code before it\n" + context.format(secret) + "\nreturn the client of it"
+            # without its last characters, which may be punctuation of the sentence
+            covered = secrets.redact(text, secrets.all_spans(text, primed))
+            found += secret.rstrip(".,;:)") not in covered
+            total += 1
+    assert found / total >= 0.95, found / total
+
+
+def test_authorization_headers_are_found(primed, rng):
+    for _ in range(20):
+        secret = "".join(rng.choices(string.ascii_letters + string.digits, k=40)) + "9="
+        assert any(secret in span for span in novel(f"Authorization: Basic {secret}", primed))
+
+
+def test_ordinary_identifiers_are_not_reported(primed):
+    """Identifiers and paths of the standard library, which the dictionary has not been made from."""
+    import keyword
+    import os
+
+    folder = os.path.dirname(keyword.__file__)
+    names = set()
+    for file in sorted(f for f in os.listdir(folder) if f.endswith(".py")):
+        with open(os.path.join(folder, file), encoding="utf-8", errors="replace") as lines:
+            names.update(secrets.CANDIDATE.findall(lines.read()))
+    # alphabets written out and constants in digits are no words
+    names = sorted(n for n in names if re.search("[0-9]", n) and re.search("[A-Za-z]{3}", n) and "0123" not in n and "abcd" not in n.lower())
+    names = [n for n in names if 5 * len(re.findall("[0-9]", n)) <= 2 * len(n)]  # not mostly numbers
+    random = {"Drmhze6EPcv0fN_81Bj-nA", "/tmp/tmppbi8f0hy"}  # what the library's own comments give as random names
+    names = [n for n in names if n not in random]
+    names += """getUserProfileById2 HttpServletRequest2Wrapper org/apache/spark/sql/v2/catalog utf8mb4_unicode_520_ci
+    x86_64-unknown-linux-gnu sha256WithRSAEncryption SECTION_14_TABLE_OF_CONTENTS chapter-12-the-return-of-the-king
+    /usr/local/lib/python3/dist-packages/numpy/core compute_average_price_per_customer_v2_final""".split()
+    wrong = [n for n in names if novel(f"the session token of {n} is", primed)]
+    assert len(names) >= 150 and len(wrong) <= 0.02 * len(names), (len(names), wrong)
+
+
+def test_words_are_learnt_from_the_corpus(spark, documents):
+    parts = ["kwibblo", "zandroth", "mequistal"]
+    names = [f"{a}_{b}_{i}x_{a}" for i in range(4) for a in parts for b in parts]
+    secret = "qjxwvzkpfyhgmbndRlctsw7"
+    docs = documents([(i, f"use {n} here") for i, n in enumerate(names)] + [(100 + i, f"{secret}_9 again") for i in range(50)])
+    learnt = secrets.learnt_words(docs)
+    assert set(parts) <= set(learnt) and not any(p in learnt for p in re.findall("[a-z]{3,15}", secret.lower()))
+    assert secrets.learnt_words(documents([])) == [] == secrets.learnt_words(documents([(1, None), (2, "")]))
+    name = "mequistalKwibblo2Zandroth"
+    assert secrets.Novelty(learnt).of("the token of ", name, " is") < 0.7 * secrets.Novelty().of("the token of ", name, " is")
+    assert novel(f"the token of {name} is", secrets.Novelty(learnt)) == []
