@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from funnelwright.llm import language, leaks, packing, secrets, simhash
-from funnelwright.llm.registered import tokenizer_path
+from funnelwright.llm.registered import CODE_VOCABULARY, tokenizer_path
 from funnelwright.session import prepare, staged
 
 
@@ -34,7 +34,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, the secrets in them masked and n_chars kept true."""
     prepare(spark)
-    return secrets.redact_secrets(docs)
+    return secrets.redact_secrets(docs, vocabulary=tokenizer_path(CODE_VOCABULARY))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
