@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..functions.keys import as_column
 from ..operators.reshape import rename_columns, union_all
@@ -56,23 +57,63 @@ def read_landed(spark: SparkSession, path: str, schema: T.StructType | None = No
 def read_report(spark: SparkSession, paths: Sequence[str], multi_line: bool = True) -> DataFrame:
     """CSV reports with their own headers, as text under the union of normalised names.
 
-    Each path is a file, folder or glob. Files are grouped by their header line, so unlike
-    headers under one path are united by name; a file whose header still differs from its
-    group's fails the read. Quoted line breaks need ``multi_line``, which reads a file in one
-    task; without it large files are split.
+    Each path is a file, folder or glob. Files are grouped by their header line, which one job finds for all of
+    them, so unlike headers under one path are united by name. Line breaks inside quotes need ``multi_line``;
+    large files are split either way.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
-    reader = reader.option("enforceSchema", False)
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        for file in sorted(spark.read.text(path).inputFiles()):
-            groups.setdefault(tuple(_header(spark, file)), []).append(file)
-    return blank_missing(union_all([rename_columns(reader.csv(files), "report") for files in groups.values()]))
-
-
-def _header(spark: SparkSession, file: str) -> list[str]:
-    """Column names of one file; only its first line is read."""
-    return spark.read.option("header", True).option("escape", '"').csv(file).columns
+    lines = _report_lines(spark, paths)
+    heads = lines.where("block = 0").groupBy("file").agg(F.rtrim(F.min_by("value", "n"), F.lit("\r")).alias("header"))
+    groups = heads.groupBy("header").agg(F.collect_list("file").alias("files")).orderBy("header").collect()
+    options = {"header": True, "escape": '"'}
+    tables = []
+    for header, files in groups:
+        # names as the CSV reader makes them: repeated and empty ones are told apart
+        names = spark.read.options(**options).csv(spark.sparkContext.parallelize([header], 1)).columns
+        if multi_line:
+            own = _report_records(lines.where(F.col("file").isin(files))).where((F.col("number") > 1) & (F.trim("record") != ""))
+            schema = ", ".join(f"c{i} string" for i in range(len(names)))
+            rows = own.select(F.from_csv("record", F.lit(schema), {"escape": '"', "maxCharsPerColumn": "-1"}).alias("r"))
+            rows = rows.select("r.*").toDF(*names)
+        else:
+            rows = spark.read.options(**options, enforceSchema=False).csv(sorted(files))
+        tables.append(rename_columns(rows, "report"))
+    return blank_missing(union_all(tables))
+
+
+def _report_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Lines of all files with their file, the block of it that a task reads, and a number that orders them in the block."""
+    return spark.read.option("lineSep", "\n").text(list(paths)).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("n"),
+    )
+
+
+def _report_records(lines: DataFrame) -> DataFrame:
+    """CSV records (``file, number, record``) from lines, some of which end inside quotes.
+
+    A line begins a record if the quotes before it in the file are even in number. Each block counts its own quotes and,
+    for either parity it may begin with, its records; sums over a file's blocks, a few rows, then give every
+    block its parity and its first record's number. A record may span blocks.
+    """
+    in_block = Window.partitionBy("file", "block").orderBy("n")
+    earlier = in_block.rowsBetween(Window.unboundedPreceding, -1)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    counted = lines.withColumn("quotes", quotes)
+    counted = counted.withColumn("odd", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
+    blocks = counted.groupBy("file", "block").agg(
+        (F.sum("quotes") % 2).alias("all_odd"), F.sum(1 - F.col("odd")).alias("if_even"), F.sum("odd").alias("if_odd")
+    )
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("begins_odd", F.coalesce(F.sum("all_odd").over(before), F.lit(0)) % 2)
+    own = F.when(F.col("begins_odd") == 0, F.col("if_even")).otherwise(F.col("if_odd"))
+    blocks = blocks.withColumn("records_before", F.coalesce(F.sum(own).over(before), F.lit(0)))
+    placed = counted.join(blocks.select("file", "block", "begins_odd", "records_before"), ["file", "block"])
+    starts = 1 - (F.col("odd") + F.col("begins_odd")) % 2
+    numbered = placed.withColumn("number", F.col("records_before") + F.sum(starts).over(in_block))
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("block", "n", "value"))), lambda line: line["value"])
+    return numbered.groupBy("file", "number").agg(F.rtrim(F.array_join(parts, "\n"), F.lit("\r")).alias("record"))
 
 
 def blank_missing(df: DataFrame, tokens: Sequence[str] = MISSING_TEXTS) -> DataFrame:

@@ -1,7 +1,9 @@
 """Landed feeds: edge rows of pages, reports, ads, contacts and file formats."""
 
+import csv
 import json
 import os
+import random
 from datetime import date, datetime
 
 import pytest
@@ -230,3 +232,33 @@ def test_reports_of_one_folder_are_united_by_name(spark, tmp_path, multi_line):
         (tmp_path / f"{n}.csv").write_text(text, encoding="utf8")
     got = {tuple(r[c] for c in "abc") for r in read_report(spark, [str(tmp_path)], multi_line).collect()}
     assert got == {("1", "2", "3"), ("4", "5", "6"), ("7", None, "8"), ("9", "10", "11")}
+
+
+@pytest.mark.parametrize("block", [40, 300, 10**8])
+def test_quoted_line_breaks_are_read_in_blocks(spark, tmp_path, block):
+    rng = random.Random(block)
+    words = ["plain", "", "a,b", 'q "x" q', "two\nlines", "\n\n", '"', "é", "end\n", '"\n"', "NA"]
+    for name in ("one", "two", "empty"):
+        with open(tmp_path / f"{name}.csv", "w", encoding="utf8", newline="") as file:
+            writer = csv.writer(file, lineterminator="\r\n" if name == "two" else "\n")
+            writer.writerow(["Id", "First Text", "Other"] if name == "one" else ["Other", "Id"])
+            for i in range(0 if name == "empty" else 200):
+                cells = [rng.choice(words) for _ in range(2)]
+                writer.writerow([f"{name}{i}", *cells] if name == "one" else [cells[0], f"{name}{i}"])
+    expected = set()
+    for name in ("one", "two"):
+        with open(tmp_path / f"{name}.csv", encoding="utf8", newline="") as file:
+            for row in csv.DictReader(file):
+                cells = [row["Id"], row.get("First Text"), row["Other"]]
+                expected.add(tuple(None if c in ("", "NA") else c for c in cells))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    try:
+        report = read_report(spark, [str(tmp_path)])
+        names = [next(c for c in report.columns if c.lower().startswith(n)) for n in ("id", "first", "other")]
+        assert {tuple(r) for r in report.select(*names).collect()} == expected
+        assert report.count() == 400
+        if block == 40:
+            assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 20
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
