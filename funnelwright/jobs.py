@@ -16,9 +16,17 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from . import schemas
 from .functions.times import DayRange, lookback, named_range
 from .plans.ads import SEARCH_UPDATES, search_ads_hourly, social_ads_hourly
-from .plans.billing import billing_audit, billing_events, billing_objects
+from .plans.billing import (
+    audit_of_heads,
+    billing_audit,
+    billing_events,
+    billing_heads,
+    billing_objects,
+    objects_of_heads,
+    rejected_objects,
+)
 from .plans.contacts import contacts
-from .plans.conversion import ChannelRules, campaign_conversion
+from .plans.conversion import ChannelRules, campaign_conversion, late_days
 from .plans.funnel import Site, session_funnel
 from .plans.precheckout import precheckout_rows
 from .plans.reports import payment_report
@@ -95,8 +103,9 @@ def refresh_conversion(
     days_to: int = 1,
     rules: ChannelRules = ChannelRules(),
 ) -> None:
-    """Replace the mart from the first day of the lookback on."""
+    """Replace the mart from the first day of the lookback on, and every earlier day of which ads came in since."""
     days = lookback(as_of, days_from, days_to)
+    late = late_days(social_insights, days)
     rows = campaign_conversion(
         tables.read_table(spark, root, schemas.HISTORICAL_FUNNEL),
         tables.read_table(spark, root, schemas.PRECHECKOUT),
@@ -106,8 +115,10 @@ def refresh_conversion(
         social_insights,
         days,
         rules,
+        late,
     )
-    tables.replace_range(spark, root, schemas.CAMPAIGN_CONVERSION, rows, days.first_key)
+    keys = [day.strftime("%Y%m%d") for day in late]
+    tables.replace_range(spark, root, schemas.CAMPAIGN_CONVERSION, rows, days.first_key, keys)
 
 
 def load_billing(
@@ -125,16 +136,20 @@ def load_billing(
     """Upsert the landed objects of one billing entity, all days in one go; returns the audit,
     one row per creation day: fetched, without key, duplicates, rejected, loaded.
 
-    With ``later`` the objects are stored as change files, which ``compact_billing`` folds in: for objects that
+    The pages are read and parsed once. Objects that cannot be stored, and with ``on_broken="skip"`` pages that do not
+    parse, go to ``rejected_objects`` with the reason. With ``later`` the objects are stored as change files, which ``compact_billing`` folds in: for objects that
     change all over the past.
     """
     if entity not in schemas.BILLING_ENTITIES:
         raise ValueError(f"unknown billing entity {entity!r}; known: {schemas.BILLING_ENTITIES}")
     days = lookback(as_of, days_from, days_to)
-    objects = read_pages(spark, pages, on_broken=on_broken)
-    change = tables.upsert_later if later else tables.upsert
-    change(spark, root, schemas.billing_object(entity), billing_objects(objects, load_time, days))
-    return billing_audit(objects, days).orderBy("created_at").collect()
+    objects = read_pages(spark, pages, on_broken="keep" if on_broken == "skip" else on_broken)
+    with tables.staging(billing_heads(objects, days), "billing") as heads:
+        change = tables.upsert_later if later else tables.upsert
+        change(spark, root, schemas.billing_object(entity), objects_of_heads(heads.where(days.holds_epoch("created")), load_time))
+        rejected = rejected_objects(heads, entity, load_time)
+        tables.append_new(spark, root, schemas.REJECTED_OBJECTS, rejected, dedup_batch=True)
+        return audit_of_heads(heads.where(days.holds_epoch("created"))).orderBy("created_at").collect()
 
 
 def compact_billing(spark: SparkSession, root: str, entity: str, buckets: Sequence[int] | None = None) -> None:

@@ -128,11 +128,13 @@ def upsert_partial(
     return rows.select(*(value(c) for c in target.columns))
 
 
-def replace_range(target: DataFrame, source: DataFrame, column: str, lower, upper=None) -> DataFrame:
-    """Target without ``column >= lower`` (and ``<= upper`` if given), plus the source."""
+def replace_range(target: DataFrame, source: DataFrame, column: str, lower, upper=None, also: Sequence = ()) -> DataFrame:
+    """Target without ``column >= lower`` (and ``<= upper`` if given) and without the values ``also``, plus the source."""
     outside = F.col(column) < F.lit(lower)
     if upper is not None:
         outside = outside | (F.col(column) > F.lit(upper))
+    if also:
+        outside = outside & ~F.col(column).isin(*also)
     keep = target.where(F.coalesce(outside, F.lit(True)))
     return keep.unionByName(source.select(*target.columns))
 

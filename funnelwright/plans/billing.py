@@ -12,6 +12,7 @@ from ..functions.rules import present
 from ..functions.times import DayRange, epoch_day
 from ..operators.dedupe import first_seen, load_audit
 from ..schemas import BILLING_EVENTS, billing_object
+from ..sources.readers import BROKEN
 from ..sources.slices import EVENT_TYPES, created_within, of_types
 
 
@@ -38,10 +39,22 @@ def _landing_order(objects: DataFrame) -> list[Column]:
     return [*newest, F.asc("page"), F.asc("pos")]
 
 
+def billing_heads(objects: DataFrame, days: DayRange | None = None) -> DataFrame:
+    """Landed objects with id and creation time, parsed once for the plans below: those created on the
+    days, and those without a creation time."""
+    heads = _heads(objects, None)
+    return heads if days is None else heads.where(days.holds_epoch("created") | F.col("created").isNull())
+
+
 def billing_objects(objects: DataFrame, load_time: datetime, days: DayRange | None = None) -> DataFrame:
     """One envelope per id: the first copy of the newest landed file, with its creation day and full JSON."""
+    return objects_of_heads(_heads(objects, days), load_time)
+
+
+def objects_of_heads(heads: DataFrame, load_time: datetime) -> DataFrame:
+    """As ``billing_objects``, from parsed heads."""
     return (
-        first_seen(_heads(objects, days), ["id"], _landing_order(objects))
+        first_seen(heads, ["id"], _landing_order(heads))
         .where(F.col("created").isNotNull())
         .select(
             "id",
@@ -53,6 +66,24 @@ def billing_objects(objects: DataFrame, load_time: datetime, days: DayRange | No
     )
 
 
+def rejected_objects(heads: DataFrame, entity: str, load_time: datetime) -> DataFrame:
+    """The landed texts that cannot become a row of the entity's table, each once, with the reason."""
+    reason = F.when(F.col("pos") == BROKEN, "page does not parse").when(F.col("id").isNull(), "no id")
+    reason = reason.when(F.col("created").isNull(), "no creation time")
+    return (
+        heads.select("raw", reason.alias("reason"))
+        .where(F.col("reason").isNotNull())
+        .distinct()
+        .select(
+            F.lit(entity).alias("entity"),
+            F.sha2("raw", 256).alias("digest"),
+            "reason",
+            F.col("raw").alias("data"),
+            F.lit(load_time).cast("timestamp").alias("etl_load_date"),
+        )
+    )
+
+
 def billing_events(
     objects: DataFrame,
     load_time: datetime,
@@ -80,5 +111,10 @@ def billing_events(
 
 def billing_audit(objects: DataFrame, days: DayRange | None = None) -> DataFrame:
     """Fetched, keyless, duplicate, rejected and loaded objects per creation day."""
-    heads = _heads(objects, days).withColumn("created_at", epoch_day("created"))
-    return load_audit(heads, ["created_at"], "id", [F.col("created").isNotNull()])
+    return audit_of_heads(_heads(objects, days))
+
+
+def audit_of_heads(heads: DataFrame) -> DataFrame:
+    """As ``billing_audit``, from parsed heads; pages that do not parse are no objects."""
+    known = heads.where(F.col("pos") != BROKEN).withColumn("created_at", epoch_day("created"))
+    return load_audit(known, ["created_at"], "id", [F.col("created").isNotNull()])

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +42,15 @@ class ChannelRules:
         return F.coalesce(F.col(discount).isin(*self.reward_discounts), F.lit(False))
 
 
-def sessions_by_channel(funnel: DataFrame, dim: DataFrame, days: DayRange, rules: ChannelRules) -> DataFrame:
+def replaced_key(key: str, days: DayRange, late: Sequence[date]) -> Column:
+    """Whether a day key is on or after the range's first day, or one of the late days."""
+    since = F.col(key) >= days.first_key
+    return since | F.col(key).isin(*(day.strftime("%Y%m%d") for day in late)) if late else since
+
+
+def sessions_by_channel(
+    funnel: DataFrame, dim: DataFrame, days: DayRange, rules: ChannelRules, late: Sequence[date] = ()
+) -> DataFrame:
     override = classify(
         [
             (present("referral_code"), AFFILIATES),
@@ -49,21 +59,25 @@ def sessions_by_channel(funnel: DataFrame, dim: DataFrame, days: DayRange, rules
             (present("discount"), SELLERS),
         ]
     )
-    fact = funnel.where(F.col("id_date") >= days.first_key).withColumn("override", override)
+    fact = funnel.where(replaced_key("id_date", days, late)).withColumn("override", override)
     return measures_by_channel(
         fact, dim, ["id_date"], "utm_hash", "session_hash", [AFFILIATES, REWARDS, SELLERS], rules.paid, "sessions"
     )
 
 
-def precheckouts_by_channel(forms: DataFrame, dim: DataFrame, days: DayRange, rules: ChannelRules) -> DataFrame:
+def precheckouts_by_channel(
+    forms: DataFrame, dim: DataFrame, days: DayRange, rules: ChannelRules, late: Sequence[date] = ()
+) -> DataFrame:
     override = classify([(present("referral_code"), AFFILIATES), (present("promo"), REWARDS)])
-    fact = forms.where(F.col("id_date") >= days.first_key).withColumn("override", override)
+    fact = forms.where(replaced_key("id_date", days, late)).withColumn("override", override)
     return measures_by_channel(
         fact, dim, ["id_date"], "utm_hash", "email", [AFFILIATES, REWARDS], rules.paid, "pre_checkouts"
     )
 
 
-def transactions_by_channel(transactions: DataFrame, dim: DataFrame, days: DayRange, rules: ChannelRules) -> DataFrame:
+def transactions_by_channel(
+    transactions: DataFrame, dim: DataFrame, days: DayRange, rules: ChannelRules, late: Sequence[date] = ()
+) -> DataFrame:
     override = classify(
         [
             (F.col("seller_email").isNotNull(), SELLERS),
@@ -71,7 +85,7 @@ def transactions_by_channel(transactions: DataFrame, dim: DataFrame, days: DayRa
             (rules.is_reward("discount"), REWARDS),
         ]
     )
-    fact = transactions.where(F.col("id_date") >= days.first_key).withColumn("override", override)
+    fact = transactions.where(replaced_key("id_date", days, late)).withColumn("override", override)
     return measures_by_channel(
         fact,
         dim,
@@ -86,10 +100,15 @@ def transactions_by_channel(transactions: DataFrame, dim: DataFrame, days: DayRa
     )
 
 
-def search_cost(stats: DataFrame, days: DayRange) -> DataFrame:
+def _replaced(day: str, days: DayRange, late: Sequence[date]) -> Column:
+    since = F.col(day) >= F.lit(days.first)
+    return since | F.col(day).isin(*late) if late else since
+
+
+def search_cost(stats: DataFrame, days: DayRange, late: Sequence[date] = ()) -> DataFrame:
     """Search ads by day and campaign, cost in units."""
     return (
-        stats.where(F.col("segments_date") >= F.lit(days.first))
+        stats.where(_replaced("segments_date", days, late))
         .groupBy("segments_date", "campaign_id")
         .agg(
             (F.sum("metrics_cost_micros") / F.lit(1_000_000)).alias("cost"),
@@ -110,15 +129,30 @@ def search_cost(stats: DataFrame, days: DayRange) -> DataFrame:
 SOCIAL_KEYS = ["datestart", "CampaignId", "CampaignName", "AdSetId", "AdSetName", "AdId", "AdName"]
 
 
-def social_cost(insights: DataFrame, days: DayRange) -> DataFrame:
-    """Social ads by day and ad, with the two texts campaigns are recognised by."""
-    used = (F.col("Spend") > 0) | (F.col("LinkClicks") > 0)
-    # an ad loaded late for a day before the range belongs to stored rows that are not replaced
-    in_range = F.col("datestart") >= F.lit(days.first)
+def _used() -> Column:
+    return (F.col("Spend") > 0) | (F.col("LinkClicks") > 0)
+
+
+def late_days(insights: DataFrame, days: DayRange) -> list[date]:
+    """Days before the range of which ads have been loaded since its first day."""
+    late = loaded_since(insights, "_load_date", days).where(_used() & (F.col("datestart") < F.lit(days.first)))
+    return sorted(row["day"] for row in late.select(F.to_date("datestart").alias("day")).distinct().collect())
+
+
+def social_cost(insights: DataFrame, days: DayRange, late: Sequence[date] = ()) -> DataFrame:
+    """Social ads by day and ad, with the two texts campaigns are recognised by.
+
+    An ad loaded late for a day before the range belongs to stored rows that are not replaced, unless the
+    day is one of the ``late`` ones; of these all ads count, whenever they were loaded.
+    """
+    loads = DayRange(min([days.first, *late]), days.last)  # an ad is loaded on its day or later
+    in_range = (F.col("datestart") >= F.lit(days.first)) & (F.col("_load_date") >= F.lit(days.first))
+    if late:
+        in_range = in_range | F.col("datestart").isin(*late)
     ids = {c: F.col(c).cast("string") for c in ("CampaignId", "AdSetId", "AdId")}
     return (
-        loaded_since(insights, "_load_date", days)
-        .where(used & in_range)
+        loaded_since(insights, "_load_date", loads)
+        .where(_used() & in_range)
         .withColumns(ids)
         .groupBy(*SOCIAL_KEYS)
         .agg(
@@ -208,17 +242,18 @@ def campaign_conversion(
     social_insights: DataFrame,
     days: DayRange,
     rules: ChannelRules = ChannelRules(),
+    late: Sequence[date] = (),
 ) -> DataFrame:
-    """The mart rows from ``days.first`` on; the range has no upper end."""
+    """The mart rows from ``days.first`` on, and of the late days; the range has no upper end."""
     conversions = conversions_by_campaign(
-        sessions_by_channel(funnel, dim, days, rules),
-        transactions_by_channel(transactions, dim, days, rules),
-        precheckouts_by_channel(precheckouts, dim, days, rules),
+        sessions_by_channel(funnel, dim, days, rules, late),
+        transactions_by_channel(transactions, dim, days, rules, late),
+        precheckouts_by_channel(precheckouts, dim, days, rules, late),
         dim,
     )
-    social = social_cost(social_insights, days)
+    social = social_cost(social_insights, days, late)
     recognised = with_social_cost(conversions, social)
-    rows = with_search_cost(recognised, search_cost(search_stats, days))
+    rows = with_search_cost(recognised, search_cost(search_stats, days, late))
 
     def ad_sum(measure: str) -> Column:
         return F.coalesce(F.sum(f"s_{measure}"), F.sum(f"g_{measure}"), F.lit(0))

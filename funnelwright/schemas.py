@@ -114,6 +114,15 @@ BILLING_EVENTS = TableSpec(
     cluster=("id",),
 )
 
+REJECTED_OBJECTS = TableSpec(
+    "rejected_objects",
+    _schema("entity string not null, digest string not null, reason string, data string, etl_load_date timestamp"),
+    keys=("entity", "digest"),
+    partition="entity",
+    cluster=("digest",),
+    partition_from_key=True,
+)
+
 PAYMENT_REPORT = TableSpec(
     "payment_report",
     _schema("charge_id string, created_at timestamp, data string, etl_load_date timestamp"),

@@ -225,15 +225,18 @@ def update_changed(spark: SparkSession, root: str, spec: TableSpec, rows: DataFr
     _replace_folder(spark, table_path(root, spec), spec, changed)
 
 
-def replace_range(spark: SparkSession, root: str, spec: TableSpec, rows: DataFrame, lower) -> None:
-    """Replace everything from ``lower`` on in the partition column by the rows."""
+def replace_range(spark: SparkSession, root: str, spec: TableSpec, rows: DataFrame, lower, also: Sequence = ()) -> None:
+    """Replace everything from ``lower`` on in the partition column, and the partitions ``also``, by the rows."""
     compact(spark, root, spec)
     target = _stored(spark, root, spec)
     with staging(_incoming(rows, spec), spec.name) as source:
-        touched = _values(target.where(F.col(spec.partition) >= F.lit(lower)), spec.partition)
+        replaced = F.col(spec.partition) >= F.lit(lower)
+        if also:
+            replaced = replaced | F.col(spec.partition).isin(*also)
+        touched = _values(target.where(replaced), spec.partition)
         touched |= _values(source, spec.partition)
         current = target.where(_in_values(spec.partition, touched))
-        _swap(spark, root, spec, merge.replace_range(current, source, spec.partition, lower), touched)
+        _swap(spark, root, spec, merge.replace_range(current, source, spec.partition, lower, also=also), touched)
 
 
 def upsert(

@@ -131,7 +131,9 @@ def blank_missing(df: DataFrame, tokens: Sequence[str] = MISSING_TEXTS) -> DataF
 PAGE_SCHEMA = "page long, data array<string>, _broken string"
 
 # What to do with a page that is no JSON document with a ``data`` array.
-ON_BROKEN = ["error", "skip"]
+ON_BROKEN = ["error", "skip", "keep"]
+# The place of a page that is kept though it does not parse.
+BROKEN = -1
 
 
 def landed_text(reader) -> DataFrame:
@@ -156,8 +158,8 @@ def _parsed_pages(pages: DataFrame, text: str | Column, *keep: str) -> DataFrame
 def page_objects(pages: DataFrame, text: str | Column, *keep: str, on_broken: str = "error") -> DataFrame:
     """One row per object of each page's ``data`` array, with its JSON text as ``raw``.
 
-    A page that does not parse, or has no ``data``, fails the job or is skipped; ``broken_pages``
-    lists it. Blank lines are no pages.
+    A page that does not parse, or has no ``data``, fails the job, is skipped, or is kept as one row, its text at
+    the place ``BROKEN``; ``broken_pages`` lists such pages. Blank lines are no pages.
     """
     if on_broken not in ON_BROKEN:
         raise ValueError(f"unknown on_broken {on_broken!r}; known: {ON_BROKEN}")
@@ -166,8 +168,13 @@ def page_objects(pages: DataFrame, text: str | Column, *keep: str, on_broken: st
     if on_broken == "error":
         failed = F.raise_error(F.concat(F.lit("landed page does not parse: "), F.left("_text", F.lit(200))))
         data = F.when(F.col("_bad"), failed.cast("array<string>")).otherwise(data)
-    else:
+    elif on_broken == "skip":
         parsed = parsed.where(~F.col("_bad"))
+    else:
+        data = F.when(F.col("_bad"), F.array("_text")).otherwise(data)
+        place = F.when(F.col("_bad"), F.lit(BROKEN)).otherwise(F.col("pos")).alias("pos")
+        listed = parsed.select(*keep, "_bad", F.col("_p.page").alias("page"), F.posexplode(data).alias("pos", "raw"))
+        return listed.select(*keep, "page", place, "raw")
     return parsed.select(*keep, F.col("_p.page").alias("page"), F.posexplode(data).alias("pos", "raw"))
 
 

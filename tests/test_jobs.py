@@ -1,15 +1,17 @@
 """The scheduled runs end to end, each repeated to show that nothing changes."""
 
 import json
+import os
 from datetime import date, datetime
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from funnelwright import jobs, schemas
 from funnelwright.plans.ads import social_pages
 from funnelwright.plans.contacts import contact_pages
-from funnelwright.plans.conversion import campaign_conversion
+from funnelwright.plans.conversion import campaign_conversion, late_days
 from funnelwright.queries import inputs, marts
 from funnelwright.queries.registry import Tables
 from funnelwright.sinks import tables
@@ -48,7 +50,8 @@ def test_marts(spark, t, tmp_path, rows):
     assert all(first)
     mart = content(spark, root, schemas.CAMPAIGN_CONVERSION)
     expected = campaign_conversion(
-        marts.funnel(t), marts.forms(t), transactions, marts.dimension(t), search, social, inputs.EVENT_DAYS, inputs.RULES
+        marts.funnel(t), marts.forms(t), transactions, marts.dimension(t), search, social, inputs.EVENT_DAYS, inputs.RULES,
+        late_days(social, inputs.EVENT_DAYS),
     )
     assert [r[:5] for r in mart] == [tuple(r)[:5] for r in rows(expected)]
 
@@ -72,10 +75,17 @@ def test_late_loaded_ads_are_counted_once(spark, t, tmp_path):
         "AdId string, AdName string, Impressions long, LinkClicks long, Spend double",
     )
     transactions, search = marts.transactions(t).limit(0), inputs.search_stats(t).limit(0)
+    day3 = spark.createDataFrame([(date(2024, 1, 3), date(2024, 1, 3), *ad), (date(2024, 1, 3), date(2024, 1, 2), *ad[:2], "other", *ad[3:])], social.schema)
+    jobs.refresh_conversion(spark, root, transactions, search, day3, date(2024, 1, 4), rules=inputs.RULES)
+    written = [f"{root}/campaign_conversion/id_date=2024010{d}" for d in (2, 3)]
+    untouched = os.stat(written[1]).st_mtime_ns
+    social = social.unionByName(day3)
     for _ in range(3):
         jobs.refresh_conversion(spark, root, transactions, search, social, date(2024, 1, 10), rules=inputs.RULES)
-    stored = tables.read_table(spark, root, schemas.CAMPAIGN_CONVERSION).collect()
-    assert [(r.id_date, r.cost) for r in stored] == [("20240108", 5.0)]
+        stored = tables.read_table(spark, root, schemas.CAMPAIGN_CONVERSION).collect()
+        # the ad that came late is added to its day, beside the one that was there
+        assert sorted((r.id_date, r.cost) for r in stored) == [("20240102", 10.0), ("20240103", 5.0), ("20240108", 5.0)]
+        assert os.stat(written[1]).st_mtime_ns == untouched
 
 
 def test_billing(spark, tmp_path):
@@ -94,6 +104,41 @@ def test_billing(spark, tmp_path):
         jobs.load_billing(spark, root, pages, "refunds", AS_OF, LOADED)
 
 
+def test_pages_are_read_once_and_rejects_are_kept(spark, tmp_path, monkeypatch):
+    root, pages = str(tmp_path / "root"), str(tmp_path / "pages")
+    stamp = int(datetime(2024, 1, 31, 12).timestamp())
+    data = [{"id": "a", "created": stamp}, {"created": stamp}, {"id": "late"}, {"id": "a", "created": stamp}]
+    lines = [json.dumps({"page": 1, "data": data}), "{broken"]
+    spark.createDataFrame([(line,) for line in lines], "value string").write.text(pages)
+    sources = []
+    for name in ("objects_of_heads", "rejected_objects", "audit_of_heads"):
+        plain = getattr(jobs, name)
+        monkeypatch.setattr(jobs, name, lambda heads, *rest, plain=plain: sources.append(heads.inputFiles()) or plain(heads, *rest))
+    for _ in range(2):
+        audit = jobs.load_billing(spark, root, pages, "charges", AS_OF, LOADED, on_broken="skip")
+        assert [tuple(r)[1:] for r in audit] == [(3, 1, 1, 0, 1)]
+    assert len(sources) == 6 and all(files and not any("pages" in f for f in files) for files in sources)
+    rejected = tables.read_table(spark, root, schemas.REJECTED_OBJECTS).collect()
+    assert sorted((r.reason, r.data) for r in rejected) == [
+        ("no creation time", '{"id":"late"}'), ("no id", f'{{"created":{stamp}}}'), ("page does not parse", "{broken"),
+    ]
+    with pytest.raises(PySparkException):
+        jobs.load_billing(spark, root, pages, "charges", AS_OF, LOADED)
+
+
+def test_changed_objects_stored_for_later(spark, tmp_path):
+    root, pages = str(tmp_path / "root"), str(tmp_path / "pages")
+    stamp = int(datetime(2024, 1, 31, 12).timestamp())
+    for version in (1, 2):
+        line = json.dumps({"page": 1, "data": [{"id": "a", "created": stamp, "v": version}]})
+        spark.createDataFrame([(line,)], "value string").write.mode("overwrite").text(pages)
+        jobs.load_billing(spark, root, pages, "charges", AS_OF, LOADED, later=True)
+    for _ in range(2):
+        (row,) = tables.read_table(spark, root, schemas.billing_object("charges")).collect()
+        assert json.loads(row.data)["v"] == 2
+        jobs.compact_billing(spark, root, "charges")
+
+
 def test_reports(spark, tmp_path):
     report = tmp_path / "r.csv"
     report.write_text("Charge Id,Transaction Request Id,created_at,x\nc,t,2024-01-31,1\n", encoding="utf8")
