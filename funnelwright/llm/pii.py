@@ -30,15 +30,23 @@ KINDS = ["email", "ip", "card", "phone", "iban"]
 # Score of a confirmed span, what one context word adds, and how near it must stand.
 PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9}
 CONTEXT = {
-    "email": ["mail", "contact", "write", "kontakt", "correo"],
+    "email": ["mail", "email", "e-mail", "contact", "write", "kontakt", "correo"],
     "ip": ["address", "server", "host", "login"],
     "card": ["card", "visa", "credit", "payment", "karte", "carte", "tarjeta"],
-    "phone": ["phone", "call", "tel", "mobile", "fax"],
+    "phone": ["phone", "telephone", "call", "tel", "mobile", "fax"],
     "iban": ["iban", "bank", "account", "konto", "compte", "cuenta"],
 }
 AGAINST = {"ip": ["version", "release"], "card": ["order", "serial", "isbn"], "phone": ["order", "serial"]}
 WEIGHT, NEAR = 0.1, 40
 
+
+def _any_of(words: list[str]) -> re.Pattern[str]:
+    """The words as whole words, or in the plural."""
+    return re.compile(r"\b(" + "|".join(words) + r")s?\b")
+
+
+OWN, OTHERS = ({kind: _any_of(words) for kind, words in lists.items()} for lists in (CONTEXT, AGAINST))
+
 Span = tuple[str, int, int, float]
 
 
@@ -104,8 +112,13 @@ def proposals(text: str) -> list[tuple[str, int, int]]:
 
 def score(text: str, kind: str, start: int, end: int) -> float:
     """The prior of the kind, raised by words of its own nearby and lowered by words of others."""
-    near = (text[max(0, start - NEAR) : start] + " " + text[end : end + NEAR]).lower()
-    change = sum(w in near for w in CONTEXT[kind]) - sum(w in near for w in AGAINST.get(kind, ()))
+    low, high = max(0, start - NEAR), min(len(text), end + NEAR)
+    while low and low > start - 2 * NEAR and text[low - 1].isalnum():  # whole words
+        low -= 1
+    while high < min(len(text), end + 2 * NEAR) and text[high].isalnum():
+        high += 1
+    near = f"{text[low:start]} {text[end:high]}".lower()
+    change = len(set(OWN[kind].findall(near))) - (len(set(OTHERS[kind].findall(near))) if kind in OTHERS else 0)
     return round(min(1.0, max(0.0, PRIOR[kind] + WEIGHT * change)), 3)
 
 

@@ -13,22 +13,20 @@ def table(spark, rows):
 
 
 def brute(rows, k, divisor):
-    usable = {}
+    usable = []
     for i, v in rows:
-        if i is None or not v or any(x is None or not math.isfinite(x) for x in v) or not any(v):
-            continue
-        v = tuple(float(np.float32(x)) for x in v)
-        usable[i] = min(usable.get(i, v), v)
+        if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v):
+            usable.append((i, tuple(float(np.float32(x)) for x in v)))
     out = []
-    for q, x in usable.items():
+    for a, (q, x) in enumerate(usable):
         if q % divisor:
             continue
         scored = []
-        for c, y in usable.items():
-            if c != q and len(x) == len(y):
+        for b, (c, y) in enumerate(usable):
+            if a != b and len(x) == len(y):
                 total = 0.0
-                for a, b in zip(x, y, strict=True):
-                    total += a * b
+                for s, t in zip(x, y, strict=True):
+                    total += s * t
                 scored.append((-total, c))
         out += [(q, r, c, -s) for r, (s, c) in enumerate(sorted(scored)[:k], 1)]
     return sorted(out)
@@ -68,3 +66,9 @@ def test_bounds_hold(rng):
     about = (a.int8.astype(float) @ b.int8.T) * a.scale[:, None] * b.scale
     bound = a.near_norm[:, None] * b.error + a.error[:, None] * b.norm
     assert (np.abs(about - left @ right.T) <= bound + 1e-9).all()
+
+
+def test_rows_that_share_an_id_all_count(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (1, [2.0, 0.0]), (1, [2.0, 0.0]), (0, [3.0, 1.0])]
+    found = got(spark, rows)
+    assert found == brute(rows, 20, 20) and len(found) == 2 * 4

@@ -82,3 +82,15 @@ def test_context_words_move_the_score():
 
 def test_empty_table(documents):
     assert pii.pii_report(documents([])).count() == 0
+
+
+def test_context_words_are_whole_words():
+    number = "+49 30 1234567 89"
+    plain = pii.score(f"the number {number} here", "phone", 11, 11 + len(number))
+    for before in ("hotel", "basically", "calls tel"):
+        text = f"{before} {number}"
+        change = pii.score(text, "phone", len(before) + 1, len(text)) - plain
+        assert round(change, 3) == (0.2 if before == "calls tel" else 0.0)
+    # a word that the reach of the context cuts is seen whole
+    text = "hotel" + " " * (pii.NEAR - 3) + number
+    assert pii.score(text, "phone", len(text) - len(number), len(text)) == plain
