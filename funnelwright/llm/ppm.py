@@ -9,7 +9,9 @@ suffix, so what exclusion leaves is one number per context, and a pretrained tri
 
 Counting, merging and building run as Spark aggregations over all training texts. The trie is stored in
 shards by the last two bytes of the context; tasks read the shards from the shared folder. They
-keep the whole trie if it has at most ``HELD`` entries, else go through the shards one by one per chunk.
+keep the whole trie if it has at most ``HELD`` entries. A larger one is not read by every task: texts form groups of
+``GROUP_BYTES``, each group sends its distinct grams to the shards that know them and gets their probabilities back, so a shard
+is read once by the task that answers for it.
 
 Beside it each text gets an add-one unigram score over its words. The ``FREQUENT`` most frequent
 training words reach all tasks as a table; the others are joined, one row per text and word.
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +49,7 @@ FREQUENT = 1 << 18
 HELD = 6_000_000
 SHARD = 500_000
 CHUNK = 2 << 20
+GROUP_BYTES = 16 << 20
 SEGMENT = 1 << 21
 TALLY = 2_000_000
 WORD, GRAM = 0, 1
@@ -285,10 +288,6 @@ def _trie(addresses: tuple[str, ...], low: tuple[bytes, bytes]) -> Trie:
     return Trie(entries, (np.frombuffer(low[0], dtype=np.int64), np.frombuffer(low[1], dtype=np.float64)))
 
 
-def _shard_of(packed: np.ndarray, shards: int) -> np.ndarray:
-    return ((packed >> BITS) & _mask(2)) * 40503 % shards
-
-
 class StoredTrie:
     """Where a trie lies: files by shard, the small orders, and how many entries there are."""
 
@@ -296,15 +295,59 @@ class StoredTrie:
         self.files, self.low, self.whole = files, low, entries <= HELD
 
     def score(self, packed: np.ndarray) -> np.ndarray:
-        """Natural log probabilities of grams, with at most HELD entries in memory, or one shard's."""
-        if self.whole:
-            return _trie(tuple(f for files in self.files for f in files), self.low).log_probabilities(packed)
-        out, shard = np.zeros(len(packed)), _shard_of(packed, len(self.files))
-        for number, files in enumerate(self.files):
-            at = np.flatnonzero(shard == number)
-            if len(at):
-                out[at] = _trie(files, self.low).log_probabilities(packed[at])
-        return out
+        """Natural log probabilities of grams, with all entries in memory."""
+        return _trie(tuple(f for files in self.files for f in files), self.low).log_probabilities(packed)
+
+    def score_in(self, number: int, packed: np.ndarray) -> np.ndarray:
+        """Those of grams of one shard, with that shard's entries in memory."""
+        return _trie(self.files[number], self.low).log_probabilities(packed)
+
+
+class LookedUp:
+    """Log probabilities found elsewhere, of the grams of a group of texts."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.table = _Table(keys, [values])
+
+    def score(self, packed: np.ndarray) -> np.ndarray:
+        return self.table.values[0][self.table.find(packed)]
+
+
+def looked_up(grouped: DataFrame, trie: StoredTrie) -> DataFrame:
+    """(_group, key, value): every gram of each group of texts once, with its log probability.
+
+    The grams go to the shard that knows them, so a task reads the entries of its shards once, however many texts there are.
+    """
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, "text", CHUNK):
+                group = part.column("_group").to_numpy()
+                for number in np.unique(group).tolist():
+                    data, offsets = words.buffer(part.column("text").filter(pa.array(group == number)), lower=False)
+                    for packed in grams(data, offsets):
+                        keys = np.unique(packed)
+                        columns = [pa.array(np.full(len(keys), number, dtype=np.int32)), pa.array(keys)]
+                        yield pa.RecordBatch.from_arrays(columns, names=["_group", "key"])
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shard, keys = batch.column("shard").to_numpy(), batch.column("key").to_numpy()
+            values = np.zeros(len(keys))
+            for number in np.unique(shard).tolist():
+                at = np.flatnonzero(shard == number)
+                values[at] = trie.score_in(number, keys[at])
+            yield pa.RecordBatch.from_arrays([batch.column("_group"), batch.column("key"), pa.array(values)], names=["_group", "key", "value"])
+
+    shards = len(trie.files)
+    asked = grouped.select("_group", "text").mapInArrow(distinct, "_group int, key long").distinct()
+    dealt = asked.withColumn("shard", _shard_column("key", shards)).repartition(shards, "shard").sortWithinPartitions("shard")
+    return dealt.mapInArrow(look_up, "_group int, key long, value double")
+
+
+def _shard_column(key: str, shards: int) -> Column:
+    context = F.shiftright(key, BITS).bitwiseAND(F.lit(_mask(2)))
+    return F.pmod(context * F.lit(40503), F.lit(shards)).cast("int")
 
 
 def build_trie(counts: DataFrame) -> StoredTrie:
@@ -317,8 +360,7 @@ def build_trie(counts: DataFrame) -> StoredTrie:
     low = (np.array([k for k, _ in small], dtype=np.int64), np.array([n for _, n in small], dtype=np.float64))
     total = gram_counts.count()
     shards = total // SHARD + 1
-    context = F.shiftright("key", BITS).bitwiseAND(F.lit(_mask(2)))
-    dealt = gram_counts.withColumn("shard", F.pmod(context * F.lit(40503), F.lit(shards)).cast("int"))
+    dealt = gram_counts.withColumn("shard", _shard_column("key", shards))
     schema = "shard int, kind int, key long, a double, b double, c double, d double"
 
     def build(table: pa.Table) -> pa.Table:
@@ -379,7 +421,26 @@ def score(docs: DataFrame, training: DataFrame, key: str = "doc_id") -> DataFram
                 made = _scored(part.column("text"), known, stored)
                 yield pa.RecordBatch.from_arrays([part.column(key), *made], names=[key, *[f.name for f in fields]])
 
-    scored = staged(frame.mapInArrow(run, schema).withColumn("_row", F.monotonically_increasing_id()), "scored")
+    if trie.whole:
+        made = frame.mapInArrow(run, schema)
+    else:
+        size = frame.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+        group = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(size // GROUP_BYTES + 1)).cast("int")
+        grouped = staged(frame.withColumn("_group", group), "grouped")
+
+        def finish(texts: pa.Table, found: pa.Table) -> pa.Table:
+            order = np.argsort(keys := found["key"].to_numpy())
+            of_group = LookedUp(keys[order], found["value"].to_numpy()[order])
+            known = _Table(shared.value[0], [np.log10(shared.value[1] + 1)])
+            parts = []
+            for batch in texts.to_batches():
+                for part in chunks(batch, "text", CHUNK):
+                    columns = [part.column(key), *_scored(part.column("text"), known, of_group)]
+                    parts.append(pa.RecordBatch.from_arrays(columns, names=[key, *[f.name for f in fields]]))
+            return pa.Table.from_batches(parts)
+
+        made = grouped.groupBy("_group").cogroup(looked_up(grouped, trie).groupBy("_group")).applyInArrow(finish, schema)
+    scored = staged(made.withColumn("_row", F.monotonically_increasing_id()), "scored")
     rare = scored.select("_row", F.explode(F.arrays_zip("rare", "times")).alias("r"))
     joined = rare.join(vocabulary, F.col("r.rare") == F.col("key"))
     of_rare = joined.groupBy("_row").agg(
@@ -407,7 +468,7 @@ def _sums(values: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndarr
     return out
 
 
-def _text_scores(column: pa.Array, stored: StoredTrie) -> np.ndarray:
+def _text_scores(column: pa.Array, stored: StoredTrie | LookedUp) -> np.ndarray:
     """Natural log probability of each text and its end."""
     data, offsets = words.buffer(column, lower=False)
     first = offsets[:-1] + np.arange(len(column))  # every text has a symbol at least, its end
@@ -422,7 +483,7 @@ def _text_scores(column: pa.Array, stored: StoredTrie) -> np.ndarray:
     return total
 
 
-def _scored(column: pa.Array, known: _Table, stored: StoredTrie) -> list[pa.Array]:
+def _scored(column: pa.Array, known: _Table, stored: StoredTrie | LookedUp) -> list[pa.Array]:
     n_texts = len(column)
     hashed, bounds = word_hashes(column)
     n_words = np.diff(bounds)

@@ -77,6 +77,7 @@ def test_shards_and_rare_words_do_not_change_scores(documents, prose, monkeypatc
     monkeypatch.setattr(ppm, "FREQUENT", 5)
     monkeypatch.setattr(ppm, "HELD", 10)
     monkeypatch.setattr(ppm, "SHARD", 200)
+    monkeypatch.setattr(ppm, "GROUP_BYTES", 500)
     rows = rows_of(prose)
     agree(ppm.language_model_report(documents(rows)).collect(), rows)
 
