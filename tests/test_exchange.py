@@ -18,33 +18,33 @@ SPEC = TableSpec(
 OLD = [("a", "d1", 1), ("b", "d1", 2), ("c", "d2", 3), ("d", "d3", 4)]
 
 
-class Killed(Exception):
-    pass
-
-
 @pytest.fixture
-def kill(monkeypatch):
-    """A function that lets so many writes, moves and removals pass, then fails before the next one."""
-    plain = {name: getattr(exchange, name) for name in ("rename", "remove", "_write_text")}
+def states(monkeypatch, tmp_path):
+    """What a run that is killed leaves: copies of a folder before every write, move and removal of a change, and after it."""
 
-    def arm(passes):
-        left = [passes]
+    def of(root, change):
+        found = []
 
-        def guarded(name):
-            def step(*args):
-                if left[0] == 0:
-                    raise Killed
-                left[0] -= 1
-                return plain[name](*args)
+        def copy():
+            found.append(f"{tmp_path}/state{len(found)}")
+            shutil.copytree(root, found[-1])
 
-            return step
+        with monkeypatch.context() as patch:
+            for name in ("rename", "remove", "_write_text"):
+                plain = getattr(exchange, name)
 
-        for name in plain:
-            monkeypatch.setattr(exchange, name, plain[name] if passes is None else guarded(name))
-        monkeypatch.setattr(tables, "_rename", exchange.rename)
-        monkeypatch.setattr(tables, "remove", exchange.remove)
+                def step(*args, plain=plain):
+                    copy()
+                    return plain(*args)
+
+                patch.setattr(exchange, name, step)
+            patch.setattr(tables, "_rename", exchange.rename)
+            patch.setattr(tables, "remove", exchange.remove)
+            change(root)
+        copy()
+        return found
 
-    return arm
+    return of
 
 
 @pytest.fixture(autouse=True)
@@ -62,47 +62,38 @@ def rows(spark, *data):
     return spark.createDataFrame(data, SPEC.schema)
 
 
-def all_kills(spark, folder, kill, change, new):
-    """Kill the change before each of its steps, every time on a fresh copy of the table, read, and repeat it."""
-    kill(None)
-    tables.rebuild(spark, f"{folder}/fresh", SPEC, rows(spark, *OLD))
+def all_kills(spark, root, states, change, new):
+    """Every state reads as the old or as the new rows, and the change may be repeated on it."""
+    tables.rebuild(spark, root, SPEC, rows(spark, *OLD))
+    left = states(root, change)
     seen = []
-    for passes in range(100):
-        root = f"{folder}/{passes}"
-        shutil.copytree(f"{folder}/fresh", root)
-        kill(passes)
-        try:
-            change(root)
-            died = False
-        except Killed:
-            died = True
-        kill(None)
-        found = stored(spark, root)
-        assert found in (OLD, new), passes
+    for n, state in enumerate(left):
+        found = stored(spark, state)
+        assert found in (OLD, new), n
         seen.append(found == new)
-        if not died:
-            break
-        change(root)
-        assert stored(spark, root) == new
-        left = ("_new", "_old", "_pending", "_exchange")
-        assert not [n for n in exchange.names(spark, f"{root}/facts") if n.startswith(left)]
     # the old rows up to one step, the new ones from there on
-    assert not died and seen == sorted(seen) and not seen[0]
+    assert len(left) > 5 and seen == sorted(seen) and set(seen) == {False, True}
+    turn = seen.index(True)
+    for n in {1, turn - 1, turn, len(left) - 2}:
+        change(left[n])
+        assert stored(spark, left[n]) == new
+        hidden = ("_new", "_old", "_pending", "_exchange")
+        assert not [name for name in exchange.names(spark, f"{left[n]}/facts") if name.startswith(hidden)]
 
 
-def test_upsert_killed_at_every_step(spark, tmp_path, kill):
+def test_upsert_killed_at_every_step(spark, tmp_path, states):
     batch = rows(spark, ("a", "d2", 10), ("e", "d4", 5), ("d", "d1", 40))
     new = [("a", "d2", 10), ("b", "d1", 2), ("c", "d2", 3), ("d", "d1", 40), ("e", "d4", 5)]
-    all_kills(spark, str(tmp_path), kill, lambda root: tables.upsert(spark, root, SPEC, batch), new)
+    all_kills(spark, str(tmp_path / "root"), states, lambda root: tables.upsert(spark, root, SPEC, batch), new)
 
 
-def test_replace_range_killed_at_every_step(spark, tmp_path, kill):
+def test_replace_range_killed_at_every_step(spark, tmp_path, states):
     batch = rows(spark, ("x", "d3", 7))
     new = [("a", "d1", 1), ("b", "d1", 2), ("x", "d3", 7)]
-    all_kills(spark, str(tmp_path), kill, lambda root: tables.replace_range(spark, root, SPEC, batch, "d2"), new)
+    all_kills(spark, str(tmp_path / "root"), states, lambda root: tables.replace_range(spark, root, SPEC, batch, "d2"), new)
 
 
-def test_compaction_killed_at_every_step(spark, tmp_path, kill):
+def test_compaction_killed_at_every_step(spark, tmp_path, states):
     batch = rows(spark, ("a", "d2", 10), ("e", "d4", 5))
     new = [("a", "d2", 10), ("b", "d1", 2), ("c", "d2", 3), ("d", "d3", 4), ("e", "d4", 5)]
 
@@ -110,10 +101,10 @@ def test_compaction_killed_at_every_step(spark, tmp_path, kill):
         tables.upsert_later(spark, root, SPEC, batch)
         tables.compact(spark, root, SPEC)
 
-    all_kills(spark, str(tmp_path), kill, change, new)
+    all_kills(spark, str(tmp_path / "root"), states, change, new)
 
 
-def test_contacts_killed_at_every_step(spark, tmp_path, kill):
+def test_contacts_killed_at_every_step(spark, tmp_path, states):
     first = spark.createDataFrame([("a", "1", "2024/01/02", "x")], "id string, updated_at string, created_path string, one string")
     second = spark.createDataFrame(
         [("a", "2", "2024/01/02", "y"), ("b", "1", "2024/01/03", "z")], "id string, updated_at string, created_path string, two string"
@@ -127,23 +118,14 @@ def test_contacts_killed_at_every_step(spark, tmp_path, kill):
         return sorted((r["id"], r["updated_at"], r["two"] if "two" in names else None) for r in found)
 
     old, new = [("a", "1", None)], [("a", "2", "y"), ("b", "1", "z")]
-    for passes in range(100):
-        root = f"{tmp_path}/{passes}"
-        kill(None)
-        tables.write_contacts(spark, root, first)
-        kill(passes)
-        try:
-            tables.write_contacts(spark, root, second)
-            died = False
-        except Killed:
-            died = True
-        kill(None)
-        assert read(root) in (old, new)
-        tables.write_contacts(spark, root, second)
-        assert read(root) == new
-        if not died:
-            return
-    raise AssertionError("more steps than expected")
+    root = str(tmp_path / "root")
+    tables.write_contacts(spark, root, first)
+    left = states(root, lambda root: tables.write_contacts(spark, root, second))
+    seen = [read(state) for state in left]
+    assert all(found in (old, new) for found in seen) and seen[0] == old and seen[-1] == new
+    for state in (left[2], left[len(left) // 2]):
+        tables.write_contacts(spark, state, second)
+        assert read(state) == new
 
 
 def test_a_record_names_what_it_moves(spark, tmp_path):
@@ -158,15 +140,11 @@ def test_a_record_names_what_it_moves(spark, tmp_path):
     assert not any(n.startswith("_") and n != "_SUCCESS" for n in exchange.names(spark, path))
 
 
-def test_a_half_written_batch_of_changes_is_not_read(spark, tmp_path, kill):
-    root = str(tmp_path)
+def test_a_half_written_batch_of_changes_is_not_read(spark, tmp_path, states):
+    root = str(tmp_path / "root")
     tables.rebuild(spark, root, SPEC, rows(spark, *OLD))
-    for passes in range(3):
-        kill(passes)
-        try:
-            tables.upsert_later(spark, root, SPEC, rows(spark, ("a", "d9", 9)))
-        except Killed:
-            kill(None)
-            assert stored(spark, root) in (OLD, [("a", "d9", 9), *OLD[1:]])
-    kill(None)
-    assert changefiles.batches(spark, f"{root}/facts") and ("a", "d9", 9) in stored(spark, root)
+    left = states(root, lambda root: tables.upsert_later(spark, root, SPEC, rows(spark, ("a", "d9", 9))))
+    new = [("a", "d9", 9), *OLD[1:]]
+    seen = [stored(spark, state) for state in left]
+    assert all(found in (OLD, new) for found in seen) and seen[0] == OLD and seen[-1] == new
+    assert changefiles.batches(spark, f"{left[-1]}/facts")
