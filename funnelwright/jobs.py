@@ -15,17 +15,18 @@ from pyspark.sql import DataFrame, Row, SparkSession
 
 from . import schemas
 from .functions.times import DayRange, lookback, named_range
-from .plans.ads import SEARCH_UPDATES, search_ads_hourly, social_ads_hourly
+from .plans.ads import SEARCH_UPDATES, newest_hours, search_ads_hourly, social_ads_hourly, social_pages
 from .plans.billing import (
     audit_of_heads,
     billing_audit,
     billing_events,
     billing_heads,
     billing_objects,
+    event_heads,
     objects_of_heads,
     rejected_objects,
 )
-from .plans.contacts import contacts
+from .plans.contacts import contact_pages, contacts
 from .plans.conversion import ChannelRules, campaign_conversion, late_days
 from .plans.funnel import Site, session_funnel
 from .plans.precheckout import precheckout_rows
@@ -33,7 +34,7 @@ from .plans.reports import payment_report
 from .plans.utm import campaign_rows, refreshed_dimension
 from .sinks import tables
 from .sources.readers import read_pages, read_report
-from .streaming.landed import load_new_pages
+from .streaming.landed import load_first_seen, load_new_files, load_new_pages
 
 
 def refresh_funnel(
@@ -193,6 +194,27 @@ def load_billing_events(
     return billing_audit(objects, days).orderBy("created_at").collect()
 
 
+def follow_billing_events(
+    spark: SparkSession,
+    root: str,
+    folder: str,
+    checkpoint: str,
+    load_time: datetime,
+    files_per_batch: int = 1000,
+    on_broken: str = "error",
+    remember: str | None = None,
+) -> None:
+    """Append the billing events landed since the last run; an event never changes, so its first copy stays.
+
+    Files that land again, or are replayed, change no file of the table.
+    """
+
+    def load(objects: DataFrame) -> None:
+        tables.append_new(spark, root, schemas.BILLING_EVENTS, billing_events(objects, load_time))
+
+    load_first_seen(spark, folder, checkpoint, event_heads, load, files_per_batch, on_broken, remember).awaitTermination()
+
+
 def load_payment_report(
     spark: SparkSession,
     root: str,
@@ -209,6 +231,24 @@ def load_payment_report(
     tables.upsert(spark, root, spec, rows, on_duplicate, order_by=["created_at"])
 
 
+def follow_payment_reports(
+    spark: SparkSession,
+    root: str,
+    folder: str,
+    checkpoint: str,
+    load_time: datetime,
+    history: bool = False,
+    multi_line: bool = True,
+    files_per_batch: int = 100,
+) -> None:
+    """Upsert the payment reports landed since the last run, each file once; of a repeated key the latest row."""
+
+    def load(paths: list[str]) -> None:
+        load_payment_report(spark, root, paths, load_time, history, on_duplicate="latest", multi_line=multi_line)
+
+    load_new_files(spark, folder, checkpoint, load, files_per_batch).awaitTermination()
+
+
 def load_social_ads(
     spark: SparkSession, root: str, batches: DataFrame, load_time: datetime, on_duplicate: str = "error"
 ) -> None:
@@ -217,6 +257,23 @@ def load_social_ads(
     tables.upsert(spark, root, schemas.SOCIAL_ADS_HOURLY, rows, on_duplicate, order_by=["etl_load_date"])
 
 
+def follow_social_ads(
+    spark: SparkSession,
+    root: str,
+    folder: str,
+    checkpoint: str,
+    load_time: datetime,
+    files_per_batch: int = 1000,
+    on_broken: str = "error",
+) -> None:
+    """Upsert the ads' hours landed since the last run, each file once; the newest file's copy of an hour wins."""
+
+    def load(objects: DataFrame) -> None:
+        load_social_ads(spark, root, social_pages(newest_hours(objects)), load_time)
+
+    load_new_pages(spark, folder, checkpoint, load, files_per_batch, on_broken).awaitTermination()
+
+
 def load_search_ads(
     spark: SparkSession,
     root: str,
@@ -241,3 +298,21 @@ def load_contacts(
 ) -> None:
     """Upsert the contacts changed on the days; ``contact_pages`` reads landed pages."""
     tables.write_contacts(spark, root, contacts(records, lookback(as_of, days_from, days_to, swap_ok=True)))
+
+
+def follow_contacts(
+    spark: SparkSession,
+    root: str,
+    folder: str,
+    checkpoint: str,
+    files_per_batch: int = 1000,
+    on_broken: str = "error",
+) -> None:
+    """Upsert the contacts landed since the last run, each file once; of a batch's copies the one updated last."""
+
+    def load(objects: DataFrame) -> None:
+        records = contact_pages(objects)
+        if "id" in records.columns:
+            tables.write_contacts(spark, root, contacts(records))
+
+    load_new_pages(spark, folder, checkpoint, load, files_per_batch, on_broken).awaitTermination()

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.casts import day_or_null, float_or_zero, int_or_zero, units_from_micros
 from ..functions.records import action_count
 from ..functions.times import DayRange, dashless, day_key
+from ..operators.dedupe import first_seen
 from ..operators.reshape import flatten_structs
 from ..schemas import SEARCH_ADS_HOURLY, SOCIAL_ADS_HOURLY, SOCIAL_ADS_ROWS
 from ..sources.slices import dated_within
@@ -36,6 +37,16 @@ def social_pages(objects: DataFrame) -> DataFrame:
     return objects.select(F.from_json("raw", SOCIAL_ADS_ROWS).alias("r")).select("r.*")
 
 
+def newest_hours(objects: DataFrame) -> DataFrame:
+    """Landed page objects, of several copies of an ad's hour the first one of the newest file."""
+    fields = ["date_start", HOUR_FIELD, "account_id", "campaign_id", "adset_id", "ad_id"]
+    keys = [f"_k{i}" for i in range(len(fields))]
+    keyed = objects.select("*", F.json_tuple("raw", *fields).alias(*keys))
+    # an absent id is a value like any other here
+    keyed = keyed.withColumns({k: F.coalesce(F.concat(F.lit("="), k), F.lit("")) for k in keys})
+    return first_seen(keyed, keys, [F.desc("fetch"), "page", "pos"]).drop(*keys)
+
+
 def social_ads_hourly(rows: DataFrame, load_time: datetime) -> DataFrame:
     """Text rows of the insights feed as typed rows with one column per wanted action."""
     # cut to the wanted entries once, then looked up once per column

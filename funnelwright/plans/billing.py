@@ -109,6 +109,15 @@ def billing_events(
     )
 
 
+def event_heads(objects: DataFrame, types: Sequence[str] = EVENT_TYPES) -> DataFrame:
+    """Landed events of the listed types that can be stored, with their id."""
+    wanted = of_types(_heads(objects, None, "type", "data"), "type", types)
+    inner = wanted.select("*", F.json_tuple("data", "object").alias("object"))
+    named = inner.select("*", F.json_tuple("object", "id").alias("object_id"))
+    usable = named.where(F.col("created").isNotNull() & present("object_id"))
+    return usable.select(*(c for c in ("fetch", "page", "pos") if c in objects.columns), "raw", "id")
+
+
 def billing_audit(objects: DataFrame, days: DayRange | None = None) -> DataFrame:
     """Fetched, keyless, duplicate, rejected and loaded objects per creation day."""
     return audit_of_heads(_heads(objects, days))

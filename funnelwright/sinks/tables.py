@@ -205,6 +205,8 @@ def append_new(
     """
     compact(spark, root, spec)
     with staging(_incoming(rows, spec), spec.name) as source:
+        if source.isEmpty():
+            return
         stored = _stored(spark, root, spec)
         if spec.partition is not None and (spec.partition_from_key or compare_keyless):
             own = stored.where(_in_values(spec.partition, _values(source, spec.partition)))
