@@ -26,12 +26,13 @@ from .plans.billing import (
     objects_of_heads,
     rejected_objects,
 )
-from .plans.contacts import contact_pages, contacts
+from .plans.contacts import contact_objects, contact_pages, contacts
 from .plans.conversion import ChannelRules, campaign_conversion, late_days
 from .plans.funnel import Site, session_funnel
 from .plans.precheckout import precheckout_rows
 from .plans.reports import payment_report
 from .plans.utm import campaign_rows, refreshed_dimension
+from .sinks import objects as stored_objects
 from .sinks import tables
 from .sources.readers import read_pages, read_report
 from .streaming.landed import load_first_seen, load_new_files, load_new_pages
@@ -300,6 +301,14 @@ def load_contacts(
     tables.write_contacts(spark, root, contacts(records, lookback(as_of, days_from, days_to, swap_ok=True)))
 
 
+def store_contacts(
+    spark: SparkSession, path: str, records: DataFrame, as_of: date, days_from: int = 0, days_to: int = 0
+) -> None:
+    """Store the contacts changed on the days as one object each, by creation day."""
+    rows = contact_objects(records, lookback(as_of, days_from, days_to, swap_ok=True))
+    stored_objects.write_objects(spark, path, rows, ["updated_at"])
+
+
 def follow_contacts(
     spark: SparkSession,
     root: str,

@@ -71,3 +71,13 @@ def contacts(records: DataFrame, days: DayRange | None = None) -> DataFrame:
     created = F.nullif(F.col("created_at").try_cast("bigint"), F.lit(0))
     flat = text_columns(clean_records(records))
     return flat.withColumn("created_path", day_path(F.timestamp_seconds(created)))
+
+
+def contact_objects(records: DataFrame, days: DayRange | None = None) -> DataFrame:
+    """Contacts changed on the days as objects: ``day, id, body`` (the cleaned record as JSON) and ``updated_at``."""
+    if days is not None:
+        records = updated_within(records, "updated_at", days)
+    created = F.nullif(F.col("created_at").try_cast("bigint"), F.lit(0))
+    cleaned = clean_records(records.withColumn("_day", day_path(F.timestamp_seconds(created))))
+    body = F.to_json(F.struct(*(F.col(f"`{c}`") for c in cleaned.columns if c != "_day")))
+    return cleaned.select(F.col("_day").alias("day"), F.col("id").cast("string").alias("id"), body.alias("body"), "updated_at")

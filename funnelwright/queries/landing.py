@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from ..functions.records import action_map
 from ..functions.times import DayRange, named_range
 from ..operators.dedupe import first_seen
-from ..operators.reshape import keep_columns, union_all
+from ..operators.reshape import flatten_structs, keep_columns, rename_columns, union_all
 from ..plans.ads import ACTIONS, HOUR_FIELD, report_order, search_ads_hourly, social_ads_hourly
 from ..plans.billing import billing_audit, billing_events, billing_objects
-from ..plans.contacts import contacts
+from ..plans.contacts import contact_objects, contacts
 from ..plans.reports import payment_report, payment_report_history
 from ..session import scratch_path
+from ..sinks.objects import read_objects, write_objects
 from ..sources.readers import broken_pages, page_objects, read_landed, read_pages, read_report
 from .inputs import EVENT_DAYS, IN_EVENT_DAYS, IN_ORDER_DAYS, LOAD_TIME, ORDER_DAYS
 from .registry import Tables, query
@@ -315,19 +316,12 @@ def _hours(t: Tables, days: DayRange) -> DataFrame:
     return report_order(rows).withColumns(rounded | {"cost": F.round("cost", 6), "date": F.col("date").cast("string")})
 
 
-@query(
-    """SELECT 'c' || c_custkey AS id, CASE WHEN c_nationkey > 3 THEN strftime(TIMESTAMP '2024-01-01' + to_days(c_nationkey),
-        '%Y/%m/%d') ELSE 'unknown' END AS created_path,
-      c_name AS full_name, CAST(c_acctbal > 0 AS VARCHAR) AS _9_lives_x, c_mktsegment AS segment, n.n_name AS nation,
-      CASE WHEN c_nationkey < 5 THEN NULL ELSE 2 END AS n_turns, CAST(c_nationkey AS VARCHAR) AS raw_nation
-    FROM customer JOIN nation n ON c_nationkey = n_nationkey WHERE c_nationkey BETWEEN 3 AND 23"""
-)
-def contact_flatten(t: Tables) -> DataFrame:
+def _contact_records(t: Tables) -> DataFrame:
     """Customers as nested contact records with awkward names and invisible characters."""
     day = F.date_add(F.to_date(F.lit("2024-01-01")), F.col("c_nationkey"))
     created = F.unix_timestamp(day.cast("timestamp"))
     zero_width = "​"
-    records = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+    return t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.concat(F.lit("c"), F.col("c_custkey")).alias("id"),
         F.when(F.col("c_nationkey") > 3, created).alias("created_at"),
         (created + 36_000).alias("updated_at"),
@@ -340,6 +334,17 @@ def contact_flatten(t: Tables) -> DataFrame:
         ).alias("custom attributes"),
         F.when(F.col("c_nationkey") >= 5, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array().cast("array<string>")).alias("turns"),
     )
+
+
+@query(
+    """SELECT 'c' || c_custkey AS id, CASE WHEN c_nationkey > 3 THEN strftime(TIMESTAMP '2024-01-01' + to_days(c_nationkey),
+        '%Y/%m/%d') ELSE 'unknown' END AS created_path,
+      c_name AS full_name, CAST(c_acctbal > 0 AS VARCHAR) AS _9_lives_x, c_mktsegment AS segment, n.n_name AS nation,
+      CASE WHEN c_nationkey < 5 THEN NULL ELSE 2 END AS n_turns, CAST(c_nationkey AS VARCHAR) AS raw_nation
+    FROM customer JOIN nation n ON c_nationkey = n_nationkey WHERE c_nationkey BETWEEN 3 AND 23"""
+)
+def contact_flatten(t: Tables) -> DataFrame:
+    records = _contact_records(t)
     flat = contacts(records, EVENT_DAYS)
     parsed = F.from_json(
         "custom_attributes", "market_segment string, geo struct<home_nation: string>, data string"
@@ -356,6 +361,43 @@ def contact_flatten(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    """SELECT 'c' || c_custkey AS id, CASE WHEN c_nationkey > 3 THEN strftime(TIMESTAMP '2024-01-01' + to_days(c_nationkey),
+        '%Y/%m/%d') ELSE 'unknown' END AS day,
+      CASE WHEN c_mktsegment = 'BUILDING' THEN 'again ' ELSE '' END || c_name AS full_name, c_mktsegment AS segment,
+      n.n_name AS nation FROM customer JOIN nation n ON c_nationkey = n_nationkey"""
+)
+def contact_object_store(t: Tables) -> DataFrame:
+    """Customers stored as one object each, one segment's stored again under another name, and read back."""
+    path = scratch_path(t.spark, "contact_objects")
+    records = _contact_records(t)
+    write_objects(t.spark, path, contact_objects(records), ["updated_at"])
+    again = records.where(F.col("`custom attributes`.`Market-Segment`") == "BUILDING")
+    again = again.withColumn("Full Name", F.concat(F.lit("again "), "Full Name"))
+    write_objects(t.spark, path, contact_objects(again), ["updated_at"])
+    fields = "full_name string, custom_attributes struct<market_segment: string, geo: struct<home_nation: string>>"
+    return read_objects(t.spark, path).withColumn("f", F.from_json("body", fields)).select(
+        "id",
+        "day",
+        "f.full_name",
+        F.col("f.custom_attributes.market_segment").alias("segment"),
+        F.col("f.custom_attributes.geo.home_nation").alias("nation"),
+    )
+
+
+@query(
+    """SELECT c_custkey AS id, c_name AS billing_details_full_name, c_acctbal AS billing_details_balance,
+      c_mktsegment AS billing_details_market_segment FROM customer"""
+)
+def snake_names(t: Tables) -> DataFrame:
+    """Nested fields with dots, dashes and capitals as flat columns in snake case."""
+    details = F.struct(
+        F.col("c_name").alias("fullName"), F.col("c_acctbal").alias("Balance"), F.col("c_mktsegment").alias("market-segment")
+    )
+    records = t.customer.select(F.col("c_custkey").alias("Id"), details.alias("billingDetails"))
+    return rename_columns(flatten_structs(records, "."), "snake")
+
+
 @query(
     """SELECT f AS format, o_orderpriority AS priority, count(*) AS n, round(sum(o_totalprice), 2) AS total
     FROM orders, (VALUES ('csv'), ('json'), ('orc'), ('parquet'), ('txt')) v(f) GROUP BY ALL"""

@@ -58,7 +58,7 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
     stream.close()
 
 
-def _read_text(spark: SparkSession, path: str) -> str:
+def read_text(spark: SparkSession, path: str) -> str:
     fs, location = _filesystem(spark, path)
     stream = fs.open(location)
     try:
@@ -89,7 +89,7 @@ def complete(spark: SparkSession, table: str) -> None:
 
 
 def _complete(spark: SparkSession, table: str, name: str) -> None:
-    record = json.loads(_read_text(spark, f"{table}/{name}"))
+    record = json.loads(read_text(spark, f"{table}/{name}"))
     new, old = f"{table}/{NEW}{record['token']}", f"{table}/{OLD}{record['token']}"
     for folder in record["take"] + record["drop"]:
         taken = folder in record["take"]
