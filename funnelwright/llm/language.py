@@ -1,7 +1,7 @@
 """Language identification by nearest centroid.
 
-A text is a vector of hashed n-grams (1 to 3 bytes of its letters in lower case, words parted by one
-space), square roots of counts times inverse document frequency, scaled to length 1. Every language
+A text is a vector of hashed n-grams (1 to 3 bytes of its letters, words parted by one space; letters are
+a-z and all bytes beyond ASCII, capitals of ASCII and the Latin-1 block in lower case), square roots of counts times inverse document frequency, scaled to length 1. Every language
 has ``CLUSTERS`` centroids from spherical k-means over at most ``SAMPLE`` of its training documents
 (those of smallest id hash); document frequencies count all training documents. The language of
 the centroid of largest cosine is predicted, ties to the smaller name.
@@ -75,6 +75,8 @@ def counts(column: pa.Array) -> np.ndarray:
     letter = _KEPT[data]
     gap = ~letter
     gap[1:] &= letter[:-1]  # only the first byte of a gap is kept, as a space
+    starts = offsets[:-1][offsets[:-1] < offsets[1:]]
+    gap[starts] = ~letter[starts]  # whatever text stands before
     kept = np.flatnonzero(letter | gap)
     text_of = (np.searchsorted(offsets, kept, side="right") - 1).astype(np.int64)
     byte = np.where(letter[kept], data[kept], 0x20).astype(np.uint32)
