@@ -4,7 +4,7 @@ The records are written by a data source of its own. Every task attempt writes b
 keeps an index of its objects. Only when all tasks are done a commit record names the attempts that count; then a job moves
 their objects into place, each in one rename that replaces an older object. A run that dies
 before its record leaves nothing to be read, one that dies after it is completed by whoever next reads or
-writes; objects of failed or repeated attempts never show. One run at a time may work on a target, and its store must rename files in one step.
+writes; objects of failed or repeated attempts never show; what they leave in the hidden folder goes with the next write. One run at a time may work on a target, and its store must rename files in one step.
 
 A name is the id in percent encoding; it may not be longer than the store allows.
 """
