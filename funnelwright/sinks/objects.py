@@ -6,18 +6,24 @@ their objects into place, each in one rename that replaces an older object. A ru
 before its record leaves nothing to be read, one that dies after it is completed by whoever next reads or
 writes; objects of failed or repeated attempts never show; what they leave in the hidden folder goes with the next write. One run at a time may work on a target, and its store must rename files in one step.
 
+Objects are found and read by tasks too: each lists whole folders (a day's, or ``unknown``), then the names are dealt to
+all tasks, which read their objects one after the other. The driver sees the folders of days, no object.
+
 A name is the id in percent encoding; it may not be longer than the store allows.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import partial
+from itertools import islice
 from urllib.parse import quote
 
+import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +36,10 @@ FORMAT = "daily_objects"
 COLUMNS = "day string, id string, body string"
 INDEX = "index.txt"
 UNKNOWN = "unknown"
+# What a task holds at a time: names it lists, bytes it reads or writes.
+NAMES, READ, BUFFER = 10_000, 1 << 22, 1 << 16
+# How the names of files that are no objects begin and end, as Spark's readers have it.
+HIDDEN, COPYING = ("_", "."), "._COPYING_"
 
 
 def _store(path: str) -> tuple[arrow_fs.FileSystem, str]:
@@ -78,7 +88,7 @@ class _ObjectWriter(DataSourceWriter):
         own = f"{path}/{exchange.NEW}{self.token}/{attempt}"
         store.create_dir(own)
         known = set()
-        with store.open_output_stream(f"{own}/{INDEX}") as index:
+        with store.open_output_stream(f"{own}/{INDEX}", buffer_size=BUFFER) as index:
             for row in rows:
                 name = object_name(row["day"], row["id"])
                 folder = f"{own}/{name.rpartition('/')[0]}"
@@ -120,6 +130,11 @@ def _move(path: str, token: str, rows: Iterable[Row]) -> None:
                 raise
 
 
+def _dealt(names: DataFrame) -> DataFrame:
+    """Names spread over all cores: they are few bytes, but every one is an object to move or read."""
+    return names.repartition(4 * names.sparkSession.sparkContext.defaultParallelism, *names.columns)
+
+
 def complete(spark: SparkSession, path: str) -> None:
     """Make the moves of the writes on record that are missing, as a job over their indexes."""
     for name in exchange.names(spark, path):
@@ -128,7 +143,7 @@ def complete(spark: SparkSession, path: str) -> None:
             new = f"{path}/{exchange.NEW}{record['token']}"
             indexes = [f"{new}/{attempt}/{INDEX}" for attempt in record["attempts"]]
             if indexes:
-                spark.read.text(indexes).foreachPartition(partial(_move, path, record["token"]))
+                _dealt(spark.read.text(indexes)).foreachPartition(partial(_move, path, record["token"]))
             exchange.remove(spark, f"{path}/{name}")
             exchange.remove(spark, new)
 
@@ -150,12 +165,77 @@ def write_objects(spark: SparkSession, path: str, rows: DataFrame, order_by: lis
     complete(spark, path)
 
 
+def _seen(info: arrow_fs.FileInfo) -> bool:
+    return not info.base_name.startswith(HIDDEN) and not info.base_name.endswith(COPYING)
+
+
+def _entries(store: arrow_fs.FileSystem, folder: str, levels: int = 2) -> Iterator[str]:
+    """What a target holds, with years and months opened down to the folders of days."""
+    for info in filter(_seen, store.get_file_info(arrow_fs.FileSelector(folder))):
+        if levels and info.type == arrow_fs.FileType.Directory and re.fullmatch(r"\d+", info.base_name):
+            yield from _entries(store, info.path, levels - 1)
+        else:
+            yield info.path
+
+
+def _files(store: arrow_fs.FileSystem, entry: str) -> Iterator[str]:
+    """The files at and below an entry."""
+    found = [store.get_file_info(entry)]
+    while found:
+        info = found.pop()
+        if info.type == arrow_fs.FileType.Directory:
+            found.extend(filter(_seen, store.get_file_info(arrow_fs.FileSelector(info.path))))
+        elif info.type == arrow_fs.FileType.File:
+            yield info.path
+
+
+def _list(path: str, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The files of folders, in batches of names."""
+    store = _store(path)[0]
+    for batch in batches:
+        for entry in batch.column(0).to_pylist():
+            files = _files(store, entry)
+            while names := list(islice(files, NAMES)):
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], ["path"])
+
+
+def _read(path: str, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Files with their content, in batches of some megabytes; empty ones are passed over."""
+    store = _store(path)[0]
+
+    def packed(names: list[str], contents: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(contents, pa.binary())], ["path", "content"])
+
+    for batch in batches:
+        names, contents, held = [], [], 0
+        for name in batch.column(0).to_pylist():
+            with store.open_input_stream(name) as stream:
+                content = stream.read()
+            if not content:
+                continue
+            names.append(name)
+            contents.append(content)
+            held += len(content)
+            if held >= READ:
+                yield packed(names, contents)
+                names, contents, held = [], [], 0
+        if names:
+            yield packed(names, contents)
+
+
 def read_objects(spark: SparkSession, path: str) -> DataFrame:
     """The stored objects as rows ``day, id, body``; none when there is no target yet."""
     if not exchange.exists(spark, path):
         return spark.createDataFrame([], COLUMNS)
     complete(spark, path)
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    entries = [(entry,) for entry in _entries(*_store(path))]
+    if not entries:
+        return spark.createDataFrame([], COLUMNS)
+    context = spark.sparkContext
+    # a folder to a task, as far as that goes
+    dealt = context.parallelize(entries, min(len(entries), 4 * context.defaultParallelism))
+    listed = spark.createDataFrame(dealt, "path string").mapInArrow(partial(_list, path), "path string")
+    found = _dealt(listed).mapInArrow(partial(_read, path), "path string, content binary")
     day = F.regexp_extract("path", rf"/({UNKNOWN}|\d+/\d\d/\d\d)/[^/]+$", 1)
     name = F.url_decode(F.regexp_extract("path", r"/([^/]+)\.json$", 1))
     return found.select(day.alias("day"), name.alias("id"), F.decode("content", "UTF-8").alias("body"))
