@@ -1,10 +1,13 @@
 """One stored object per record, under ``yyyy/MM/dd/<id>.json`` or ``unknown/<id>.json``.
 
-The records are written by a data source of its own. Every task attempt writes below a hidden folder of the target and
-keeps an index of its objects. Only when all tasks are done a commit record names the attempts that count; then a job moves
-their objects into place, each in one rename that replaces an older object. A run that dies
-before its record leaves nothing to be read, one that dies after it is completed by whoever next reads or
-writes; objects of failed or repeated attempts never show; what they leave in the hidden folder goes with the next write. One run at a time may work on a target, and its store must rename files in one step.
+The records are written by a data source of its own. Every task attempt writes its objects under hidden names into the
+folders they belong to, and an index of them below a hidden folder of the target. Only when all tasks are done a commit
+record names the attempts that count; then a job gives their objects the final names, each in one rename that replaces an
+older object. Such a rename stays inside its folder: a local disk makes renames across folders one after the other, however
+many tasks ask for them. A run that dies before its record leaves nothing to be read, one that dies after it is completed by
+whoever next reads or writes; objects of failed or repeated attempts never show. Their hidden folder tells that they may have
+left objects under hidden names: the next write, or the completion of theirs, lists all folders and removes them. One run at a
+time may work on a target, and its store must rename files in one step.
 
 Objects are found and read by tasks too: each lists whole folders (a day's, or ``unknown``), then the names are dealt to
 all tasks, which read their objects one after the other. The driver sees the folders of days, no object.
@@ -17,7 +20,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import partial
 from itertools import islice
@@ -25,6 +28,7 @@ from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
+from pyspark import RDD
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
@@ -49,6 +53,12 @@ def _store(path: str) -> tuple[arrow_fs.FileSystem, str]:
     return arrow_fs.FileSystem.from_uri(path)
 
 
+def _hidden(token: str, value: str) -> tuple[str, str]:
+    """An index line's object below the target: its hidden name and its final one."""
+    attempt, number, name = value.split("/", 2)
+    return f"{name.rpartition('/')[0]}/{exchange.NEW}{token}-{attempt}-{number}", name
+
+
 def object_name(day: str | None, key: str | None) -> str:
     """The place of an object below the target; a name never begins like a hidden file's."""
     name = quote(key or UNKNOWN, safe="")
@@ -89,15 +99,17 @@ class _ObjectWriter(DataSourceWriter):
         store.create_dir(own)
         known = set()
         with store.open_output_stream(f"{own}/{INDEX}", buffer_size=BUFFER) as index:
-            for row in rows:
-                name = object_name(row["day"], row["id"])
-                folder = f"{own}/{name.rpartition('/')[0]}"
+            for number, row in enumerate(rows):
+                line = f"{attempt}/{number}/{object_name(row['day'], row['id'])}"
+                hidden = f"{path}/{_hidden(self.token, line)[0]}"
+                folder = hidden.rpartition("/")[0]
                 if folder not in known:
                     store.create_dir(folder)
                     known.add(folder)
-                with store.open_output_stream(f"{own}/{name}") as stream:
+                with store.open_output_stream(hidden) as stream:
                     stream.write((row["body"] or "null").encode())
-                index.write(f"{attempt}/{name}\n".encode())
+                index.write(f"{line}\n".encode())
+        store.create_dir(own)  # if it is gone, the run has ended without this attempt: the next one has to clear up
         return Written(attempt)
 
     def commit(self, messages: list[Written | None]) -> None:
@@ -108,28 +120,40 @@ class _ObjectWriter(DataSourceWriter):
         store.move(pending, f"{path}/{exchange.RECORD}{self.token}")
 
     def abort(self, messages: list[Written | None]) -> None:
-        store, path = _store(self.path)
-        if store.get_file_info(f"{path}/{exchange.NEW}{self.token}").type == arrow_fs.FileType.Directory:
-            store.delete_dir(f"{path}/{exchange.NEW}{self.token}")
+        """Nothing: tasks may still be writing, so the hidden folder stays and the next write clears up."""
 
 
 def _move(path: str, token: str, rows: Iterable[Row]) -> None:
-    """Move objects into place; those that an earlier try has moved are passed over."""
+    """Give objects their final names; those that an earlier try has moved are passed over."""
     store, path = _store(path)
-    new, known = f"{path}/{exchange.NEW}{token}", set()
     for row in rows:
-        name = row.value.partition("/")[2]
-        folder = f"{path}/{name.rpartition('/')[0]}"
-        if folder not in known:
-            store.create_dir(folder)
-            known.add(folder)
+        hidden, name = _hidden(token, row.value)
         try:
-            store.move(f"{new}/{row.value}", f"{path}/{name}")
+            store.move(f"{path}/{hidden}", f"{path}/{name}")
         except FileNotFoundError:
             if store.get_file_info(f"{path}/{name}").type != arrow_fs.FileType.File:
                 raise
 
 
+def _drop(path: str, entries: Iterable[str]) -> None:
+    """Remove the objects under hidden names at and below entries."""
+    store = _store(path)[0]
+
+    def left(info: arrow_fs.FileInfo) -> bool:
+        return info.base_name.startswith(exchange.NEW) if info.is_file else _seen(info)
+
+    for entry in entries:
+        for name in _files(store, entry, left):
+            if name.rpartition("/")[2].startswith(exchange.NEW):
+                store.delete_file(name)
+
+
+def _spread(spark: SparkSession, entries: list[str]) -> RDD:
+    """A folder to a task, as far as that goes."""
+    context = spark.sparkContext
+    return context.parallelize(entries, max(1, min(len(entries), 4 * context.defaultParallelism)))
+
+
 def _dealt(names: DataFrame) -> DataFrame:
     """Names spread over all cores: they are few bytes, but every one is an object to move or read."""
     return names.repartition(4 * names.sparkSession.sparkContext.defaultParallelism, *names.columns)
@@ -137,6 +161,7 @@ def _dealt(names: DataFrame) -> DataFrame:
 
 def complete(spark: SparkSession, path: str) -> None:
     """Make the moves of the writes on record that are missing, as a job over their indexes."""
+    strays = False
     for name in exchange.names(spark, path):
         if name.startswith(exchange.RECORD):
             record = json.loads(exchange.read_text(spark, f"{path}/{name}"))
@@ -144,8 +169,23 @@ def complete(spark: SparkSession, path: str) -> None:
             indexes = [f"{new}/{attempt}/{INDEX}" for attempt in record["attempts"]]
             if indexes:
                 _dealt(spark.read.text(indexes)).foreachPartition(partial(_move, path, record["token"]))
+            others = set(exchange.names(spark, new)) - set(record["attempts"])
             exchange.remove(spark, f"{path}/{name}")
-            exchange.remove(spark, new)
+            if others:
+                strays = True
+            else:
+                exchange.remove(spark, new)
+    if strays:
+        _clear(spark, path)
+
+
+def _clear(spark: SparkSession, path: str) -> None:
+    """Remove what attempts left that are on no record, if there are any; all that are on record have been moved."""
+    left = [name for name in exchange.names(spark, path) if name.startswith((exchange.NEW, exchange.PENDING))]
+    if any(name.startswith(exchange.NEW) for name in left):
+        _spread(spark, list(_entries(*_store(path)))).foreachPartition(partial(_drop, path))
+    for name in left:
+        exchange.remove(spark, f"{path}/{name}")
 
 
 def write_objects(spark: SparkSession, path: str, rows: DataFrame, order_by: list[str] | None = None) -> None:
@@ -155,9 +195,7 @@ def write_objects(spark: SparkSession, path: str, rows: DataFrame, order_by: lis
     empty body the JSON text ``null``, since readers pass over empty files.
     """
     complete(spark, path)
-    for name in exchange.names(spark, path):
-        if name.startswith((exchange.NEW, exchange.PENDING)):
-            exchange.remove(spark, f"{path}/{name}")  # of runs that died before their record
+    _clear(spark, path)  # after runs that died before their record
     named = rows.withColumns({c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit(UNKNOWN)) for c in ("day", "id")})
     newest = latest_per_key(named, ["day", "id"], order_by or []).select("day", "id", "body")
     spark.dataSource.register(DailyObjects)
@@ -178,13 +216,15 @@ def _entries(store: arrow_fs.FileSystem, folder: str, levels: int = 2) -> Iterat
             yield info.path
 
 
-def _files(store: arrow_fs.FileSystem, entry: str) -> Iterator[str]:
+def _files(
+    store: arrow_fs.FileSystem, entry: str, wanted: Callable[[arrow_fs.FileInfo], bool] = _seen
+) -> Iterator[str]:
     """The files at and below an entry."""
     found = [store.get_file_info(entry)]
     while found:
         info = found.pop()
         if info.type == arrow_fs.FileType.Directory:
-            found.extend(filter(_seen, store.get_file_info(arrow_fs.FileSelector(info.path))))
+            found.extend(filter(wanted, store.get_file_info(arrow_fs.FileSelector(info.path))))
         elif info.type == arrow_fs.FileType.File:
             yield info.path
 
@@ -228,12 +268,10 @@ def read_objects(spark: SparkSession, path: str) -> DataFrame:
     if not exchange.exists(spark, path):
         return spark.createDataFrame([], COLUMNS)
     complete(spark, path)
-    entries = [(entry,) for entry in _entries(*_store(path))]
+    entries = list(_entries(*_store(path)))
     if not entries:
         return spark.createDataFrame([], COLUMNS)
-    context = spark.sparkContext
-    # a folder to a task, as far as that goes
-    dealt = context.parallelize(entries, min(len(entries), 4 * context.defaultParallelism))
+    dealt = _spread(spark, entries).map(lambda entry: (entry,))
     listed = spark.createDataFrame(dealt, "path string").mapInArrow(partial(_list, path), "path string")
     found = _dealt(listed).mapInArrow(partial(_read, path), "path string, content binary")
     day = F.regexp_extract("path", rf"/({UNKNOWN}|\d+/\d\d/\d\d)/[^/]+$", 1)

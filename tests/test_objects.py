@@ -103,3 +103,52 @@ def test_contacts_as_objects(spark, path):
     got = stored(spark, path)
     assert [r[:2] for r in got] == [("2024/01/31", "1"), ("unknown", "2")]
     assert json.loads(got[0][2])["a_b"] == {"c_d": "y"}
+
+
+def hidden(path):
+    return [n for _, folders, files in os.walk(path) for n in folders + files if n.startswith("_")]
+
+
+def test_objects_are_moved_inside_their_folder(spark, path, monkeypatch):
+    # renames across folders are made one after the other by a local disk, whatever the number of tasks
+    write(spark, path, ("2024/01/31", "a", "old", 1))
+    writer = objects._ObjectWriter(path, "t")
+    rows = [("2024/01/31", "a", "new"), ("2024/02/01", "b", "x"), ("unknown", "c", "y")]
+    message = writer.write(iter(spark.createDataFrame(rows, objects.COLUMNS).collect()))
+    lines = spark.read.text(f"{path}/{exchange.NEW}t/{message.attempt}/{objects.INDEX}").collect()
+    moves = []
+
+    class Store:
+        def move(self, source, target):
+            moves.append((os.path.dirname(source), os.path.dirname(target)))
+            os.rename(source, target)
+
+    monkeypatch.setattr(objects, "_store", lambda path: (Store(), path))
+    objects._move(path, "t", lines)
+    assert len(moves) == 3 and all(source == target for source, target in moves)
+
+
+def test_a_late_copy_of_the_moves_changes_nothing(spark, path):
+    write(spark, path, ("2024/01/31", "a", "1", 1))
+    writer = objects._ObjectWriter(path, "t")
+    message = writer.write(iter(spark.createDataFrame([("2024/01/31", "a", "2")], objects.COLUMNS).collect()))
+    lines = spark.read.text(f"{path}/{exchange.NEW}t/{message.attempt}/{objects.INDEX}").collect()
+    writer.commit([message])
+    assert stored(spark, path) == [("2024/01/31", "a", "2")]
+    write(spark, path, ("2024/01/31", "a", "3", 1))
+    objects._move(path, "t", lines)
+    assert stored(spark, path) == [("2024/01/31", "a", "3")] and hidden(path) == []
+
+
+def test_attempts_that_do_not_count_are_cleared(spark, path):
+    write(spark, path, ("2024/01/31", "a", "old", 1))
+    (row,) = spark.createDataFrame([("2024/01/31", "a", "new")], objects.COLUMNS).collect()
+    writer = objects._ObjectWriter(path, "t")
+    first, second = writer.write(iter([row])), writer.write(iter([row, row]))
+    assert first.attempt != second.attempt and len(hidden(path)) == 4
+    writer.commit([first, None])
+    assert stored(spark, path) == [("2024/01/31", "a", "new")] and hidden(path) == []
+    objects._ObjectWriter(path, "dead").write(iter([row]))  # and of a run without a record, with the next write
+    assert stored(spark, path) == [("2024/01/31", "a", "new")] and hidden(path) != []
+    write(spark, path, ("2024/01/31", "b", "x", 1))
+    assert stored(spark, path) == [("2024/01/31", "a", "new"), ("2024/01/31", "b", "x")] and hidden(path) == []
