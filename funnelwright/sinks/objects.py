@@ -21,6 +21,7 @@ import json
 import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import AbstractContextManager, nullcontext
 from dataclasses import dataclass
 from functools import partial
 from itertools import islice
@@ -29,7 +30,7 @@ from urllib.parse import quote
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark import RDD
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
@@ -42,6 +43,8 @@ INDEX = "index.txt"
 UNKNOWN = "unknown"
 # What a task holds at a time: names it lists, bytes it reads or writes.
 NAMES, READ, BUFFER = 10_000, 1 << 22, 1 << 16
+# Tasks that write or move objects of one folder.
+SHARES = 4
 # How the names of files that are no objects begin and end, as Spark's readers have it.
 HIDDEN, COPYING = ("_", "."), "._COPYING_"
 
@@ -123,13 +126,22 @@ class _ObjectWriter(DataSourceWriter):
         """Nothing: tasks may still be writing, so the hidden folder stays and the next write clears up."""
 
 
+def _held(store: arrow_fs.FileSystem, name: str) -> AbstractContextManager:
+    """An object kept open while it is replaced: a local disk then frees it at the end, not while its folder is locked."""
+    try:
+        return store.open_input_stream(name) if store.type_name == "local" else nullcontext()
+    except FileNotFoundError:
+        return nullcontext()
+
+
 def _move(path: str, token: str, rows: Iterable[Row]) -> None:
     """Give objects their final names; those that an earlier try has moved are passed over."""
     store, path = _store(path)
     for row in rows:
         hidden, name = _hidden(token, row.value)
         try:
-            store.move(f"{path}/{hidden}", f"{path}/{name}")
+            with _held(store, f"{path}/{name}"):
+                store.move(f"{path}/{hidden}", f"{path}/{name}")
         except FileNotFoundError:
             if store.get_file_info(f"{path}/{name}").type != arrow_fs.FileType.File:
                 raise
@@ -154,9 +166,14 @@ def _spread(spark: SparkSession, entries: list[str]) -> RDD:
     return context.parallelize(entries, max(1, min(len(entries), 4 * context.defaultParallelism)))
 
 
-def _dealt(names: DataFrame) -> DataFrame:
-    """Names spread over all cores: they are few bytes, but every one is an object to move or read."""
-    return names.repartition(4 * names.sparkSession.sparkContext.defaultParallelism, *names.columns)
+def _dealt(names: DataFrame, *keys: Column) -> DataFrame:
+    """Names spread over all cores: they are few bytes, but every one is an object to write, move or read."""
+    return names.repartition(4 * names.sparkSession.sparkContext.defaultParallelism, *(keys or names.columns))
+
+
+def _by_folder(folder: Column, name: Column) -> tuple[Column, Column]:
+    """Keys that keep a folder to ``SHARES`` tasks: one at a time changes it, others wait for its lock."""
+    return folder, F.pmod(F.hash(name), F.lit(SHARES))
 
 
 def complete(spark: SparkSession, path: str) -> None:
@@ -168,7 +185,9 @@ def complete(spark: SparkSession, path: str) -> None:
             new = f"{path}/{exchange.NEW}{record['token']}"
             indexes = [f"{new}/{attempt}/{INDEX}" for attempt in record["attempts"]]
             if indexes:
-                _dealt(spark.read.text(indexes)).foreachPartition(partial(_move, path, record["token"]))
+                folder = F.regexp_extract("value", "^[^/]*/[^/]*/(.*)/[^/]*$", 1)
+                names = _dealt(spark.read.text(indexes), *_by_folder(folder, F.col("value")))
+                names.foreachPartition(partial(_move, path, record["token"]))
             others = set(exchange.names(spark, new)) - set(record["attempts"])
             exchange.remove(spark, f"{path}/{name}")
             if others:
@@ -199,7 +218,8 @@ def write_objects(spark: SparkSession, path: str, rows: DataFrame, order_by: lis
     named = rows.withColumns({c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit(UNKNOWN)) for c in ("day", "id")})
     newest = latest_per_key(named, ["day", "id"], order_by or []).select("day", "id", "body")
     spark.dataSource.register(DailyObjects)
-    newest.write.format(FORMAT).mode("append").options(path=path, token=uuid.uuid4().hex).save()
+    dealt = _dealt(newest, *_by_folder(F.col("day"), F.col("id")))
+    dealt.write.format(FORMAT).mode("append").options(path=path, token=uuid.uuid4().hex).save()
     complete(spark, path)
 
 

@@ -119,6 +119,8 @@ def test_objects_are_moved_inside_their_folder(spark, path, monkeypatch):
     moves = []
 
     class Store:
+        type_name = "other"
+
         def move(self, source, target):
             moves.append((os.path.dirname(source), os.path.dirname(target)))
             os.rename(source, target)
@@ -152,3 +154,9 @@ def test_attempts_that_do_not_count_are_cleared(spark, path):
     assert stored(spark, path) == [("2024/01/31", "a", "new")] and hidden(path) != []
     write(spark, path, ("2024/01/31", "b", "x", 1))
     assert stored(spark, path) == [("2024/01/31", "a", "new"), ("2024/01/31", "b", "x")] and hidden(path) == []
+
+
+def test_a_folder_is_changed_by_few_tasks(spark):
+    rows = spark.range(2000).select(F.lit("2024/01/31").alias("day"), F.col("id").cast("string"))
+    dealt = objects._dealt(rows, *objects._by_folder(F.col("day"), F.col("id")))
+    assert 1 < dealt.select(F.spark_partition_id()).distinct().count() <= objects.SHARES
