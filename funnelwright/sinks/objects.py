@@ -9,8 +9,10 @@ whoever next reads or writes; objects of failed or repeated attempts never show.
 left objects under hidden names: the next write, or the completion of theirs, lists all folders and removes them. One run at a
 time may work on a target, and its store must rename files in one step.
 
-Objects are found and read by tasks too: each lists whole folders (a day's, or ``unknown``), then the names are dealt to
-all tasks, which read their objects one after the other. The driver sees the folders of days, no object.
+Objects are found and read by tasks too: each lists whole folders (a day's, or ``unknown``) into a table of names. Then every
+task reads the objects of a stretch of time in the order they were written, since a local disk keeps such files side by side
+and reads neighbours many times faster than files here and there; it is asked for some objects ahead. The driver sees the
+folders of days, no object.
 
 A name is the id in percent encoding; it may not be longer than the store allows.
 """
@@ -18,10 +20,11 @@ A name is the id in percent encoding; it may not be longer than the store allows
 from __future__ import annotations
 
 import json
+import os
 import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
-from contextlib import AbstractContextManager, nullcontext
+from contextlib import AbstractContextManager, nullcontext, suppress
 from dataclasses import dataclass
 from functools import partial
 from itertools import islice
@@ -35,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from ..operators.dedupe import latest_per_key
+from ..session import staged
 from . import exchange
 
 FORMAT = "daily_objects"
@@ -43,8 +47,10 @@ INDEX = "index.txt"
 UNKNOWN = "unknown"
 # What a task holds at a time: names it lists, bytes it reads or writes.
 NAMES, READ, BUFFER = 10_000, 1 << 22, 1 << 16
+# Objects that a local disk is asked for before they are read.
+AHEAD = 1_000
 # Tasks that write or move objects of one folder.
-SHARES = 4
+SHARES = 2
 # How the names of files that are no objects begin and end, as Spark's readers have it.
 HIDDEN, COPYING = ("_", "."), "._COPYING_"
 
@@ -129,7 +135,7 @@ class _ObjectWriter(DataSourceWriter):
 def _held(store: arrow_fs.FileSystem, name: str) -> AbstractContextManager:
     """An object kept open while it is replaced: a local disk then frees it at the end, not while its folder is locked."""
     try:
-        return store.open_input_stream(name) if store.type_name == "local" else nullcontext()
+        return open(name, "rb", buffering=0) if store.type_name == "local" else nullcontext()
     except FileNotFoundError:
         return nullcontext()
 
@@ -155,9 +161,9 @@ def _drop(path: str, entries: Iterable[str]) -> None:
         return info.base_name.startswith(exchange.NEW) if info.is_file else _seen(info)
 
     for entry in entries:
-        for name in _files(store, entry, left):
-            if name.rpartition("/")[2].startswith(exchange.NEW):
-                store.delete_file(name)
+        for info in _files(store, entry, left):
+            if info.base_name.startswith(exchange.NEW):
+                store.delete_file(info.path)
 
 
 def _spread(spark: SparkSession, entries: list[str]) -> RDD:
@@ -176,6 +182,13 @@ def _by_folder(folder: Column, name: Column) -> tuple[Column, Column]:
     return folder, F.pmod(F.hash(name), F.lit(SHARES))
 
 
+def _by_time(listed: DataFrame) -> DataFrame:
+    """Names in the order their files were written, a stretch of time to each of as many tasks as ``_dealt`` makes."""
+    order = ("written", "path")
+    parts = 4 * listed.sparkSession.sparkContext.defaultParallelism
+    return listed.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("path")
+
+
 def complete(spark: SparkSession, path: str) -> None:
     """Make the moves of the writes on record that are missing, as a job over their indexes."""
     strays = False
@@ -238,7 +251,7 @@ def _entries(store: arrow_fs.FileSystem, folder: str, levels: int = 2) -> Iterat
 
 def _files(
     store: arrow_fs.FileSystem, entry: str, wanted: Callable[[arrow_fs.FileInfo], bool] = _seen
-) -> Iterator[str]:
+) -> Iterator[arrow_fs.FileInfo]:
     """The files at and below an entry."""
     found = [store.get_file_info(entry)]
     while found:
@@ -246,17 +259,30 @@ def _files(
         if info.type == arrow_fs.FileType.Directory:
             found.extend(filter(wanted, store.get_file_info(arrow_fs.FileSelector(info.path))))
         elif info.type == arrow_fs.FileType.File:
-            yield info.path
+            yield info
 
 
 def _list(path: str, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The files of folders, in batches of names."""
+    """The files of folders and when they were written, in batches of names."""
     store = _store(path)[0]
     for batch in batches:
         for entry in batch.column(0).to_pylist():
             files = _files(store, entry)
-            while names := list(islice(files, NAMES)):
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], ["path"])
+            while infos := list(islice(files, NAMES)):
+                names = pa.array([info.path for info in infos], pa.string())
+                written = pa.array([info.mtime_ns or 0 for info in infos], pa.int64())
+                yield pa.RecordBatch.from_arrays([names, written], ["path", "written"])
+
+
+def _asked(store: arrow_fs.FileSystem, names: list[str]) -> Iterator[str]:
+    """Names, while a local disk is asked for the files ahead: it joins requests for neighbours."""
+    local = store.type_name == "local" and hasattr(os, "posix_fadvise")
+    for at, name in enumerate(names):
+        if local and at % AHEAD == 0:
+            for later in names[at + AHEAD if at else 0 : at + 2 * AHEAD]:
+                with suppress(OSError), open(later, "rb", buffering=0) as file:
+                    os.posix_fadvise(file.fileno(), 0, BUFFER, os.POSIX_FADV_WILLNEED)
+        yield name
 
 
 def _read(path: str, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,7 +294,7 @@ def _read(path: str, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
     for batch in batches:
         names, contents, held = [], [], 0
-        for name in batch.column(0).to_pylist():
+        for name in _asked(store, batch.column(0).to_pylist()):
             with store.open_input_stream(name) as stream:
                 content = stream.read()
             if not content:
@@ -284,7 +310,10 @@ def _read(path: str, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def read_objects(spark: SparkSession, path: str) -> DataFrame:
-    """The stored objects as rows ``day, id, body``; none when there is no target yet."""
+    """The stored objects as rows ``day, id, body``; none when there is no target yet.
+
+    They are listed at once, into the shared folder, and read when the rows are asked for.
+    """
     if not exchange.exists(spark, path):
         return spark.createDataFrame([], COLUMNS)
     complete(spark, path)
@@ -292,8 +321,8 @@ def read_objects(spark: SparkSession, path: str) -> DataFrame:
     if not entries:
         return spark.createDataFrame([], COLUMNS)
     dealt = _spread(spark, entries).map(lambda entry: (entry,))
-    listed = spark.createDataFrame(dealt, "path string").mapInArrow(partial(_list, path), "path string")
-    found = _dealt(listed).mapInArrow(partial(_read, path), "path string, content binary")
+    listed = spark.createDataFrame(dealt, "path string").mapInArrow(partial(_list, path), "path string, written long")
+    found = _by_time(staged(listed, "names")).mapInArrow(partial(_read, path), "path string, content binary")
     day = F.regexp_extract("path", rf"/({UNKNOWN}|\d+/\d\d/\d\d)/[^/]+$", 1)
     name = F.url_decode(F.regexp_extract("path", r"/([^/]+)\.json$", 1))
     return found.select(day.alias("day"), name.alias("id"), F.decode("content", "UTF-8").alias("body"))

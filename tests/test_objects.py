@@ -160,3 +160,32 @@ def test_a_folder_is_changed_by_few_tasks(spark):
     rows = spark.range(2000).select(F.lit("2024/01/31").alias("day"), F.col("id").cast("string"))
     dealt = objects._dealt(rows, *objects._by_folder(F.col("day"), F.col("id")))
     assert 1 < dealt.select(F.spark_partition_id()).distinct().count() <= objects.SHARES
+
+
+def test_objects_are_read_in_the_order_they_were_written(spark, path):
+    # neighbours on the disk, whatever their folders and names; dealt by name they lie all over it
+    write(spark, path, *[(("2024/01/31", "2024/02/01", "unknown")[i % 3], f"c{i}", str(i), 1) for i in range(60)])
+    order = sorted(range(60), key=lambda i: (i * 37) % 60)
+    for at, i in enumerate(order):
+        os.utime(f"{path}/{('2024/01/31', '2024/02/01', 'unknown')[i % 3]}/c{i}.json", (1_706_700_000, 1_706_700_000 + at))
+    assert [int(r.body) for r in objects.read_objects(spark, path).collect()] == order
+
+
+def test_folders_without_objects(spark, path):
+    os.makedirs(f"{path}/2024/01/31")
+    assert stored(spark, path) == []
+
+
+def test_files_are_asked_for_ahead(path, monkeypatch):
+    os.makedirs(path)
+    names = [f"{path}/{i}" for i in range(7)]
+    for name in names[:6]:
+        open(name, "w", encoding="utf8").write(name)
+    asked = []
+    monkeypatch.setattr(objects, "AHEAD", 2)
+    monkeypatch.setattr(os, "posix_fadvise", lambda file, *_: asked.append(os.read(file, 99).decode()))
+    store, seen = objects._store(path)[0], []
+    for name in objects._asked(store, names):  # the last one is gone: whoever reads it says so
+        seen.append(name)
+        assert set(seen) - {names[6]} <= set(asked)
+    assert seen == names and asked == names[:6]
